@@ -2,37 +2,57 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import finite
 
 
+def products(rows: DataFrame, columns: list[str]) -> np.ndarray:
+    """Sums of all products of two of (1, columns): each task sums its own, and only
+    those squares of sums are shuffled and reach the driver."""
+    k = len(columns) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((k, k))
+        for batch in batches:
+            x = np.column_stack([np.ones(batch.num_rows), *[batch[c].to_numpy(zero_copy_only=False) for c in batch.schema.names]])
+            total += x.T @ x
+        i, j = np.indices((k, k))
+        yield pa.RecordBatch.from_arrays([pa.array(i.ravel().astype(np.int32)), pa.array(j.ravel().astype(np.int32)), pa.array(total.ravel())], ["i", "j", "v"])
+
+    sums = rows.select(*[F.col(f"`{c}`").cast("double").alias(f"x{n}") for n, c in enumerate(columns)]).mapInArrow(run, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).toArrow()
+    found = np.zeros((k, k))
+    found[sums["i"].to_numpy(), sums["j"].to_numpy()] = sums["v"].to_numpy()
+    return found
+
+
 def least_squares(rows: DataFrame, features: list[str], target: str) -> tuple[float, dict[str, float]]:
     """Intercept and coefficients of ordinary least squares (ML-06).
 
-    The normal equations come from one pass of sums, of which only k x k numbers
-    reach the driver.  Full one-hot columns with an intercept are collinear; the
-    pseudo-inverse gives the solution of least norm, whose predictions are those
-    of any other.
+    The normal equations come from one pass; k x k numbers reach the driver.
+    Full one-hot columns with an intercept are collinear; the pseudo-inverse gives
+    the solution of least norm, whose predictions are those of any other.  Rows
+    must have no null.
     """
-    names = [*features, target]
-    x = [F.col(f"`{c}`") for c in names]
-    sums = rows.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(x)], *[F.sum(x[i] * x[j]).alias(f"p{i}_{j}") for i in range(len(x)) for j in range(i + 1)]).first()
-    n, k = sums["n"], len(features)
+    p = products(rows, [*features, target])
+    n, s = p[0, 0], p[0, 1:]
     if not n:
         raise ValueError("no training rows")
-    s = np.array([sums[f"s{i}"] for i in range(k + 1)], float)
-    p = np.array([[sums[f"p{max(i, j)}_{min(i, j)}"] for j in range(k + 1)] for i in range(k + 1)], float)
-    centred = p - np.outer(s, s) / n
+    centred = p[1:, 1:] - np.outer(s, s) / n
+    k = len(features)
     b = np.linalg.pinv(centred[:k, :k], hermitian=True, rcond=1e-10) @ centred[:k, k]
     return float((s[k] - b @ s[:k]) / n), dict(zip(features, map(float, b)))
 
 
 def prediction(intercept: float, coefficients: dict[str, float]) -> Column:
     """The model as a column expression (SV-04)."""
-    return sum((F.col(f"`{c}`") * b for c, b in coefficients.items()), F.lit(intercept))
+    values, weights = (F.array(*x) for x in zip(*((F.col(f"`{c}`"), F.lit(b)) for c, b in coefficients.items())))
+    return F.aggregate(F.zip_with(values, weights, lambda v, w: v * w), F.lit(float(intercept)), lambda acc, x: acc + x)
 
 
 def metrics(rows: DataFrame, truth: str, predicted: str) -> DataFrame:

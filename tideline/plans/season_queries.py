@@ -11,6 +11,7 @@ from tideline.functions.scalars import rounded
 from tideline.operators import guards
 from tideline.plans import features, lap_table, modelling
 from tideline.plans.registry import query, table
+from tideline.sources.scratch import keep
 
 
 def season(spark, sf_dir) -> dict[str, DataFrame]:
@@ -108,19 +109,24 @@ def _results(spark, results: list[guards.Result]) -> DataFrame:
     return spark.createDataFrame([(r.name, r.status, r.blocking, r.blocks) for r in results], "guard string, status string, blocking boolean, blocks boolean")
 
 
+def stored_features(spark, sf_dir) -> DataFrame:
+    """The whole feature table, written once: guards and models read it many times."""
+    return keep(features.feature_table(lap_table.lap_table(season(spark, sf_dir), 7200)))
+
+
 @query()
 def season_feature_guards(spark, sf_dir):
     """The guards of the feature table, each recomputed independently (G5-1 to G5-7)."""
-    return _results(spark, features.check(features.feature_table(lap_table.lap_table(season(spark, sf_dir), 7200))))
+    return _results(spark, features.check(stored_features(spark, sf_dir)))
 
 
 @query()
 def season_model_guards(spark, sf_dir):
     """The guards of the modelling dataset (G6-1 to G6-14)."""
-    return _results(spark, modelling.prepare(features.feature_table(lap_table.lap_table(season(spark, sf_dir), 7200))).results)
+    return _results(spark, modelling.prepare(stored_features(spark, sf_dir)).results)
 
 
 @query()
 def season_model_metrics(spark, sf_dir):
     """Least squares and the mean baseline on every split (M6, M7)."""
-    return modelling.train_and_judge(modelling.prepare(features.feature_table(lap_table.lap_table(season(spark, sf_dir), 7200))))
+    return modelling.train_and_judge(modelling.prepare(stored_features(spark, sf_dir), guard=False))
