@@ -61,7 +61,7 @@ def candidates(index: np.ndarray, queries: np.ndarray, target: float) -> np.ndar
 
 
 def nearest(
-    vectors: DataFrame, is_query: Column, k: int = 20, trees: int = 48, share: float = 0.7, shard_rows: int = 8192,
+    vectors: DataFrame, is_query: Column, k: int = 20, trees: int = 64, share: float = 1.5, shard_rows: int = 8192,
     query_rows: int = 1024, seed: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found for each query.

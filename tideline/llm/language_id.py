@@ -9,12 +9,11 @@ the trees of all languages are laid over one another and each (context, byte)
 pair gets its length for every language.  The shortest code names the language.
 """
 
-from __future__ import annotations
-
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
@@ -126,7 +125,8 @@ def build(langs: list[str], of: np.ndarray, gram: np.ndarray, n: np.ndarray) ->
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, one row for each row.
+    """``docs`` with ``lang_pred`` and ``score``, one row for each row; columns of
+    these names are replaced.
 
     ``score`` is the language's share of the likelihood under equal priors.  A
     null text, a text without a letter and every text under a model without
@@ -143,11 +143,11 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
         best = int(bits.argmin())
         return m.langs[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())
 
-    def run(texts: Iterator) -> Iterator:
-        import pandas as pd
-
+    @F.pandas_udf("lang_pred string, score double")
+    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in texts:
             yield pd.DataFrame([judge(t) for t in part], columns=["lang_pred", "score"])
 
-    scored = F.pandas_udf(run, "lang_pred string, score double", functionType=F.PandasUDFType.SCALAR_ITER)
-    return docs.withColumn("_judged", scored(F.col(text_col))).withColumns({"lang_pred": F.col("_judged.lang_pred"), "score": F.col("_judged.score")}).drop("_judged")
+    judged = docs.select(F.struct(*docs.columns).alias("row"), scored(F.col(text_col)).alias("judged"))
+    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    return judged.select(*[F.col("row")[c].alias(c) for c in kept], "judged.lang_pred", "judged.score")

@@ -210,9 +210,10 @@ def findings(docs: DataFrame, model: Model, threshold: float = 0.5, id_col: str
 
 
 def redact(docs: DataFrame, model: Model, threshold: float = 0.5, mask: str = "[SECRET]", text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """``docs`` with every secret in its text replaced by ``mask``; null texts stay null."""
-    names = docs.columns
-    found = scanned(docs, model, text_col, path_col)
+    """``docs`` with every secret in its text replaced by ``mask``; null texts stay
+    null, and all other columns, of whatever names, are kept as they are."""
+    path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
+    found = scanned(docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"), path.alias("path")), model, "text", "path")
     parts = F.transform("_found", lambda x, i: F.concat(F.get("_between", i), F.when(x["score"] >= threshold, F.lit(mask)).otherwise(x["candidate"])))
-    text = F.when(F.size("_found") > 0, F.concat(F.array_join(parts, ""), F.element_at("_between", -1))).otherwise(F.col(text_col))
-    return found.withColumn(text_col, text).select(*names)
+    text = F.when(F.size("_found") > 0, F.concat(F.array_join(parts, ""), F.element_at("_between", -1))).otherwise(F.col("text"))
+    return found.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

@@ -144,8 +144,9 @@ def repeated_passages(
 
 def without_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines that :func:`repeated_passages` did not keep taken out of their texts."""
-    gone = keep(passages.where("not kept").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("paragraph").alias("_gone")))
-    lines = F.split(F.col(text_col), "\n", -1)
-    left = F.filter(lines, lambda line, n: ~F.array_contains(F.col("_gone"), n.cast("long")))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
-    return docs.join(gone, docs[id_col] == F.col("_id"), "left").withColumn(text_col, text).select(*docs.columns)
+    gone = keep(passages.where("not kept").groupBy("doc_id").agg(F.collect_set("paragraph").alias("lines")))
+    lines = F.split(F.col(f"row.{text_col}"), "\n", -1)
+    left = F.filter(lines, lambda line, n: ~F.array_contains(F.col("lines"), n.cast("long")))
+    text = F.when(F.col("lines").isNull(), F.col(f"row.{text_col}")).otherwise(F.array_join(left, "\n"))
+    joined = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("doc_id")).join(gone, "doc_id", "left")
+    return joined.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
