@@ -75,7 +75,11 @@ def correlations(rows: DataFrame, features: list[str], target: str, threshold: f
     target; null where a side has fewer than two distinct values (AG-17, G5-7)."""
     y = F.col(target).cast("double")
     both = lambda c: F.col(f"`{c}`").isNotNull() & y.isNotNull()
-    pair = lambda c: F.corr(F.when(both(c), F.col(f"`{c}`").cast("double")), F.when(both(c), y))
+
+    def pair(c: str) -> Column:  # corr() itself divides by zero for a constant side
+        a, b = F.when(both(c), F.col(f"`{c}`").cast("double")), F.when(both(c), y)
+        return F.try_divide(F.covar_pop(a, b), F.nullif(F.sqrt(F.var_pop(a) * F.var_pop(b)), F.lit(0.0)))
+
     wide = rows.agg(*[F.nanvl(pair(c), F.lit(None).cast("double")).alias(c) for c in features])
     long = wide.unpivot([], features, "feature", "corr")
     return long.withColumn("suspicious", F.coalesce(F.abs("corr") >= threshold, F.lit(False)))
