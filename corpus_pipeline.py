@@ -28,10 +28,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates, once."""
+    """The document with the smallest id of each group of near-duplicates, once.
+
+    Rows that repeat an id are copies of one document; rows without an id stay.
+    """
     found = simhash_components(docs, shingle=3)
     kept = found.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
+    return named.unionByName(docs.where("doc_id is null").select(*COLUMNS))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +46,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it; the one last document of a
     source that the mix takes in part is there once more if that part is half of it."""
-    taken = mix(docs).groupBy("doc_id").agg(F.max(F.round("copies").cast("int")).alias("n"))
-    return docs.join(taken.where("n > 0"), "doc_id").select(*COLUMNS, F.explode(F.array_repeat(F.lit(1), F.col("n"))).alias("copy")).select(*COLUMNS)
+    taken = mix(docs).groupBy(F.col("doc_id").alias("id")).agg(F.max(F.round("copies").cast("int")).alias("n")).where("n > 0")
+    often = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("id"))).select(*COLUMNS, F.explode(F.array_repeat(F.lit(1), F.col("n"))).alias("copy"))
+    return often.select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
