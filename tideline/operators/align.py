@@ -27,7 +27,7 @@ def interval_windows(rows: DataFrame, by: list[str], order: list[str], start: st
     ).withColumn("has_complete_window", F.col(start).isNotNull() & F.col(f"{prefix}_end").isNotNull()).drop("_next")
 
 
-def _united(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, tie: list[str], into: str) -> DataFrame:
+def _united(left: DataFrame, right: DataFrame, by: list[str], left_on: str, right_on: str, tie: list[str]) -> DataFrame:
     """Rows of both sides as (by, t, side, tie, l, r); those of the right come first at equal t."""
     ties = lambda df: F.struct(*[F.col(c) for c in tie]) if tie else F.struct(F.lit(0))
     r = right.where(F.col(right_on).isNotNull())
@@ -55,7 +55,7 @@ def asof_last(
     a stretch is taken from a small table with the last row of each stretch.
     """
     by, tie = by or [], tie or []
-    both = _united(left, right, by, left_on, right_on, tie, into)
+    both = _united(left, right, by, left_on, right_on, tie)
     keys = [f"_by_{b}" for b in by]
     so_far = lambda parts: Window.partitionBy(*parts).orderBy("_t", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     if bucket is None:

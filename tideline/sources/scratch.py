@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -12,7 +14,9 @@ def shared_folder(spark: SparkSession) -> str:
     """The session's ``spark.checkpoint.dir``; only where none is set, as in local tests, a temporary folder."""
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
+        own = tempfile.mkdtemp(prefix="spark-shared-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        folder = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
