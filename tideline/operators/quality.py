@@ -37,16 +37,25 @@ def is_object(rec: Column) -> Column:
     return F.coalesce(kind(rec) == "object", F.lit(False))
 
 
+def _read(records: DataFrame, spec: Endpoint) -> DataFrame:
+    """Each field's kind, number and text, extracted once a record: (file, ok, k_*, n_*, t_*)."""
+    cols = [F.col("file"), is_object(F.col("rec")).alias("ok")]
+    for f in spec.fields:
+        k = kind(value(f.name))
+        cols += [k.alias(f"k_{f.name}"), F.when(k.isin("int", "float"), F.try_variant_get("rec", f"$.{f.name}", "double")).alias(f"n_{f.name}"), F.when(k == "str", text(f.name)).alias(f"t_{f.name}")]
+    return records.select(*cols)
+
+
 def _checks(f: Field) -> dict[tuple[str, str, str], Column]:
-    """(rule, finding, severity) to whether a record shows it."""
-    v, k, name = value(f.name), kind(value(f.name)), f.name
+    """(rule, finding, severity) to whether a record of :func:`_read` shows it."""
+    k, plain_text = F.col(f"k_{f.name}"), F.col(f"t_{f.name}")
     kinds = {"time": "str"}
     right = k.isin([kinds.get(x, x) for x in f.kinds])
-    number = F.when(k.isin("int", "float") & right, F.try_variant_get("rec", f"$.{name}", "double"))
+    number = F.when(right, F.col(f"n_{f.name}"))
     held = k.isNotNull() & (k != "null")
     found: dict[tuple[str, str, str], Column] = {}
     if f.required:
-        found["schema", "required_absent", ERROR] = v.isNull()
+        found["schema", "required_absent", ERROR] = k.isNull()
     found["types", "wrong_type", ERROR] = held & ~right
     found["missing_values", "null", INFO if f.nullable else ERROR] = k == "null"
     inside = F.lit(True)
@@ -61,12 +70,12 @@ def _checks(f: Field) -> dict[tuple[str, str, str], Column]:
             out = inside & ~number.between(*bounds)
             found["values", name_, severity], inside = out, inside & ~F.coalesce(out, F.lit(False))
     if f.allowed:
-        plain = number if isinstance(f.allowed[0], int) else F.when(right & (k == "str"), text(name))
+        plain = number if isinstance(f.allowed[0], int) else F.when(right, plain_text)
         found["values", "unexpected", INFO] = plain.isNotNull() & ~plain.isin(*f.allowed)
     if f.pattern:
-        found["values", "bad_pattern", INFO] = (k == "str") & ~text(name).rlike(f.pattern)
+        found["values", "bad_pattern", INFO] = ~plain_text.rlike(f.pattern)
     if "time" in f.kinds:
-        found["temporal", "unparseable", ERROR] = (k == "str") & instant(text(name)).isNull()
+        found["temporal", "unparseable", ERROR] = plain_text.isNotNull() & instant(plain_text).isNull()
     return found
 
 
@@ -77,16 +86,15 @@ def profile(records: DataFrame, spec: Endpoint, threshold: float = 0.5) -> DataF
     of null shares; a null share above ``threshold`` is a warning unless nulls
     are usual.
     """
-    aggregates, meaning = [F.count(F.lit(1)).alias("entries"), F.count_if(~is_object(F.col("rec"))).alias("c0")], [("structure", "", "non_object", ERROR)]
+    aggregates, meaning = [F.count(F.lit(1)).alias("entries"), F.count_if(~F.col("ok")).alias("c0")], [("structure", "", "non_object", ERROR)]
     for f in spec.fields:
         for (rule, finding, severity), shown in _checks(f).items():
-            aggregates.append(F.count_if(is_object(F.col("rec")) & F.coalesce(shown, F.lit(False))).alias(f"c{len(meaning)}"))
+            aggregates.append(F.count_if(F.col("ok") & F.coalesce(shown, F.lit(False))).alias(f"c{len(meaning)}"))
             meaning.append((rule, f.name, finding, INFO if f.sparse and rule == "missing_values" else severity))
     for low, high in spec.ordered_pairs:
-        a, b = (F.try_variant_get("rec", f"$.{n}", "double") for n in (low, high))
-        aggregates.append(F.count_if(b < a).alias(f"c{len(meaning)}"))
+        aggregates.append(F.count_if(F.col(f"n_{high}") < F.col(f"n_{low}")).alias(f"c{len(meaning)}"))
         meaning.append(("cross_field", high, f"before_{low}", ERROR))
-    counted = records.groupBy("file").agg(*aggregates)
+    counted = _read(records, spec).groupBy("file").agg(*aggregates)
     entries = [F.struct(F.lit(rule).alias("rule"), F.lit(name).alias("field"), F.lit(finding).alias("finding"), F.lit(severity).alias("severity"), F.col(f"c{i}").alias("n")) for i, (rule, name, finding, severity) in enumerate(meaning)]
     shares = [F.struct(F.lit("missing_values").alias("rule"), F.lit(name).alias("field"), F.lit("null_share").alias("finding"), F.lit(WARNING).alias("severity"), F.when(F.col(f"c{i}") > F.col("entries") * threshold, F.col(f"c{i}")).otherwise(F.lit(0).cast("bigint")).alias("n")) for i, (rule, name, finding, severity) in enumerate(meaning) if finding == "null" and severity != INFO or finding == "null" and not next(f for f in spec.fields if f.name == name).sparse]
     long = counted.select("file", F.explode(F.array(*entries, *shares)).alias("f")).select("file", "f.*").where("n > 0")
