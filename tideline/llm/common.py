@@ -40,6 +40,15 @@ def keep(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, with the session's Arrow batches limited to ``rows``: texts may be long,
+    and a worker and its executor each hold a whole batch."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= rows:
+        conf.set(key, str(rows))
+    return df
+
+
 def drop(df: DataFrame) -> None:
     """Delete the files behind a table made by :func:`keep`."""
     spark = df.sparkSession

@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideline.llm.common import small_batches
+
 ORDER = 3
 _LETTER = regex.compile(r"\p{L}")
 
@@ -133,7 +135,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     languages give ``und`` and 0.  Equal code lengths go to the first language
     by name.  The whole text counts, whatever its length.
     """
-    frozen = docs.sparkSession.sparkContext.broadcast(model)
+    frozen = small_batches(docs).sparkSession.sparkContext.broadcast(model)
 
     def judge(text: str | None) -> tuple[str, float]:
         m = frozen.value

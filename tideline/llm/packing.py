@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.common import small_batches
 from tideline.llm.tokens import encoder, tokenizer_path
 
 #: Bytes of text whose ids a worker holds at once.
@@ -72,5 +73,5 @@ def pack(
                 yield cut(ids, texts)
 
     schema = "doc_id long, start long, length long, " + "ids binary, " * with_ids + "ids_crc32 long, doc_tokens long"
-    packed = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    packed = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
     return packed.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long"), "bucket": F.log2("length").cast("int")})

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import Forest, block_pairs, by_key, connected_components, keep, pairs_in_runs, whole_groups
+from tideline.llm.common import Forest, block_pairs, by_key, connected_components, keep, pairs_in_runs, small_batches, whole_groups
 
 SEGMENTS, WIDTH = 16, 4
 
@@ -57,7 +57,7 @@ def fingerprints(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text
             fps = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in texts), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, fp long")
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, fp long")
 
 
 def cells(fps: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import Forest, block_pairs, by_key, connected_components, keep, pairs_in_runs, whole_groups
+from tideline.llm.common import Forest, block_pairs, by_key, connected_components, keep, pairs_in_runs, small_batches, whole_groups
 
 
 def bands_needed(rows: int, similarity: float, recall: float) -> int:
@@ -55,7 +55,7 @@ def paragraphs(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
         run, "doc_id long, paragraph long, start long, n_chars long, n_words long, h binary, text binary"
     )
 

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.common import small_batches
 from tideline.llm.tokens import encoder, pieces, tokenizer_path
 
 #: A block ends at so many documents or characters.
@@ -113,7 +114,7 @@ def dealt_lists(docs: DataFrame, path: str) -> DataFrame:
         if ids:
             yield from block(name, ids, sizes, texts)
 
-    return docs.mapInArrow(run, "block long, bucket int, lists binary, ids array<long>, sizes array<long>, counts array<long>")
+    return small_batches(docs).mapInArrow(run, "block long, bucket int, lists binary, ids array<long>, sizes array<long>, counts array<long>")
 
 
 def token_counts(docs: DataFrame, limit: int = 512, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
