@@ -1,45 +1,22 @@
-"""What several operators of this folder share: intermediate tables in the
-cluster's shared folder, sorted group streams, block splitting of large groups
-and distributed connected components."""
+"""What several operators of this folder share: sorted group streams, block
+splitting of large groups and distributed connected components, with intermediate
+tables in the cluster's shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.sources.scratch import keep
+
 #: A run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Only where the session names none, as in local tests, a temporary one is set.
-    """
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"file://{tempfile.mkdtemp(prefix='spark-shared-')}"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-def keep(df: DataFrame, spark: SparkSession | None = None) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
-
-    It cuts the lineage and survives the loss of any executor.
-    """
-    spark = spark or df.sparkSession
-    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     """``df``, with the session's Arrow batches limited to ``rows``: texts may be long,
     and a worker and its executor each hold a whole batch."""

@@ -80,12 +80,12 @@ def embedding_near_dups(
     one label are compared once, as one vector with a weight.  Ids are taken to
     be unique; a repeated id is linked with itself.
     """
-    spark, tables = vectors.sparkSession, tables_needed(bits, cosine, recall)
+    tables = tables_needed(bits, cosine, recall)
     label = F.lit("") if label_col is None else F.col(label_col).cast("string")
     takes_part = usable(vector_col, F.col(id_col), label)
     rows = vectors.where(takes_part).select(F.col(id_col).cast("long").alias("id"), label.alias("label"), F.col(vector_col).alias("v"))
     rows = rows.withColumn("copy", F.sha2(F.concat_ws(",", F.col("v").cast("array<string>")), 256))
-    reps = keep(rows.groupBy("label", "copy").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.any_value("v").alias("v")).withColumn("dims", F.size("v")), spark)
+    reps = keep(rows.groupBy("label", "copy").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.any_value("v").alias("v")).withColumn("dims", F.size("v")))
     sigs = keep(sign_hashes(reps, bits, tables, seed))
     buckets = sigs.select("rep", "label", "dims", F.posexplode("sigs").alias("t", "sig"))
     meet = block_pairs(buckets, ["label", "dims", "t", "sig"], F.col("rep"), limit=512)
