@@ -118,10 +118,14 @@ def train(labelled: DataFrame, words: list[str], trees: int = 20, depth: int = 5
     """Train on (candidate, before, after, path, label): label 1 for a secret, 0 for none.
 
     Of more than TRAINING_ROWS findings those first by hash are used; findings
-    with a null label or a candidate under two characters are not.
+    with a null label or a candidate under two characters are not.  Findings of
+    one label alone give that label to all, and none at all give 0.
     """
     usable = labelled.where("label is not null and length(candidate) >= 2").select("candidate", "before", "after", "path", F.col("label").cast("double").alias("label"))
     rows = keep(usable.orderBy(F.xxhash64("candidate", "before", "after", "path"), "label").limit(TRAINING_ROWS))
+    share = rows.agg(F.avg("label")).first()[0] or 0.0
+    if share in (0.0, 1.0):  # nothing to tell apart
+        return Model(f"{share}D", [0.0] * (len(ALPHABET) + 1) ** 2, words)
     pairs = pair_odds(rows)
     f = features(F.col("candidate"), F.col("before"), F.col("after"), F.col("path"), pair_array(pairs), words)
     judged = keep(rows.select("label", f.alias("f")).select("label", "f.*").coalesce(1))
@@ -138,7 +142,9 @@ def weak_labels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     a secret name; other findings are digests and ids under harmless names, bare
     digests, identifiers, dates, placeholders and words joined with numbers.
     """
-    base = docs.where(F.length(text_col) > 20).select(F.xxhash64(F.col(id_col).cast("string"), F.lit(1)).alias("h"), F.col(text_col).alias("t"), F.col(path_col).cast("string").alias("path")).orderBy("h", "t").limit(sample)
+    hashed = docs.where(F.length(text_col) > 20).select(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("h"), F.col(text_col).alias("t"), F.col(path_col).cast("string").alias("path"))
+    cut = hashed.select("h").orderBy("h").limit(sample).agg(F.max("h")).first()[0]  # hashes alone are ordered, not texts
+    base = hashed.where(F.col("h") <= F.lit(cut).cast("long")).orderBy("h", "t").limit(sample)
     words = F.filter(F.split("t", r"\s+"), lambda w: F.length(w) > 0)
     hexa = lambda salt: F.sha2(F.concat(F.col("h").cast("string"), F.lit(salt)), 256)
     b64 = lambda salt: F.regexp_replace(F.base64(F.unhex(hexa(salt))), "=", "")
