@@ -237,6 +237,34 @@ def test_passage_banding_against_brute_force(spark):
     assert got == {d: c for d, c in want.items() if list(want.values()).count(c) > 1}
 
 
+def test_passages_over_lines_and_within_one(spark):
+    run = prose(50, 60).split()
+    wrapped = "\n".join(" ".join(run[i : i + 12]) for i in range(0, 60, 12))
+    rows = [(1, f"{prose(51, 70)} {' '.join(run)} {prose(52, 70)}", "a"), (2, f"é {prose(53, 9)}\n{wrapped}\n{prose(54, 9)}", "a"), (3, f"{prose(55, 45)}\n{prose(56, 70)} {' '.join(run).upper()}", "a"), (4, prose(57, 200), "a"), (5, "x " * 200, "a"), (6, None, "a")]
+    docs = frame(spark, rows)
+    found = substring_dedup.every_passage(docs)
+    text = {d: t for d, t, _ in rows}
+    got = {r.doc_id: r for r in found.collect()}
+    assert set(got) - {5} == {1, 2, 3} and found.where("doc_id < 5").count() == 3
+    for d in (1, 2, 3):
+        words = text[d][got[d].start : got[d].start + got[d].n_chars].lower().split()
+        assert " ".join(words) in " ".join(run).lower() and len(words) == got[d].n_words >= 60 - 2 * 15
+        assert got[d].n_members == 3 and got[d].component_doc == 1 and got[d].kept == (d == 1)
+    assert got[3].paragraph == 1
+    cleaned = {r.doc_id: r.text for r in substring_dedup.without_passages(docs, found).collect()}
+    assert cleaned[1] == text[1] and cleaned[4] == text[4] and cleaned[6] is None
+    assert len(cleaned[3].split()) == 175 - got[3].n_words and cleaned[3].startswith(prose(55, 45))
+    assert substring_dedup.every_passage(docs.limit(0)).count() == 0
+
+
+def test_equal_runs_share_a_unit():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        run = prose(int(rng.integers(1 << 30)), 50)
+        a, b = (substring_dedup.units([f"{prose(int(rng.integers(1 << 30)), int(rng.integers(30)))} {run} {prose(int(rng.integers(1 << 30)), int(rng.integers(30)))}".encode()], 35)[4] for _ in range(2))
+        assert set(a.tolist()) & set(b.tolist())
+
+
 @pytest.fixture(scope="module")
 def forest(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")

@@ -14,7 +14,7 @@ from tideline.llm.language_id import fit, predict
 from tideline.llm.mixing import mix
 from tideline.llm.packing import pack
 from tideline.llm.simhash_dedup import simhash_components
-from tideline.llm.substring_dedup import repeated_passages
+from tideline.llm.substring_dedup import every_passage
 from tideline.llm.token_counts import token_counts
 from tideline.llm.url_filter import url_verdicts
 
@@ -74,7 +74,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_passages(table(spark, sf_dir, "documents"))
+    return every_passage(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -5,6 +5,11 @@ distinct paragraph is cut into bands, tuned so that a pair at the threshold
 shares a band almost surely.  Paragraphs that meet in a band are verified by the
 exact Jaccard similarity of their shingles, links form components, and of each
 component the first paragraph by document and place is kept.
+
+Passages that run over several lines or stand within a longer one are found on
+the words of the whole text: units start at the words that content picks, so
+equal runs are cut alike, equal units are counted, and those that repeat are
+merged to spans.
 """
 
 from __future__ import annotations
@@ -127,13 +132,13 @@ def repeated_passages(
     row that repeats a document's id and text has the same marks; an empty table
     gives no rows; other columns are ignored.
     """
-    found = keep(paragraphs(docs, min_words, id_col, text_col))
-    distinct = keep(found.groupBy("h").agg(F.max("text").alias("text")).withColumn("pid", F.monotonically_increasing_id()))
+    found = keep(paragraphs(docs, min_words, id_col, text_col).drop("text"))
+    texts = paragraphs(docs, min_words, id_col, text_col).select("h", "text")  # made again: a written copy takes more disk than that takes time
+    distinct = keep(texts.groupBy("h").agg(F.max("text").alias("text")).withColumn("pid", F.monotonically_increasing_id()))
     links = similar(distinct, keep(band_keys(distinct, k, bands_needed(rows, similarity, recall), rows, seed)), k, similarity)
     groups = connected_components(links)
     named = keep(distinct.select("pid", "h").join(groups.withColumnRenamed("id", "pid"), "pid", "left").select("h", F.coalesce("component", "pid").alias("component")))
-    spans = found.select("doc_id", "paragraph", "start", "n_chars", "n_words", "h")
-    placed = keep(spans.join(named, "h").drop("h"))
+    placed = keep(found.join(named, "h").drop("h"))
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("paragraph").alias("p"), F.col("start").alias("s"))
     many = keep(placed.groupBy("component").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n_members")).where("n_members > 1"))
     first = (F.col("doc_id").eqNullSafe(F.col("first.d"))) & (F.col("paragraph") == F.col("first.p"))
@@ -142,11 +147,185 @@ def repeated_passages(
     )
 
 
+#: Shingles among which the smallest hash starts a unit, and the words of a shingle.
+WINDOW, PICK = 16, 5
+_DRAW = np.random.default_rng(11)
+_BYTE = _DRAW.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BASES = [int(x) * 8 + 5 for x in _DRAW.integers(0, 1 << 60, 3)]
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_powers: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo 2^64."""
+    if len(_powers.get(base, ())) < n:
+        _powers[base] = np.cumprod(np.r_[np.uint64(1), np.full(2 * n, base % (1 << 64), np.uint64)], dtype=np.uint64)
+    return _powers[base][:n]
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ h >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ h >> np.uint64(33)) * np.uint64(0xC4CEB9FE1A85EC53)
+    return h ^ h >> np.uint64(33)
+
+
+def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
+    """A hash of ``values[start:end]`` for each range, wherever it stands."""
+    sums = np.r_[np.uint64(0), np.cumsum(values * powers(base, len(values)), dtype=np.uint64)]
+    return mixed((sums[end] - sums[start]) * powers(pow(base, -1, 1 << 64), len(values) + 1)[start])
+
+
+def units(texts: list[bytes], size: int) -> tuple[np.ndarray, ...]:
+    """(text, first word, first byte, byte past the end, hash) of the units of ``size`` words.
+
+    A unit starts where a shingle has the smallest hash of ``WINDOW`` in a row,
+    so two equal runs of ``size + WINDOW - 1`` words have one in common.
+    """
+    b = np.frombuffer(b" ".join(texts).lower(), np.uint8)
+    begin = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
+    edge = np.diff(np.r_[True, _SPACE[b], True].astype(np.int8))
+    first, past = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    if len(first) < max(size, WINDOW + PICK - 1):
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
+    of = np.searchsorted(begin, first, "right") - 1
+    word = range_hashes(_BYTE[b], first, past, _BASES[0])
+    i = np.arange(len(first) - PICK + 1)
+    view = np.lib.stride_tricks.sliding_window_view(range_hashes(word, i, i + PICK, _BASES[1]), WINDOW)
+    within = np.flatnonzero(of[: len(view)] == of[WINDOW + PICK - 2 :])
+    at = np.unique((view.argmin(1) + np.arange(len(view)))[within])
+    at = at[at + size <= len(first)]
+    at = at[of[at] == of[at + size - 1]]
+    h = range_hashes(word, at, at + size, _BASES[2])
+    _, back, times = np.unique(mixed(h + of[at].astype(np.uint64) * np.uint64(_BASES[0] | 1)), return_inverse=True, return_counts=True)
+    stays, last = np.ones(len(at), bool), {}
+    for j in np.flatnonzero(times[back] > 1).tolist():  # of equal units of a text that overlap, one
+        if at[j] - last.get(back[j], -size) >= size:
+            last[back[j]] = at[j]
+        else:
+            stays[j] = False
+    at, h = at[stays], h[stays]
+    of, base = of[at], np.searchsorted(first, begin)
+    return of, at - base[of], first[at] - begin[of], past[at + size - 1] - begin[of], h
+
+
+def unit_rows(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
+    """(h, doc_id, tag, word, start, n_chars, paragraph) for each unit; ``tag`` is a hash of the text."""
+
+    def some(ids: list, texts: list[bytes]) -> pa.RecordBatch:
+        of, word, start, past, h = units(texts, size)
+        tags = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)
+        line = np.zeros(len(of), np.int64)
+        cuts = np.searchsorted(of, np.arange(len(texts) + 1))
+        for j, t in enumerate(texts):
+            mine = slice(cuts[j], cuts[j + 1])
+            if cuts[j] == cuts[j + 1]:
+                continue
+            b = np.frombuffer(t, np.uint8)
+            if b"\n" in t:
+                line[mine] = np.searchsorted(np.flatnonzero(b == 10), start[mine])
+            if not t.isascii():
+                chars = np.r_[0, np.cumsum((b & 0xC0) != 0x80)]
+                start[mine], past[mine] = chars[start[mine]], chars[past[mine]]
+        ids = pa.array(ids, pa.int64()).take(pa.array(of, pa.int64()))
+        int_ = lambda x: pa.array(x.astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), ids, pa.array(tags[of]), int_(word), int_(start), int_(past - start), int_(line)], ["h", "doc_id", "tag", "word", "start", "n_chars", "paragraph"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts, held = [], [], 0
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids.append(doc)
+                texts.append((text.as_py() or "").encode("utf-8", "surrogatepass"))
+                held += len(texts[-1])
+                if held > 500_000:
+                    yield some(ids, texts)
+                    ids, texts, held = [], [], 0
+            if ids:
+                yield some(ids, texts)
+
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "h long, doc_id long, tag long, word int, start int, n_chars int, paragraph int")
+
+
+MARKS = "doc_id long, paragraph long, start long, n_chars long, n_words long, component_doc long, component_paragraph long, n_members long, kept boolean"
+
+
+def merge_units(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """One row for each span of units that overlap or touch and agree in ``kept``
+    and the document of their first places."""
+    schema = pa.schema([(c, pa.bool_() if t == "boolean" else pa.int64()) for c, t in (x.split() for x in MARKS.split(", "))])
+    for table in whole_groups(batches):
+        spans, ends = [], {}
+        for r in sorted(table.to_pylist(), key=lambda r: (r["key"], r["doc_id"] is None, r["doc_id"] or 0, r["tag"], r["copy"], r["word"])):
+            what = (r["doc_id"], r["tag"], r["copy"], r["kept"], r["component_doc"])
+            last = ends.get(what)
+            if last and r["word"] <= last["word"] + last["n_words"]:
+                last |= {"n_words": r["word"] + size - last["word"], "n_chars": r["start"] + r["n_chars"] - last["start"], "n_members": max(last["n_members"], r["n_members"])}
+            else:
+                spans.append(r | {"n_words": size})
+                ends[what] = spans[-1]
+        yield pa.RecordBatch.from_pylist([{c: s[c] for c in schema.names} for s in spans], schema)
+
+
+def repeated_runs(docs: DataFrame, run_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows as of :func:`repeated_passages` for runs of equal words, over line ends and within lines.
+
+    Every run of ``run_words`` words or more that stands twice is found in all its
+    places, but for up to ``WINDOW - 1`` words at either end; shorter ones from
+    ``run_words - WINDOW + 1`` words are found where a unit meets them.
+    ``paragraph`` is the line in which the span starts, ``n_members`` the places of
+    its most repeated unit; ``kept`` spans are the first places of their units.
+    Words are compared by 64-bit hashes of units, without regard to case (A-Z) and white space.
+    """
+    size = run_words - WINDOW + 1
+    made = lambda: unit_rows(docs, size, id_col, text_col)
+    many = keep(made().groupBy("h").agg(F.count(F.lit(1)).alias("n_members")).where("n_members > 1"))
+    found = keep(made().join(many, "h"))
+    place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("tag").alias("t"), F.col("start").alias("s"), F.col("paragraph").alias("p"))
+    first = keep(found.groupBy("h").agg(F.min(place).alias("first")))
+    marked = found.join(first, "h").withColumns({"kept": place == F.col("first"), "component_doc": F.col("first.d"), "component_paragraph": F.col("first.p")}).drop("h", "first")
+    # Rows that repeat id and text have equal units: they are merged once and come as often as they are.
+    same = [c for c in marked.columns]
+    once = marked.groupBy(*same).agg(F.count(F.lit(1)).alias("copies")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
+    dealt = once.withColumn("key", F.xxhash64("doc_id", "tag", "copy"))
+    return by_key(dealt).mapInArrow(lambda batches: merge_units(batches, size), MARKS)
+
+
+def every_passage(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of :func:`repeated_passages`, and those of :func:`repeated_runs` that
+    say more: spans within a repeated line are left out if the line goes or the span stays."""
+    lines = keep(repeated_passages(docs, id_col=id_col, text_col=text_col))
+    runs = keep(repeated_runs(docs, id_col=id_col, text_col=text_col))
+    at = F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("n_chars")).alias("end"), "kept")))
+    known = lines.groupBy("doc_id").agg(at.alias("known"))
+    covered = F.exists("known", lambda x: (x["start"] <= F.col("start")) & (x["end"] >= F.col("start") + F.col("n_chars")) & (F.col("kept") | ~x["kept"]))
+    more = runs.join(known.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left").where(~F.coalesce(covered, F.lit(False))).drop("known", "of")
+    return lines.unionByName(more.select(*lines.columns))
+
+
 def without_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the lines that :func:`repeated_passages` did not keep taken out of their texts."""
-    gone = keep(passages.where("not kept").groupBy("doc_id").agg(F.collect_set("paragraph").alias("lines")))
-    lines = F.split(F.col(f"row.{text_col}"), "\n", -1)
-    left = F.filter(lines, lambda line, n: ~F.array_contains(F.col("lines"), n.cast("long")))
-    text = F.when(F.col("lines").isNull(), F.col(f"row.{text_col}")).otherwise(F.array_join(left, "\n"))
+    """``docs`` without the passages that are not kept: whole lines go with their line
+    end, of other spans the words that no kept span of runs holds."""
+    gone = keep(passages.groupBy("doc_id").agg(F.collect_set(F.struct("start", "n_chars", "kept")).alias("spans")).where(F.exists("spans", lambda x: ~x["kept"])))
+
+    @F.udf("string")
+    def cut(text: str | None, spans: list | None) -> str | None:
+        if text is None or not spans:
+            return text
+        ends = lambda s: (s.start == 0 or text[s.start - 1] == "\n") and (s.start + s.n_chars == len(text) or text[s.start + s.n_chars] == "\n")
+        stays = np.ones(len(text) + 1, bool)
+        for s in sorted((x for x in spans if not (x.kept and ends(x))), key=lambda x: (x.kept, ends(x))):
+            stays[s.start : s.start + s.n_chars] = s.kept
+        for s in spans:
+            if not s.kept and ends(s):
+                stays[s.start : s.start + s.n_chars + 1] = False
+        left = "".join(text[a:b] for a, b in _stretches(stays[:-1]))
+        return left[:-1] if not stays[-1] and left.endswith("\n") else left
+
     joined = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("doc_id")).join(gone, "doc_id", "left")
+    text = F.when(F.col("spans").isNull(), F.col(f"row.{text_col}")).otherwise(cut(F.col(f"row.{text_col}"), "spans"))
     return joined.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
+
+
+def _stretches(stays: np.ndarray) -> Iterator[tuple[int, int]]:
+    edge = np.diff(np.r_[False, stays, False].astype(np.int8))
+    return zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())
