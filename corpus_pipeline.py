@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm import secrets as secret_scan
 from tideline.llm.common import keep
-from tideline.llm.language_id import fit, predict
+from tideline.llm.language_id import fit, in_learned_language, predict, usual_length
 from tideline.llm.mixing import mix
 from tideline.llm.packing import pack
 from tideline.llm.queries import held_out, secret_model
@@ -22,8 +22,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts in a learned language, with ``lang`` as predicted; the others go:
-    null texts, texts without a letter, and those whose score is under 0.5."""
-    judged = predict(docs, fit(docs, ~held_out(F.col("doc_id"))))
+    null texts, texts without a letter, those whose score is under 0.5, and those
+    whose code is far longer than that of a training text."""
+    train = ~held_out(F.col("doc_id"))
+    model = fit(docs, train)
+    judged = predict(docs.where(in_learned_language(F.col("text"), model, usual_length(docs, train, model))), model)
     return judged.where("lang_pred <> 'und' and score >= 0.5").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 

@@ -44,6 +44,14 @@ def test_stages(spark, corpus):
     assert (lengths & (lengths - 1) == 0).all() and lengths.max() <= 2048
 
 
+def test_unlearned_languages_go(spark, corpus):
+    known = ["the house stands by the river and the old men walk", "Wir gehen heute nach Hause", "some text that has no id at all", "key 24be64439e3e49cf46b2d7c90f3602a3d0b907ff stands among the words"]
+    unknown = ["Вчера вечером мы долго гуляли по берегу реки и говорили о доме", "昨天晚上我们在河边散步聊天", "xq7zk vjw9q pzx kqjv wq8 zzxv qkj vvqx zkq jqw", "I går kveld gikk vi lenge langs elva og snakket om huset vårt"]
+    docs = corpus.unionByName(spark.createDataFrame([(8000 + i, t, None, "src0", len(t)) for i, t in enumerate(known + unknown)], SCHEMA))
+    ids = {r.doc_id for r in corpus_pipeline.language(spark, docs, "unused").where("doc_id >= 8000").collect()}
+    assert ids == {8000 + i for i in range(len(known))}
+
+
 def test_empty_corpus(spark, corpus):
     docs = corpus.limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -16,13 +16,16 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import small_batches
 
 ORDER = 3
 _LETTER = regex.compile(r"\p{L}")
+_CODED = regex.compile(r"\S*\d\S*")
+#: Times the usual code length a byte that a text in a learned language may take, and bits that any text may take besides.
+WIDE, SPARE = 4.0, 64.0
 
 
 @dataclass
@@ -126,6 +129,42 @@ def build(langs: list[str], of: np.ndarray, gram: np.ndarray, n: np.ndarray) ->
     return Model(langs, symbol, node, np.concatenate(tables).astype(np.float32).reshape(start * k, m))
 
 
+def words_only(text: str) -> bytes:
+    """``text`` without the tokens that hold digits, such as keys and numbers; all of it if no letter is left."""
+    left = _CODED.sub(" ", text)
+    return normal(left if _LETTER.search(left) else text)
+
+
+def usual_length(docs: DataFrame, allowed: Column, model: Model, docs_per_lang: int = 200, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> float:
+    """The median over the training texts of the bits a byte that their shortest code takes."""
+    frozen = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [words_only(t) for t in batch["text"].to_pylist() if t and _LETTER.search(t)]
+            yield pa.RecordBatch.from_arrays([pa.array([float(frozen.value.code_lengths(t).min() / len(t)) for t in texts], pa.float64())], ["bits"])
+
+    rows = training_rows(docs, allowed, docs_per_lang, text_col, lang_col, id_col)
+    found = rows.mapInArrow(run, "bits double").toArrow()["bits"].to_numpy() if model.langs else []
+    return float(np.median(found)) if len(found) else float("inf")
+
+
+def in_learned_language(text: Column, model: Model, usual: float) -> Column:
+    """Whether the shortest code of ``text`` is near enough to the ``usual`` bits a byte; false for null texts and those without a letter.
+
+    ``score`` only compares the learned languages and is near 1 for a text in none of them.
+    """
+    frozen = SparkSession.active().sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def fits(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in texts:
+            plain = [words_only(t) if t and _LETTER.search(t) and frozen.value.langs else None for t in part]
+            yield pd.Series([t is not None and bool(frozen.value.code_lengths(t).min() <= WIDE * usual * len(t) + SPARE) for t in plain], dtype=bool)
+
+    return fits(text)
+
+
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, one row for each row; columns of
     these names are replaced.
