@@ -15,7 +15,7 @@ from tideline.llm.language_id import fit, in_learned_language, predict, usual_le
 from tideline.llm.mixing import mix
 from tideline.llm.packing import pack
 from tideline.llm.queries import held_out, secret_model
-from tideline.llm.simhash_dedup import simhash_components
+from tideline.llm.substring_dedup import similar_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -31,11 +31,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates, once.
+    """The document with the smallest id of each group of near-duplicates, once:
+    texts whose shingles of five words have a Jaccard similarity of 0.8 or more.
 
     Rows that repeat an id are copies of one document; rows without an id stay.
     """
-    found = simhash_components(docs, shingle=3)
+    found = similar_documents(docs, k=5, similarity=0.8)
     kept = found.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
     named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
     return named.unionByName(docs.where("doc_id is null").select(*COLUMNS))

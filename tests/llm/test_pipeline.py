@@ -52,6 +52,23 @@ def test_unlearned_languages_go(spark, corpus):
     assert ids == {8000 + i for i in range(len(known))}
 
 
+def test_near_copies_go(spark):
+    rng, rows = np.random.default_rng(8), []
+    for g in range(40):
+        base = [f"w{x}" for x in rng.integers(0, 5000, 200)]
+        for v in range(4):  # copies with up to 3 words changed, and an unrelated one
+            words = list(base) if v < 3 else [f"w{x}" for x in rng.integers(0, 5000, 200)]
+            for at in rng.choice(200, v if v < 3 else 0, replace=False):
+                words[at] = "changed"
+            rows.append((g * 10 + v, " ".join(words), "en", "src0", 0))
+    sets = {d: set(zip(*(t.split()[i:] for i in range(5)))) for d, t, *_ in rows}
+    near = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    want = {d for d in sets if not any(near(d, e) for e in sets if e < d)}
+    assert len(want) == 80
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "unused").collect()} == want
+
+
 def test_empty_corpus(spark, corpus):
     docs = corpus.limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -72,8 +72,8 @@ def band_keys(distinct: DataFrame, k: int, bands: int, rows: int, seed: int) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 2000):
-                batch = whole.slice(at, 2000)
+            for at in range(0, whole.num_rows, 500):
+                batch = whole.slice(at, 500)
                 each = [shingles(t.split(b" "), k) for t in batch["text"].to_pylist()]
                 h = np.array([xxhash.xxh64_intdigest(s) for one in each for s in one], np.uint64)
                 starts = np.cumsum([0, *map(len, each)])[:-1]
@@ -95,11 +95,16 @@ def similar(distinct: DataFrame, bands: DataFrame, k: int, similarity: float) ->
         for table in whole_groups(batches):
             key, pid = table["key"].to_numpy(), table["pid"].to_numpy()
             block, same = table["block"].to_numpy(), table["same"].to_numpy()
-            texts, of, forest = table["text"].combine_chunks(), {}, Forest(len(key))
+            texts, of, held, forest = table["text"].combine_chunks(), {}, 0, Forest(len(key))
 
             def pieces(i: int) -> set[bytes]:
+                nonlocal held
                 if pid[i] not in of:
+                    if held > 1_500_000:
+                        of.clear()
+                        held = 0
                     of[pid[i]] = set(shingles(texts[int(i)].as_py().split(b" "), k))
+                    held += len(of[pid[i]])
                 return of[pid[i]]
 
             for i, j in pairs_in_runs(key):
@@ -109,8 +114,6 @@ def similar(distinct: DataFrame, bands: DataFrame, k: int, similarity: float) ->
                 linked = [(a, b) for a, b in zip(i[meets], j[meets]) if (both := len((x := pieces(a)) & (y := pieces(b)))) >= similarity * (len(x) + len(y) - both)]
                 if linked:
                     forest.link(*np.array(linked).T)
-                if len(of) > 50_000:
-                    of.clear()
             root = forest.settle()
             at = np.flatnonzero(root != np.arange(len(root)))
             yield pa.RecordBatch.from_arrays([pa.array(pid[at]), pa.array(pid[root[at]])], ["src", "dst"])
@@ -147,6 +150,39 @@ def repeated_passages(
     )
 
 
+def whole_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, h, text) for each row: the whole text as one paragraph, as :func:`paragraphs` writes it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
+                plain = [b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split()) for t in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in plain], pa.binary()), pa.array(plain, pa.binary())], ["id", "h", "text"])
+
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, h binary, text binary")
+
+
+def similar_documents(docs: DataFrame, k: int = 5, similarity: float = 0.8, rows: int = 4, recall: float = 0.9998, seed: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, component_id) for each row of ``docs``: the smallest id reachable over pairs
+    of texts whose sets of ``k``-word shingles have at least this Jaccard similarity.
+
+    A pair at the threshold meets with probability ``recall``, closer ones more surely,
+    and every pair that meets is verified.  Texts that differ in case (A-Z) or white
+    space only are equal, as are texts without words; rows with a null id take part in no minimum.
+    """
+    ids = keep(whole_texts(docs, id_col, text_col).drop("text"))
+    texts = whole_texts(docs, id_col, text_col).select("h", "text")
+    distinct = keep(texts.groupBy("h").agg(F.max("text").alias("text")).withColumn("pid", F.monotonically_increasing_id()))
+    links = similar(distinct, keep(band_keys(distinct, k, bands_needed(rows, similarity, recall), rows, seed)), k, similarity)
+    groups = connected_components(links).withColumnRenamed("id", "pid")
+    own = ids.groupBy("h").agg(F.min("id").alias("own_min"))
+    named = keep(distinct.select("pid", "h").join(groups, "pid", "left").select("h", F.coalesce("component", "pid").alias("component")).join(own, "h"))
+    least = named.groupBy("component").agg(F.min("own_min").alias("component_id"))
+    by_text = keep(named.join(least, "component").select("h", "component_id"))
+    return ids.join(by_text, "h").select("id", "component_id")
+
+
 #: Shingles among which the smallest hash starts a unit, and the words of a shingle.
 WINDOW, PICK = 16, 5
 _DRAW = np.random.default_rng(11)
