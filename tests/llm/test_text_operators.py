@@ -294,3 +294,47 @@ def test_forest_generalises(spark, forest):
     judged = rows.select("label", f.alias("f")).select("label", (F.expr(forest.sql) >= 0.5).cast("int").alias("said"))
     right = judged.agg(F.avg((F.col("label") == F.col("said")).cast("int"))).first()[0]
     assert right > 0.9
+
+
+def test_passages_anywhere_against_brute_force(spark):
+    """Every run of 50 words that two documents share is marked in both, wherever it
+    stands; a document without one is left alone."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for g in range(12):
+        run = prose(900 + g, int(rng.integers(50, 90))).split()
+        for v in range(2):
+            before, after = (prose(1000 + 10 * g + 2 * v + k, int(rng.integers(0, 160))).split() for k in range(2))
+            words = before + run + after
+            wrap = int(rng.integers(7, 400))
+            rows.append((2 * g + v, "\n".join(" ".join(words[i : i + wrap]) for i in range(0, len(words), wrap)), "a"))
+    rows += [(100 + i, prose(2000 + i, 150), "a") for i in range(5)]
+    places = {}
+    for d, t, _ in rows:
+        words = t.split()
+        for i in range(len(words) - 49):
+            places.setdefault(" ".join(words[i : i + 50]), set()).add(d)
+    want = {d for ds in places.values() if len(ds) > 1 for d in ds}
+    assert len(want) == 24
+    assert {r.doc_id for r in substring_dedup.every_passage(frame(spark, rows)).select("doc_id").collect()} == want
+
+
+def test_near_copies_within_long_lines(spark):
+    """Pieces that content cuts from long lines are linked by their Jaccard similarity."""
+    base = prose(77, 700).split()
+    edited = list(base)
+    edited[350] = "changed"
+    rows = [(1, prose(78, 90) + " " + " ".join(base), "a"), (2, " ".join(edited) + " " + prose(79, 30), "a"), (3, prose(80, 600), "a")]
+    pieces = substring_dedup.paragraph_cuts([r[1].encode() for r in rows], 40)
+    assert min(pieces[4]) >= 40 and sum(pieces[4][pieces[0] == 0]) > 740
+    found = substring_dedup.repeated_passages(frame(spark, rows)).collect()
+    words = {d: sum(r.n_words for r in found if r.doc_id == d) for d in (1, 2, 3)}
+    assert words[3] == 0 and min(words[1], words[2]) > 300
+    spans = [range(r.start, r.start + r.n_chars) for r in found if r.doc_id == 2]
+    assert any(len(" ".join(edited[:350])) in s for s in spans)  # the edited word lies in a piece that is found
+
+
+def test_repeated_rows_keep_one_passage(spark):
+    rows = [(1, prose(60, 80), "a"), (1, prose(60, 80), "a"), (None, "", "a")]
+    found = substring_dedup.every_passage(frame(spark, rows))
+    assert [r.kept for r in found.orderBy("kept").collect()] == [False, True]

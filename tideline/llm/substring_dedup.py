@@ -1,15 +1,15 @@
 """Repeated passages by MinHash banding of paragraphs.
 
-Paragraphs are lines.  Equal paragraphs are one; the MinHash signature of each
-distinct paragraph is cut into bands, tuned so that a pair at the threshold
-shares a band almost surely.  Paragraphs that meet in a band are verified by the
-exact Jaccard similarity of their shingles, links form components, and of each
-component the first paragraph by document and place is kept.
-
-Passages that run over several lines or stand within a longer one are found on
-the words of the whole text: units start at the words that content picks, so
-equal runs are cut alike, equal units are counted, and those that repeat are
-merged to spans.
+Paragraphs are lines of usual length; short lines in a row and long lines are cut
+into paragraphs at words that content picks.  Equal paragraphs are one; the MinHash
+signature of each distinct paragraph is cut into bands, tuned so that a pair at the
+threshold shares a band almost surely.  Paragraphs that meet in a band are verified
+by the exact Jaccard similarity of their shingles, links form components, and of
+each component the first paragraph by document and place is kept.
+
+A passage may also end anywhere within paragraphs.  Its equal runs of words are
+found on overlapping units of the whole text that start at the words which content
+picks: equal units are one, and those that repeat are merged to spans.
 """
 
 from __future__ import annotations
@@ -36,33 +36,112 @@ def shingles(words: list[bytes], k: int) -> list[bytes]:
     return list(map(b" ".join, zip(*(words[i:] for i in range(k))))) if len(words) > k else [b" ".join(words)]
 
 
+#: Words of the shortest and the longest line that is a paragraph, and shingles on
+#: either side among which a cut has the smallest hash.
+LEAST, MOST, SIDE = 40, 120, 40
+
+
+def sliding_least(h: np.ndarray, n: int) -> np.ndarray:
+    """The least of each ``n`` values in a row."""
+    size = 1
+    while 2 * size <= n:
+        h = np.minimum(h[:-size], h[size:])
+        size *= 2
+    return np.minimum(h[: len(h) - (n - size)], h[n - size :]) if n > size else h
+
+
+def paragraph_cuts(texts: list[bytes], least: int) -> tuple[np.ndarray, ...]:
+    """(text, first word's number, first byte, byte past the end, words, whole line) of the paragraphs.
+
+    A line of ``least`` to MOST words is a paragraph.  What lies between such
+    lines, short lines in a row and long ones, is cut where content says so: before
+    a shingle whose hash is the smallest of SIDE on either side, so that equal
+    stretches are cut alike wherever they stand.  Pieces under ``least`` words,
+    which only ends of a stretch can be, are no paragraphs.
+    """
+    b, begin, first, past, of, word = lexed(texts)
+    if not len(first):
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
+    line = np.searchsorted(np.flatnonzero(b == 10), first)
+    opens = np.r_[True, (line[1:] != line[:-1]) | (of[1:] != of[:-1])]
+    at = np.flatnonzero(opens)
+    size = np.diff(np.r_[at, len(first)])
+    whole = (size >= least) & (size <= MOST)
+    is_whole = np.repeat(whole, size)
+    starts = opens & is_whole | np.r_[True, (is_whole[1:] != is_whole[:-1]) | (of[1:] != of[:-1])]
+    n = len(first) - PICK + 1
+    if n > 2 * SIDE:
+        i = np.arange(n)
+        h = range_hashes(word, i, i + PICK, _BASES[1])
+        low = sliding_least(h, SIDE)
+        mid = np.arange(SIDE, n - SIDE)
+        mid = mid[(h[mid] < low[mid - SIDE]) & (h[mid] <= low[mid + 1])]
+        stretch = np.cumsum(starts)
+        starts[mid[(stretch[mid - SIDE] == stretch[mid + SIDE + PICK - 1]) & ~is_whole[mid]]] = True
+    s = np.flatnonzero(starts)
+    e = np.r_[s[1:], len(first)]
+    s, e = s[e - s >= least], e[e - s >= least]
+    base = np.searchsorted(first, begin)
+    return of[s], s - base[of[s]], first[s] - begin[of[s]], past[e - 1] - begin[of[s]], e - s, is_whole[s]
+
+
+def in_characters(text: bytes, *places: np.ndarray) -> list[np.ndarray]:
+    """Places in bytes as places in characters."""
+    if text.isascii():
+        return list(places)
+    chars = np.r_[0, np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)]
+    return [chars[p] for p in places]
+
+
 def paragraphs(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, paragraph, start, n_chars, n_words, h, text): the lines of at least
-    ``min_words`` words, ``text`` lower-cased (A-Z) with single spaces, ``h`` its digest."""
+    """(row, doc_id, paragraph, start, n_chars, n_words, h, text): ``paragraph`` is the
+    line in which it starts, ``text`` lower-cased (A-Z) with single spaces, ``h`` its digest."""
+    names = ["row", "doc_id", "paragraph", "start", "n_chars", "n_words", "h", "text"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+
+    def some(keys: list[tuple], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        of, _, first, past, n_words, whole = paragraph_cuts(texts, min_words)
+        cuts, rows, held = np.searchsorted(of, np.arange(len(texts) + 1)), [], 0
+        for j, t in enumerate(texts):
+            mine = slice(cuts[j], cuts[j + 1])
+            if cuts[j] == cuts[j + 1]:
+                continue
+            ends = np.flatnonzero(np.frombuffer(t, np.uint8) == 10)
+            line = np.searchsorted(ends, first[mine])
+            edges = np.r_[-1, ends, len(t)]
+            lo, hi = np.where(whole[mine], edges[line] + 1, first[mine]), np.where(whole[mine], edges[line + 1], past[mine])
+            start, end = in_characters(t, lo, hi)
+            for k in range(len(line)):
+                plain = b" ".join(t[lo[k] : hi[k]].lower().split())
+                rows.append((*keys[j], int(line[k]), int(start[k]), int(end[k] - start[k]), int(n_words[mine][k]), hashlib.blake2b(plain, digest_size=16).digest(), plain))
+                held += len(plain)
+            if held > 8_000_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+                rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "paragraph", "start", "n_chars", "n_words", "h", "text"]
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-        for batch in batches:
-            rows, held = [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                start = 0
-                for n, line in enumerate((text.as_py() or "").split("\n")):
-                    words = line.encode("utf-8", "surrogatepass").lower().split()
-                    if len(words) >= min_words:
-                        plain = b" ".join(words)
-                        rows.append((doc, n, start, len(line), len(words), hashlib.blake2b(plain, digest_size=16).digest(), plain))
-                        held += len(plain)
-                    start += len(line) + 1
-                if held > 8_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-                    rows, held = [], 0
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+        for keys, texts in text_groups(batches):
+            yield from some(keys, texts)
 
-    return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, paragraph long, start long, n_chars long, n_words long, h binary, text binary"
-    )
+    rows = small_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "row long, doc_id long, paragraph long, start long, n_chars long, n_words long, h binary, text binary")
+
+
+def text_groups(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Iterator[tuple[list[tuple], list[bytes]]]:
+    """The leading columns and the last one, texts as bytes (null: empty), of some rows of bounded size at once."""
+    for batch in batches:
+        keys, texts, held = [], [], 0
+        for key, text in zip(zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns - 1))), batch.columns[-1]):
+            keys.append(key)
+            texts.append((text.as_py() or "").encode("utf-8", "surrogatepass"))
+            held += len(texts[-1])
+            if held > most:
+                yield keys, texts
+                keys, texts, held = [], [], 0
+        if keys:
+            yield keys, texts
 
 
 def band_keys(distinct: DataFrame, k: int, bands: int, rows: int, seed: int) -> DataFrame:
@@ -126,14 +205,14 @@ def repeated_passages(
     docs: DataFrame, min_words: int = 40, k: int = 5, similarity: float = 0.8, rows: int = 4, recall: float = 0.9998, seed: int = 3,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """One row for each paragraph that is repeated: doc_id, paragraph (its line from 0),
-    start and n_chars in the text, n_words, component_doc and component_paragraph
-    (the first of its component), n_members and kept (whether it is that first one).
-
-    Paragraphs with fewer than ``min_words`` words are left alone.  Null and
-    empty texts have none; rows with a null id stand last in the order; a
-    row that repeats a document's id and text has the same marks; an empty table
-    gives no rows; other columns are ignored.
+    """One row for each paragraph (see :func:`paragraph_cuts`) that is repeated: doc_id,
+    paragraph (the line it starts in, from 0), start and n_chars in the text, n_words,
+    component_doc and component_paragraph (the first of its component), n_members
+    and kept (whether it is that first one).
+
+    Null and empty texts have none; rows with a null id stand last in the order; of
+    rows that repeat an id and its text one is kept; an empty table gives no rows;
+    other columns are ignored.
     """
     found = keep(paragraphs(docs, min_words, id_col, text_col).drop("text"))
     texts = paragraphs(docs, min_words, id_col, text_col).select("h", "text")  # made again: a written copy takes more disk than that takes time
@@ -142,9 +221,9 @@ def repeated_passages(
     groups = connected_components(links)
     named = keep(distinct.select("pid", "h").join(groups.withColumnRenamed("id", "pid"), "pid", "left").select("h", F.coalesce("component", "pid").alias("component")))
     placed = keep(found.join(named, "h").drop("h"))
-    place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("paragraph").alias("p"), F.col("start").alias("s"))
+    place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("paragraph").alias("p"), F.col("start").alias("s"), F.col("row").alias("r"))
     many = keep(placed.groupBy("component").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n_members")).where("n_members > 1"))
-    first = (F.col("doc_id").eqNullSafe(F.col("first.d"))) & (F.col("paragraph") == F.col("first.p"))
+    first = (F.col("row") == F.col("first.r")) & (F.col("start") == F.col("first.s"))
     return placed.join(many, "component").select(
         "doc_id", "paragraph", "start", "n_chars", "n_words", F.col("first.d").alias("component_doc"), F.col("first.p").alias("component_paragraph"), "n_members", first.alias("kept")
     )
@@ -211,20 +290,25 @@ def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: i
     return mixed((sums[end] - sums[start]) * powers(pow(base, -1, 1 << 64), len(values) + 1)[start])
 
 
+def lexed(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Lower-cased bytes of ``texts`` joined, where each text begins, where words
+    begin and end, the text of each word and its hash."""
+    b = np.frombuffer(b" ".join(texts).lower(), np.uint8)
+    begin = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
+    edge = np.diff(np.r_[True, _SPACE[b], True].astype(np.int8))
+    first, past = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    return b, begin, first, past, np.searchsorted(begin, first, "right") - 1, range_hashes(_BYTE[b], first, past, _BASES[0])
+
+
 def units(texts: list[bytes], size: int) -> tuple[np.ndarray, ...]:
     """(text, first word, first byte, byte past the end, hash) of the units of ``size`` words.
 
     A unit starts where a shingle has the smallest hash of ``WINDOW`` in a row,
     so two equal runs of ``size + WINDOW - 1`` words have one in common.
     """
-    b = np.frombuffer(b" ".join(texts).lower(), np.uint8)
-    begin = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
-    edge = np.diff(np.r_[True, _SPACE[b], True].astype(np.int8))
-    first, past = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    b, begin, first, past, of, word = lexed(texts)
     if len(first) < max(size, WINDOW + PICK - 1):
         return tuple(np.zeros(0, np.int64) for _ in range(5))
-    of = np.searchsorted(begin, first, "right") - 1
-    word = range_hashes(_BYTE[b], first, past, _BASES[0])
     i = np.arange(len(first) - PICK + 1)
     view = np.lib.stride_tricks.sliding_window_view(range_hashes(word, i, i + PICK, _BASES[1]), WINDOW)
     within = np.flatnonzero(of[: len(view)] == of[WINDOW + PICK - 2 :])
@@ -247,37 +331,23 @@ def units(texts: list[bytes], size: int) -> tuple[np.ndarray, ...]:
 def unit_rows(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     """(h, doc_id, tag, word, start, n_chars, paragraph) for each unit; ``tag`` is a hash of the text."""
 
-    def some(ids: list, texts: list[bytes]) -> pa.RecordBatch:
+    def some(keys: list[tuple], texts: list[bytes]) -> pa.RecordBatch:
         of, word, start, past, h = units(texts, size)
         tags = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)
         line = np.zeros(len(of), np.int64)
         cuts = np.searchsorted(of, np.arange(len(texts) + 1))
         for j, t in enumerate(texts):
             mine = slice(cuts[j], cuts[j + 1])
-            if cuts[j] == cuts[j + 1]:
-                continue
-            b = np.frombuffer(t, np.uint8)
-            if b"\n" in t:
-                line[mine] = np.searchsorted(np.flatnonzero(b == 10), start[mine])
-            if not t.isascii():
-                chars = np.r_[0, np.cumsum((b & 0xC0) != 0x80)]
-                start[mine], past[mine] = chars[start[mine]], chars[past[mine]]
-        ids = pa.array(ids, pa.int64()).take(pa.array(of, pa.int64()))
+            if cuts[j] < cuts[j + 1]:
+                line[mine] = np.searchsorted(np.flatnonzero(np.frombuffer(t, np.uint8) == 10), start[mine]) if b"\n" in t else 0
+                start[mine], past[mine] = in_characters(t, start[mine], past[mine])
+        ids = pa.array([k[0] for k in keys], pa.int64()).take(pa.array(of, pa.int64()))
         int_ = lambda x: pa.array(x.astype(np.int32))
         return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), ids, pa.array(tags[of]), int_(word), int_(start), int_(past - start), int_(line)], ["h", "doc_id", "tag", "word", "start", "n_chars", "paragraph"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, texts, held = [], [], 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids.append(doc)
-                texts.append((text.as_py() or "").encode("utf-8", "surrogatepass"))
-                held += len(texts[-1])
-                if held > 500_000:
-                    yield some(ids, texts)
-                    ids, texts, held = [], [], 0
-            if ids:
-                yield some(ids, texts)
+        for keys, texts in text_groups(batches):
+            yield some(keys, texts)
 
     return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "h long, doc_id long, tag long, word int, start int, n_chars int, paragraph int")
 
@@ -322,7 +392,7 @@ def repeated_runs(docs: DataFrame, run_words: int = 50, id_col: str = "doc_id",
     # Rows that repeat id and text have equal units: they are merged once and come as often as they are.
     same = [c for c in marked.columns]
     once = marked.groupBy(*same).agg(F.count(F.lit(1)).alias("copies")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
-    dealt = once.withColumn("key", F.xxhash64("doc_id", "tag", "copy"))
+    dealt = once.withColumns({"kept": F.col("kept") & (F.col("copy") == 1), "key": F.xxhash64("doc_id", "tag", "copy")})
     return by_key(dealt).mapInArrow(lambda batches: merge_units(batches, size), MARKS)
 
 
