@@ -133,7 +133,8 @@ def text_groups(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Itera
     """The leading columns and the last one, texts as bytes (null: empty), of some rows of bounded size at once."""
     for batch in batches:
         keys, texts, held = [], [], 0
-        for key, text in zip(zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns - 1))), batch.columns[-1]):
+        leading = list(zip(*(c.to_pylist() for c in batch.columns[:-1]))) or [()] * batch.num_rows
+        for key, text in zip(leading, batch.columns[-1]):
             keys.append(key)
             texts.append((text.as_py() or "").encode("utf-8", "surrogatepass"))
             held += len(texts[-1])
@@ -217,7 +218,7 @@ def repeated_passages(
     found = keep(paragraphs(docs, min_words, id_col, text_col).drop("text"))
     texts = paragraphs(docs, min_words, id_col, text_col).select("h", "text")  # made again: a written copy takes more disk than that takes time
     distinct = keep(texts.groupBy("h").agg(F.max("text").alias("text")).withColumn("pid", F.monotonically_increasing_id()))
-    links = similar(distinct, keep(band_keys(distinct, k, bands_needed(rows, similarity, recall), rows, seed)), k, similarity)
+    links = similar(distinct, band_keys(distinct, k, bands_needed(rows, similarity, recall), rows, seed), k, similarity)
     groups = connected_components(links)
     named = keep(distinct.select("pid", "h").join(groups.withColumnRenamed("id", "pid"), "pid", "left").select("h", F.coalesce("component", "pid").alias("component")))
     placed = keep(found.join(named, "h").drop("h"))
@@ -253,7 +254,7 @@ def similar_documents(docs: DataFrame, k: int = 5, similarity: float = 0.8, rows
     ids = keep(whole_texts(docs, id_col, text_col).drop("text"))
     texts = whole_texts(docs, id_col, text_col).select("h", "text")
     distinct = keep(texts.groupBy("h").agg(F.max("text").alias("text")).withColumn("pid", F.monotonically_increasing_id()))
-    links = similar(distinct, keep(band_keys(distinct, k, bands_needed(rows, similarity, recall), rows, seed)), k, similarity)
+    links = similar(distinct, band_keys(distinct, k, bands_needed(rows, similarity, recall), rows, seed), k, similarity)
     groups = connected_components(links).withColumnRenamed("id", "pid")
     own = ids.groupBy("h").agg(F.min("id").alias("own_min"))
     named = keep(distinct.select("pid", "h").join(groups, "pid", "left").select("h", F.coalesce("component", "pid").alias("component")).join(own, "h"))
@@ -328,6 +329,20 @@ def units(texts: list[bytes], size: int) -> tuple[np.ndarray, ...]:
     return of, at - base[of], first[at] - begin[of], past[at + size - 1] - begin[of], h
 
 
+def unit_hashes(docs: DataFrame, size: int, text_col: str) -> DataFrame:
+    """(h): the hash of each unit, once for each row of ``docs`` that holds it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in text_groups(batches):
+            of, _, _, _, h = units(texts, size)
+            order = np.lexsort((h, of))
+            of, h = of[order], h[order]
+            once = np.r_[True, (h[1:] != h[:-1]) | (of[1:] != of[:-1])] if len(h) else slice(0)
+            yield pa.RecordBatch.from_arrays([pa.array(h[once].astype(np.uint64).view(np.int64))], ["h"])
+
+    return small_batches(docs).select(F.col(text_col).alias("text")).mapInArrow(run, "h long")
+
+
 def unit_rows(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
     """(h, doc_id, tag, word, start, n_chars, paragraph) for each unit; ``tag`` is a hash of the text."""
 
@@ -375,17 +390,16 @@ def merge_units(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
 def repeated_runs(docs: DataFrame, run_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows as of :func:`repeated_passages` for runs of equal words, over line ends and within lines.
 
-    Every run of ``run_words`` words or more that stands twice is found in all its
-    places, but for up to ``WINDOW - 1`` words at either end; shorter ones from
-    ``run_words - WINDOW + 1`` words are found where a unit meets them.
-    ``paragraph`` is the line in which the span starts, ``n_members`` the places of
-    its most repeated unit; ``kept`` spans are the first places of their units.
+    Every run of ``run_words`` words or more that stands in two documents is found in
+    all its places, but for up to ``WINDOW - 1`` words at either end; shorter ones
+    from ``run_words - WINDOW + 1`` words are found where a unit meets them.
+    ``paragraph`` is the line in which the span starts, ``n_members`` the documents
+    that hold its most repeated unit; ``kept`` spans are the first places of their units.
     Words are compared by 64-bit hashes of units, without regard to case (A-Z) and white space.
     """
     size = run_words - WINDOW + 1
-    made = lambda: unit_rows(docs, size, id_col, text_col)
-    many = keep(made().groupBy("h").agg(F.count(F.lit(1)).alias("n_members")).where("n_members > 1"))
-    found = keep(made().join(many, "h"))
+    many = keep(unit_hashes(docs, size, text_col).groupBy("h").agg(F.count(F.lit(1)).alias("n_members")).where("n_members > 1"))
+    found = keep(unit_rows(docs, size, id_col, text_col).join(many, "h"))
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("tag").alias("t"), F.col("start").alias("s"), F.col("paragraph").alias("p"))
     first = keep(found.groupBy("h").agg(F.min(place).alias("first")))
     marked = found.join(first, "h").withColumns({"kept": place == F.col("first"), "component_doc": F.col("first.d"), "component_paragraph": F.col("first.p")}).drop("h", "first")
