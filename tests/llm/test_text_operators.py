@@ -34,11 +34,40 @@ def library():
 def test_fast_encoder_agrees_on_every_settled_character():
     e = Encoder(tokenizer_path("byte_bpe_50k.json"))
     assert e.fast is not None and e.cuttable
-    settled = [c for c in map(chr, range(0x3000)) if not _UNSETTLED.search(c)]
+    settled = [c for c in map(chr, range(0xFFE0)) if not _UNSETTLED.search(c)]
     texts = [f"a{c}a{c}1{c} {c} \n{c}{c}" for c in settled]
     for t, want in zip(texts, e.library.encode_batch(texts, add_special_tokens=False)):
         assert list(e.ids(t)) == want.ids
         assert sum(len(e.ids(p)) for p in pieces(t)) == len(want.ids)
+        assert sum(n * len(e.ids(p)) for p, n in e.pre_tokens(t * 5).items()) == len(e.library.encode(t * 5, add_special_tokens=False).ids)
+
+
+#: White space beyond what a backtracking pattern can hold, and other long runs.
+LONG_RUNS = ["a" + " " * 1_000_000 + "b", "\n" * 5_000_000, "x" * 1_000_000, " \n" * 600_000 + "end"]
+HAN = "数据处理是一门学问，我们在这里写下很多没有空格的句子。" * 40
+
+
+def test_very_long_runs_are_counted_and_packed(spark):
+    lib = Encoder(tokenizer_path("byte_bpe_50k.json")).library
+    docs = frame(spark, [(i, t, "a") for i, t in enumerate(LONG_RUNS)])
+    want = {i: lib.encode(t, add_special_tokens=False).ids for i, t in enumerate(LONG_RUNS)}
+    assert {r.doc_id: r.n_tokens for r in token_counts.token_counts(docs).collect()} == {i: len(x) for i, x in want.items()}
+    packed = packing.pack(docs).select("doc_id", "start", "ids").orderBy("doc_id", "start").collect()
+    for i, ids in want.items():
+        assert b"".join(r.ids for r in packed if r.doc_id == i) == np.array(ids + [1], "<u4").tobytes()
+
+
+def test_texts_without_spaces_are_cut_to_pre_tokens():
+    e = Encoder(tokenizer_path("byte_bpe_50k.json"))
+    for text in (HAN, "name\tvalue\tnumber 12\n" * 50, "x" * 40 + "<|endoftext|>" + "don't,stop;now" * 9):
+        count = e.pre_tokens(text)
+        assert sum(n * len(e.ids(p)) for p, n in count.items()) == len(e.library.encode(text, add_special_tokens=False).ids)
+    assert max(map(len, e.pre_tokens(HAN))) < 20 and len(e.pre_tokens(HAN)) < 10
+
+
+def test_blocks_spread_over_buckets():
+    heads = [token_counts.bucket_of((p << 24) + k, 4096) for p in range(500) for k in range(4)]
+    assert max(np.bincount(heads)) <= 8 and len(set(heads)) > 1200
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])

@@ -6,14 +6,13 @@ buckets by the pre-token's hash.  A bucket so meets every block's list of its
 pre-tokens: it has the library count the pieces of each distinct pre-token once,
 joins the counts to the lists, and sums products of counts and frequencies by
 document.  Pre-tokens that are a vocabulary entry of their own are one piece each,
-known from the vocabulary, and are summed in the block.  Pre-tokens here reach
-from one single space to the next: what the library cuts further lies within
-them, and nothing reaches across.
+known from the vocabulary, and are summed in the block.  Short pre-tokens here may
+reach from one single space to the next: what the library cuts further lies within
+them, and nothing reaches across.  Longer ones are cut by the library's own pattern.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import small_batches
-from tideline.llm.tokens import encoder, pieces, tokenizer_path
+from tideline.llm.tokens import encoder, tokenizer_path
 
 #: A block ends at so many documents or characters.
 BLOCK_DOCS, BLOCK_CHARS = 60_000, 32_000_000
-#: Buckets of pre-tokens; a task's memory holds the distinct pre-tokens of its buckets.
+#: Buckets of pre-tokens at least; a task's memory holds the distinct pre-tokens of its buckets.
 BUCKETS = 4096
 #: A pre-token in more than this share of a block's documents is dealt by block as
 #: well and counted in each bucket it meets, so that no bucket gathers all its lists.
@@ -59,38 +58,41 @@ def unpacked(data: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarr
     return [raw[s:e] for s, e in zip(starts.tolist(), ends.tolist())], sizes, at, times
 
 
-def dealt_lists(docs: DataFrame, path: str) -> DataFrame:
+def bucket_of(name: int, buckets: int) -> int:
+    """The bucket that takes the row of a block's ids, sizes and counts."""
+    return xxhash.xxh32_intdigest(name.to_bytes(8, "little")) % buckets
+
+
+def dealt_lists(docs: DataFrame, path: str, buckets: int) -> DataFrame:
     """(block, bucket, lists, ids, sizes, counts): packed lists by bucket, and for each
     block one row with its documents' ids, sizes in bytes and the number of their
     single-token pre-tokens."""
-    whole = not encoder(path).cuttable
     alone = docs.sparkSession.sparkContext.broadcast(single(path))  # at most the vocabulary
     names = ["block", "bucket", "lists", "ids", "sizes", "counts"]
 
     def block(name: int, ids: list, sizes: list[int], texts: list[str]) -> Iterator[pa.RecordBatch]:
         one, held, often, lengths, ones = alone.value, [], [], [], []
         for text in texts:
-            count = Counter([text] if whole else pieces(text))
-            count.pop("", None)
+            count = encoder(path).pre_tokens(text)
             ones.append(sum(map(count.pop, one.intersection(count))))
             held.extend(count)
             often.extend(count.values())
             lengths.append(len(count))
         of = lambda x: pa.array([x], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([name % BUCKETS], pa.int32()), pa.array([None], pa.binary()), of(ids), of(sizes), of(ones)], names)
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([bucket_of(name, buckets)], pa.int32()), pa.array([None], pa.binary()), of(ids), of(sizes), of(ones)], names)
         coded = pa.array(held, pa.string()).dictionary_encode()
         if not len(coded):
             return
         which, raw = coded.indices.to_numpy(), coded.dictionary.cast(pa.binary()).to_pylist()
-        bucket = np.fromiter(map(xxhash.xxh32_intdigest, raw), np.uint32, len(raw)) % BUCKETS
+        bucket = np.fromiter(map(xxhash.xxh32_intdigest, raw), np.uint32, len(raw)) % buckets
         for i in np.flatnonzero(np.bincount(which, minlength=len(raw)) > max(64, len(texts) * COMMON)):
-            bucket[i] = xxhash.xxh32_intdigest(raw[i], name & 0xFFFFFFFF) % BUCKETS
+            bucket[i] = xxhash.xxh32_intdigest(raw[i], name & 0xFFFFFFFF) % buckets
         order = np.lexsort((which, bucket[which]))
         at = np.repeat(np.arange(len(texts)), lengths)[order]
         times, which = np.array(often)[order], which[order]
         first = np.flatnonzero(np.r_[True, which[1:] != which[:-1]])
         listed, size = which[first], np.diff(np.r_[first, len(which)])
-        cuts = np.searchsorted(bucket[listed], np.arange(BUCKETS + 1))
+        cuts = np.searchsorted(bucket[listed], np.arange(buckets + 1))
         first = np.r_[first, len(which)]
         full = np.flatnonzero(np.diff(cuts))
         for some in np.array_split(full, max(1, len(full) // 256)):
@@ -127,7 +129,8 @@ def token_counts(docs: DataFrame, limit: int = 512, tokenizer: str | None = None
     columns are ignored.
     """
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
-    dealt = dealt_lists(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), path)
+    buckets = max(BUCKETS, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = dealt_lists(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), path, buckets)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by block: sums by document of all of a block's lists that this task has."""

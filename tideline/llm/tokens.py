@@ -12,16 +12,21 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
 #: Fixed value: the pre-token pattern of byte-level BPE.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters outside the blocks whose classes have long been settled.
-_UNSETTLED = re.compile("[^\x00-ͷЀ-҂Ҋ-ԧḀ-ỿ‐-‧‰-⁞₠-₵]")
+_UNSETTLED = re.compile("[^\x00-ͷЀ-҂Ҋ-ԧḀ-ỿ‐-‧‰-⁞₠-₵\u3000-\u3003\u3041-\u3094\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uff0f\uff1a-\uff20]")
+_PRE_TOKENS = regex.compile(PATTERN)
+#: Characters from which on a piece is cut into the pre-tokens of the pattern.
+LONG = 24
 #: A space next to other white space; texts that hold one are cut by the slow rule.
 _LOOSE = re.compile(r"\s | \s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -52,7 +57,8 @@ def byte_characters() -> dict[str, int]:
 
 
 class Encoder:
-    """``cuttable``: whether the :func:`pieces` of a text may be encoded on their own."""
+    """``cuttable``: whether the :func:`pieces` of a text may be encoded on their own,
+    as may then the pre-tokens of the byte-level pattern within them."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel workers
@@ -61,6 +67,7 @@ class Encoder:
         pre, model, added = spec.get("pre_tokenizer") or {}, spec["model"], spec["added_tokens"]
         bare = all(t["content"] and " " not in t["content"] and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in added)
         self.cuttable = bare and spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+        self.added = [t["content"] for t in added]
         self.fast = None
         if self.cuttable and model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
             byte, special = byte_characters(), {t["content"]: t["id"] for t in added}
@@ -75,7 +82,24 @@ class Encoder:
         strings in it are what the library makes of them by default."""
         if self.fast is None or _UNSETTLED.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        return self.fast.encode_to_numpy(text, allowed_special="all")
+        try:
+            return self.fast.encode_to_numpy(text, allowed_special="all")
+        except ValueError:  # white space so long that its pattern's stack is too small for it
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def pre_tokens(self, text: str) -> Counter:
+        """How often the text holds each of the parts that may be encoded on their own:
+        its pieces, long ones cut by the byte-level pattern."""
+        if not self.cuttable:
+            return Counter([text] if text else [])
+        count = Counter(pieces(text))
+        count.pop("", None)
+        for p in [p for p in count if len(p) > LONG]:
+            if not _UNSETTLED.search(p) and not any(a in p for a in self.added):
+                times = count.pop(p)
+                for part in _PRE_TOKENS.findall(p):
+                    count[part] += times
+        return count
 
 
 @lru_cache(maxsize=2)
