@@ -10,36 +10,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import secrets as secret_scan
+from tideline.llm import simhash_dedup
 from tideline.llm.common import keep
-from tideline.llm.language_id import fit, in_learned_language, predict, usual_length
+from tideline.llm.language_id import fit, predict, usual_length
 from tideline.llm.mixing import mix
 from tideline.llm.packing import pack
 from tideline.llm.queries import held_out, secret_model
-from tideline.llm.substring_dedup import similar_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a written number for each row, as ids may be null or repeated."""
+    return keep(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts in a learned language, with ``lang`` as predicted; the others go:
     null texts, texts without a letter, those whose score is under 0.5, and those
     whose code is far longer than that of a training text."""
     train = ~held_out(F.col("doc_id"))
     model = fit(docs, train)
-    judged = predict(docs.where(in_learned_language(F.col("text"), model, usual_length(docs, train, model))), model)
-    return judged.where("lang_pred <> 'und' and score >= 0.5").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
+    judged = predict(docs, model, usual=usual_length(docs, train, model))
+    return judged.where("lang_pred <> 'und' and score >= 0.5 and learned").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates, once:
-    texts whose shingles of five words have a Jaccard similarity of 0.8 or more.
+    """One document of each group of near-duplicates, that with the smallest id: texts
+    whose shingles of five words have a Jaccard similarity of 0.8 or more.
 
-    Rows that repeat an id are copies of one document; rows without an id stay.
+    Each row counts by itself, whether its id is null, repeated or neither.
     """
-    found = similar_documents(docs, k=5, similarity=0.8)
-    kept = found.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*COLUMNS)
-    return named.unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    rows = numbered(docs)
+    groups = keep(simhash_dedup.near_duplicates(rows, shingle=5, similarity=0.8, id_col="row").withColumnRenamed("id", "row"))
+    place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("row").alias("r"))
+    kept = groups.join(rows.select("row", "doc_id"), "row").groupBy("component_id").agg(F.min(place).alias("first")).select(F.col("first.r").alias("row"))
+    return rows.join(keep(kept), "row", "left_semi").select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,11 +54,11 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; the one last document of a
-    source that the mix takes in part is there once more if that part is half of it."""
-    taken = mix(docs).groupBy(F.col("doc_id").alias("id")).agg(F.max(F.round("copies").cast("int")).alias("n")).where("n > 0")
-    often = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("id"))).select(*COLUMNS, F.explode(F.array_repeat(F.lit(1), F.col("n"))).alias("copy"))
-    return often.select(*COLUMNS)
+    """Each row as often as the mix takes it; the one last document of a source
+    that the mix takes in part is there once more if that part is half of it."""
+    rows = numbered(docs)
+    taken = mix(rows, row_col="row").select("row", F.round("copies").cast("int").alias("n")).where("n > 0")
+    return rows.join(taken, "row").select(*COLUMNS, F.explode(F.array_repeat(F.lit(1), F.col("n"))).alias("copy")).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,3 +74,14 @@ def test_empty_corpus(spark, corpus):
     for _, stage in corpus_pipeline.STAGES:
         docs = keep(stage(spark, docs, "unused"))
     assert docs.count() == 0
+
+
+def test_rows_without_ids_and_repeated_ids(spark):
+    """Rows count by themselves: different texts under no id or one id all stay, copies go."""
+    words = lambda s: " ".join(f"w{x}" for x in np.random.default_rng(s).integers(0, 5000, 60))
+    rows = [(None, words(i), "en", "src0", 0) for i in range(6)] + [(None, words(0).upper(), "en", "src0", 0), (7, words(20), "en", "src0", 0), (7, words(21), "en", "src0", 0), (3, words(21), "en", "src0", 0), (7, words(21), "en", "src0", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "unused").collect()
+    assert sorted((str(r.doc_id), r.text.lower()) for r in kept) == sorted([("None", words(i)) for i in range(6)] + [("7", words(20)), ("3", words(21))])
+    mixed = corpus_pipeline.mixture(spark, spark.createDataFrame(rows[:6], SCHEMA), "unused")
+    assert sorted(r.text for r in mixed.collect()) == sorted(words(i) for i in range(6))

@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import small_batches
@@ -149,46 +149,38 @@ def usual_length(docs: DataFrame, allowed: Column, model: Model, docs_per_lang:
     return float(np.median(found)) if len(found) else float("inf")
 
 
-def in_learned_language(text: Column, model: Model, usual: float) -> Column:
-    """Whether the shortest code of ``text`` is near enough to the ``usual`` bits a byte; false for null texts and those without a letter.
-
-    ``score`` only compares the learned languages and is near 1 for a text in none of them.
-    """
-    frozen = SparkSession.active().sparkContext.broadcast(model)
-
-    @F.pandas_udf("boolean")
-    def fits(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in texts:
-            plain = [words_only(t) if t and _LETTER.search(t) and frozen.value.langs else None for t in part]
-            yield pd.Series([t is not None and bool(frozen.value.code_lengths(t).min() <= WIDE * usual * len(t) + SPARE) for t in plain], dtype=bool)
-
-    return fits(text)
-
-
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``, one row for each row; columns of
-    these names are replaced.
+def predict(docs: DataFrame, model: Model, text_col: str = "text", usual: float | None = None) -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``, and with ``learned`` if ``usual`` is given,
+    one row for each row; columns of these names are replaced.
 
     ``score`` is the language's share of the likelihood under equal priors.  A
     null text, a text without a letter and every text under a model without
     languages give ``und`` and 0.  Equal code lengths go to the first language
-    by name.  The whole text counts, whatever its length.
+    by name.  The whole text counts, whatever its length.  ``score`` only compares
+    the learned languages and is near 1 for a text in none of them; ``learned``
+    says whether the shortest code is near enough to the ``usual`` bits a byte.
     """
     frozen = small_batches(docs).sparkSession.sparkContext.broadcast(model)
 
-    def judge(text: str | None) -> tuple[str, float]:
+    def judge(text: str | None) -> tuple[str, float, bool]:
         m = frozen.value
         if not text or not m.langs or not _LETTER.search(text):
-            return "und", 0.0
-        bits = m.code_lengths(normal(text))
-        best = int(bits.argmin())
-        return m.langs[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())
-
-    @F.pandas_udf("lang_pred string, score double")
+            return "und", 0.0, False
+        whole = normal(text)
+        bits = m.code_lengths(whole)
+        best, fits = int(bits.argmin()), False
+        if usual is not None:
+            plain = words_only(text)
+            fits = bool((bits if plain == whole else m.code_lengths(plain)).min() <= WIDE * usual * len(plain) + SPARE)
+        return m.langs[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum()), fits
+
+    @F.pandas_udf("lang_pred string, score double, learned boolean")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in texts:
-            yield pd.DataFrame([judge(t) for t in part], columns=["lang_pred", "score"])
+            yield pd.DataFrame([judge(t) for t in part], columns=["lang_pred", "score", "learned"])
 
-    judged = docs.select(F.struct(*docs.columns).alias("row"), scored(F.col(text_col)).alias("judged"))
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    return judged.select(*[F.col("row")[c].alias(c) for c in kept], "judged.lang_pred", "judged.score")
+    once = scored.asNondeterministic()  # else a filter on its result would have it run again
+    judged = docs.select(F.struct(*docs.columns).alias("row"), once(F.col(text_col)).alias("judged"))
+    added = ["lang_pred", "score"] + ["learned"] * (usual is not None)
+    kept = [c for c in docs.columns if c not in added]
+    return judged.select(*[F.col("row")[c].alias(c) for c in kept], *[f"judged.{c}" for c in added])

@@ -90,7 +90,8 @@ def _round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def mix(
-    docs: DataFrame, weights: list[float] = [5, 2, 1], most: float = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+    docs: DataFrame, weights: list[float] = [5, 2, 1], most: float = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    row_col: str | None = None,
 ) -> DataFrame:
     """(row, doc_id, source, size, source_size, target, copies, taken), one row for each row of ``docs``.
 
@@ -100,10 +101,11 @@ def mix(
     source; ``taken`` counts its words, at most ceil of ``most`` times the size.
     A null source is a source.  Reruns over equal rows agree: chance comes from
     hashes of id and text size, so repeated rows, which are rounded apart by
-    their place in the table, may only swap roles.  An empty table gives no rows.
+    their place in the table, may only swap roles.  ``row`` is ``row_col``, distinct
+    longs, or else numbered here.  An empty table gives no rows.
     """
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = keep(docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size")))
+    rows = keep(docs.select((F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size")))
     sources = keep(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most))
     ratio = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
     planned = rows.join(F.broadcast(sources) if sources.count() <= 100_000 else sources, rows["source"].eqNullSafe(sources["source"])).select("row", "doc_id", rows["source"], "size", "source_size", "target", ratio.alias("r"))

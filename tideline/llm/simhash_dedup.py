@@ -6,11 +6,18 @@ never exceeds the Hamming distance.  Two fingerprints within Manhattan distance
 2 have a grid point within 1 of each, so every fingerprint goes to its own cell
 and the 32 next to it, and a range join is an equality join on cells.  Pairs
 that meet are verified on all 64 bits.
+
+Texts whose shingles have a Jaccard similarity of 0.8 are about 10 bits apart, out
+of reach of any grid of 16 counts from 0 to 4: at that distance it holds a seventh
+of all pairs.  :func:`near_duplicates` therefore removes what the grid finds,
+verified by exact Jaccard similarity, and links what is left by MinHash bands.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -19,33 +26,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import Forest, block_pairs, by_key, connected_components, keep, pairs_in_runs, small_batches, whole_groups
+from tideline.llm.substring_dedup import band_hashes, bands_needed, linear_hashes, shingles, verified_links
 
 SEGMENTS, WIDTH = 16, 4
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def hashes(text: bytes, shingle: int = 5, seed: int = 42) -> Iterator[np.ndarray]:
+    """XXH64 of the shingles of one text, some at a time: of the whole sequence if it is shorter, of nothing without words."""
+    words = text.lower().split()  # bytes: A-Z only, and ASCII white space only
+    n = len(words) - shingle + 1 if len(words) >= shingle else min(1, len(words))
+    parts = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else iter([b" ".join(words)])
+    each = map(xxhash.xxh64_intdigest, parts, repeat(seed))
+    for at in range(0, n, 16384):
+        yield np.fromiter(each, np.uint64, min(16384, n - at))
 
 
 def fingerprint(text: bytes, shingle: int = 5, seed: int = 42) -> int:
     """The fingerprint of one text; 0 for a text without words."""
-    words = text.lower().split()  # bytes: A-Z only, and ASCII white space only
-    if not words:
-        return 0
-    if len(words) < shingle:
-        pieces = iter([b" ".join(words)])
-        n = 1
-    else:
-        pieces = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
-        n = len(words) - shingle + 1
-    ones = np.zeros(64, np.int64)
-    hashes = (xxhash.xxh64_intdigest(p, seed) for p in pieces) if n == 1 else map(xxhash.xxh64_intdigest, pieces, _repeat(seed))
-    for at in range(0, n, 65536):
-        h = np.fromiter(hashes, np.uint64, min(65536, n - at))
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
+    ones, n = np.zeros(64, np.int64), 0
+    for h in hashes(text, shingle, seed):
+        ones += bit_sums(h)
+        n += len(h)
+    return majority(ones, n)
+
 
+def bit_sums(h: np.ndarray) -> np.ndarray:
+    return np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
 
-def _repeat(x):
-    from itertools import repeat
 
-    return repeat(x)
+def majority(ones: np.ndarray, n: int) -> int:
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -105,7 +116,11 @@ def simhash_components(docs: DataFrame, shingle: int = 5, max_bits: int = 2, id_
     with a null id keep their fingerprint and take part in no minimum; repeated
     ids give repeated rows; an empty table gives none; other columns are ignored.
     """
-    fps = keep(fingerprints(docs, shingle, id_col, text_col))
+    return fingerprint_components(keep(fingerprints(docs, shingle, id_col, text_col)), max_bits)
+
+
+def fingerprint_components(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(id, fp, component_id) for (id, fp)."""
     smallest = keep(fps.groupBy("fp").agg(F.min("id").alias("own_min")))
     found = connected_components(links(smallest, max_bits))
     named = smallest.join(found.withColumnRenamed("id", "fp"), "fp", "left").select("fp", "own_min", F.coalesce("component", "fp").alias("component"))
@@ -113,3 +128,81 @@ def simhash_components(docs: DataFrame, shingle: int = 5, max_bits: int = 2, id_
     least = keep(named.groupBy("component").agg(F.min("own_min").alias("component_id")))
     by_fp = keep(named.join(least, "component").select("fp", "component_id"))
     return fps.join(by_fp, "fp").select("id", "fp", "component_id")
+
+
+def sketches(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, h, fp, bands) of each text: a digest without regard to case (A-Z) and white
+    space, the fingerprint, and the MinHash bands, all from one pass over its shingles."""
+    odd, add = linear_hashes(bands * rows, 3)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            digests, fps, signatures = [], [], np.full((batch.num_rows, bands * rows), np.iinfo(np.uint64).max, np.uint64)
+            for i, text in enumerate(batch.column(1)):
+                text = (text.as_py() or "").encode("utf-8", "surrogatepass")
+                digests.append(hashlib.blake2b(b" ".join(text.lower().split()), digest_size=16).digest())
+                ones, n = np.zeros(64, np.int64), 0
+                for h in hashes(text, shingle):
+                    ones += bit_sums(h)
+                    n += len(h)
+                    for at in range(0, len(h), 1024):
+                        np.minimum(signatures[i], (h[at : at + 1024, None] * odd + add).min(0), out=signatures[i])
+                fps.append(majority(ones, n))
+            key = band_hashes(signatures, bands, rows)
+            lists = pa.ListArray.from_arrays(np.arange(0, key.size + 1, bands, dtype=np.int32), pa.array(key.ravel().view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digests, pa.binary()), pa.array(np.array(fps, np.uint64).view(np.int64)), lists], ["id", "h", "fp", "bands"])
+
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, h binary, fp long, bands array<long>")
+
+
+def verified_stars(near: DataFrame, texts: DataFrame, k: int, similarity: float, limit: int = 512) -> DataFrame:
+    """(src, dst): the members of (id, component_id, n) whose text is at least this similar
+    to that of the component's first; large components are split, with that text in each part."""
+    parts = F.ceil(F.col("n") / limit)
+    mine = F.when(F.col("id") == F.col("component_id"), F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), parts)))
+    dealt = near.withColumn("part", F.explode(mine)).withColumn("key", F.xxhash64("component_id", "part")).select("key", F.col("id").alias("pid"), "component_id").join(texts, "pid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            pid, of = table["pid"].to_pylist(), table["component_id"].to_pylist()
+            pieces = lambda i: set(shingles(table["text"][i].as_py().split(b" "), k))
+            first, found = {}, []
+            for i in sorted(range(len(pid)), key=lambda i: (of[i], pid[i] != of[i])):
+                if pid[i] == of[i]:
+                    first = {of[i]: pieces(i)}
+                    continue
+                x, y = pieces(i), first[of[i]]
+                both = len(x & y)
+                if both >= similarity * (len(x) + len(y) - both):
+                    found.append((pid[i], of[i]))
+            yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in (0, 1)], ["src", "dst"])
+
+    return by_key(dealt).mapInArrow(run, "src long, dst long")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_bits: int = 2, rows: int = 4, recall: float = 0.9998, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, component_id) for each row of ``docs``: the smallest id reachable over pairs of
+    texts whose sets of ``shingle``-word shingles have at least this Jaccard similarity.
+
+    Texts that differ in case (A-Z) or white space only are one, as are null texts and
+    those without words.  The SimHash grid finds components within ``max_bits``; members
+    that are verified against the first of their component go.  What is left meets in
+    MinHash bands, a pair at the threshold with probability ``recall`` and closer ones
+    more surely, and every pair that meets is verified.  Ids are distinct and not null;
+    an empty table gives no rows; other columns are ignored.
+    """
+    bands = bands_needed(rows, similarity, recall)
+    made = keep(sketches(docs, shingle, bands, rows, id_col, text_col))
+    reps = keep(made.groupBy("h").agg(F.min(F.struct("id", "fp", "bands")).alias("m")).select("h", "m.*"))
+    grid = keep(fingerprint_components(reps.select("id", "fp"), max_bits))
+    several = grid.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    near = keep(grid.join(several, "component_id").select("id", "component_id", "n"))
+    meet = keep(block_pairs(reps.select(F.col("id").alias("pid"), F.explode("bands").alias("band")), ["band"], F.col("pid"), limit=512).select("key", "pid", "block", "same"))
+    needed = near.select(F.col("id").alias("pid")).unionByName(meet.select("pid")).distinct()
+    plain = F.encode(F.trim(F.regexp_replace(F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, UPPER.lower()), r"[\x20\x09-\x0D]+", " ")), "UTF-8")
+    texts = keep(docs.select(F.col(id_col).cast("long").alias("pid"), F.col(text_col)).join(needed, "pid").select("pid", plain.alias("text")))
+    stars = keep(verified_stars(near, texts, shingle, similarity))
+    left = meet.join(stars.select(F.col("src").alias("pid")), "pid", "left_anti")
+    groups = connected_components(stars.unionByName(verified_links(left, texts, shingle, similarity)))
+    named = keep(reps.select("h", "id").join(groups, "id", "left").select("h", F.coalesce("component", "id").alias("component_id")))
+    return made.select("id", "h").join(named, "h").select("id", "component_id")

@@ -145,10 +145,25 @@ def text_groups(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Itera
             yield keys, texts
 
 
+def linear_hashes(n: int, seed: int) -> np.ndarray:
+    """Factors and summands of ``n`` hash functions modulo 2^64."""
+    draw = np.random.default_rng(seed)
+    odd, add = (draw.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
+    return np.stack([odd, add])
+
+
+def band_hashes(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """(texts, bands) hashes of the bands of (texts, bands * rows) signatures."""
+    key = np.zeros((len(signatures), bands), np.uint64)
+    for r in range(rows):
+        key = (key ^ signatures[:, r::rows]) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key ^ np.arange(bands, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+
+
 def band_keys(distinct: DataFrame, k: int, bands: int, rows: int, seed: int) -> DataFrame:
     """(pid, band): a hash for each band of each distinct paragraph."""
-    draw = np.random.default_rng(seed)
-    odd, add = (draw.integers(0, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
+    odd, add = linear_hashes(bands * rows, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -157,12 +172,7 @@ def band_keys(distinct: DataFrame, k: int, bands: int, rows: int, seed: int) ->
                 each = [shingles(t.split(b" "), k) for t in batch["text"].to_pylist()]
                 h = np.array([xxhash.xxh64_intdigest(s) for one in each for s in one], np.uint64)
                 starts = np.cumsum([0, *map(len, each)])[:-1]
-                sig = np.stack([np.minimum.reduceat(h * a + b, starts) for a, b in zip(odd, add)], axis=1)
-                key = np.zeros((len(each), bands), np.uint64)
-                for r in range(rows):
-                    key = (key ^ sig[:, r::rows]) * np.uint64(0x9E3779B97F4A7C15)
-                    key ^= key >> np.uint64(29)
-                key ^= np.arange(bands, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+                key = band_hashes(np.stack([np.minimum.reduceat(h * a + b, starts) for a, b in zip(odd, add)], axis=1), bands, rows)
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch["pid"].to_numpy(), bands)), pa.array(key.ravel().view(np.int64))], ["pid", "band"])
 
     return distinct.select("pid", "text").mapInArrow(run, "pid long, band long")
@@ -170,12 +180,18 @@ def band_keys(distinct: DataFrame, k: int, bands: int, rows: int, seed: int) ->
 
 def similar(distinct: DataFrame, bands: DataFrame, k: int, similarity: float) -> DataFrame:
     """Links (src, dst) that span the components of all verified pairs that share a band."""
+    meet = block_pairs(bands, ["band"], F.col("pid"), limit=512).select("key", "pid", "block", "same")
+    return verified_links(meet, distinct.select("pid", "text"), k, similarity)
+
+
+def verified_links(meet: DataFrame, texts: DataFrame, k: int, similarity: float) -> DataFrame:
+    """Links (src, dst) between the rows (key, pid, block, same) of one key whose texts are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches):
             key, pid = table["key"].to_numpy(), table["pid"].to_numpy()
             block, same = table["block"].to_numpy(), table["same"].to_numpy()
-            texts, of, held, forest = table["text"].combine_chunks(), {}, 0, Forest(len(key))
+            plain, of, held, forest = table["text"].combine_chunks(), {}, 0, Forest(len(key))
 
             def pieces(i: int) -> set[bytes]:
                 nonlocal held
@@ -183,7 +199,7 @@ def similar(distinct: DataFrame, bands: DataFrame, k: int, similarity: float) ->
                     if held > 1_500_000:
                         of.clear()
                         held = 0
-                    of[pid[i]] = set(shingles(texts[int(i)].as_py().split(b" "), k))
+                    of[pid[i]] = set(shingles(plain[int(i)].as_py().split(b" "), k))
                     held += len(of[pid[i]])
                 return of[pid[i]]
 
@@ -198,8 +214,7 @@ def similar(distinct: DataFrame, bands: DataFrame, k: int, similarity: float) ->
             at = np.flatnonzero(root != np.arange(len(root)))
             yield pa.RecordBatch.from_arrays([pa.array(pid[at]), pa.array(pid[root[at]])], ["src", "dst"])
 
-    meet = block_pairs(bands, ["band"], F.col("pid"), limit=512).select("key", "pid", "block", "same")
-    return by_key(meet.join(distinct.select("pid", "text"), "pid")).mapInArrow(run, "src long, dst long")
+    return by_key(meet.join(texts, "pid")).mapInArrow(run, "src long, dst long")
 
 
 def repeated_passages(
@@ -230,39 +245,6 @@ def repeated_passages(
     )
 
 
-def whole_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, h, text) for each row: the whole text as one paragraph, as :func:`paragraphs` writes it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 100):
-                part = batch.slice(at, 100)
-                plain = [b" ".join((t or "").encode("utf-8", "surrogatepass").lower().split()) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([hashlib.blake2b(t, digest_size=16).digest() for t in plain], pa.binary()), pa.array(plain, pa.binary())], ["id", "h", "text"])
-
-    return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, h binary, text binary")
-
-
-def similar_documents(docs: DataFrame, k: int = 5, similarity: float = 0.8, rows: int = 4, recall: float = 0.9998, seed: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, component_id) for each row of ``docs``: the smallest id reachable over pairs
-    of texts whose sets of ``k``-word shingles have at least this Jaccard similarity.
-
-    A pair at the threshold meets with probability ``recall``, closer ones more surely,
-    and every pair that meets is verified.  Texts that differ in case (A-Z) or white
-    space only are equal, as are texts without words; rows with a null id take part in no minimum.
-    """
-    ids = keep(whole_texts(docs, id_col, text_col).drop("text"))
-    texts = whole_texts(docs, id_col, text_col).select("h", "text")
-    distinct = keep(texts.groupBy("h").agg(F.max("text").alias("text")).withColumn("pid", F.monotonically_increasing_id()))
-    links = similar(distinct, band_keys(distinct, k, bands_needed(rows, similarity, recall), rows, seed), k, similarity)
-    groups = connected_components(links).withColumnRenamed("id", "pid")
-    own = ids.groupBy("h").agg(F.min("id").alias("own_min"))
-    named = keep(distinct.select("pid", "h").join(groups, "pid", "left").select("h", F.coalesce("component", "pid").alias("component")).join(own, "h"))
-    least = named.groupBy("component").agg(F.min("own_min").alias("component_id"))
-    by_text = keep(named.join(least, "component").select("h", "component_id"))
-    return ids.join(by_text, "h").select("id", "component_id")
-
-
 #: Shingles among which the smallest hash starts a unit, and the words of a shingle.
 WINDOW, PICK = 16, 5
 _DRAW = np.random.default_rng(11)
