@@ -6,6 +6,9 @@ as Parquet and read again as the next one's ``docs``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +19,21 @@ from tideline.llm.language_id import fit, predict, usual_length
 from tideline.llm.mixing import mix
 from tideline.llm.packing import pack
 from tideline.llm.queries import held_out, secret_model
+from tideline.sources.scratch import settled
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def tidy(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``stage`` with its result written and its intermediate tables deleted."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return settled(lambda: stage(spark, docs, sf_dir))
+
+    return run
+
+
 def numbered(docs: DataFrame) -> DataFrame:
     """``docs`` with a written number for each row, as ids may be null or repeated."""
     return keep(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()))
@@ -35,6 +49,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return judged.where("lang_pred <> 'und' and score >= 0.5 and learned").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
+@tidy
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest id: texts
     whose shingles of five words have a Jaccard similarity of 0.8 or more.
@@ -48,11 +63,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(keep(kept), "row", "left_semi").select(*COLUMNS)
 
 
+@tidy
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the secrets in their texts masked and n_chars as of the new text."""
     return secret_scan.redact(docs, secret_model(docs)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+@tidy
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it; the one last document of a source
     that the mix takes in part is there once more if that part is half of it."""

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.sources.scratch import keep
+from tideline.sources.scratch import delete, keep
 
 #: A run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -30,8 +30,7 @@ def drop(df: DataFrame) -> None:
     """Delete the files behind a table made by :func:`keep`."""
     spark = df.sparkSession
     for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        delete(spark, folder)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str = "key") -> Iterator[pa.Table]:

@@ -9,8 +9,8 @@ that meet are verified on all 64 bits.
 
 Texts whose shingles have a Jaccard similarity of 0.8 are about 10 bits apart, out
 of reach of any grid of 16 counts from 0 to 4: at that distance it holds a seventh
-of all pairs.  :func:`near_duplicates` therefore removes what the grid finds,
-verified by exact Jaccard similarity, and links what is left by MinHash bands.
+of all pairs.  :func:`near_duplicates` therefore takes candidates from MinHash bands
+as well as from the grid, and verifies all of them by exact Jaccard similarity.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import Forest, block_pairs, by_key, connected_components, keep, pairs_in_runs, small_batches, whole_groups
-from tideline.llm.substring_dedup import band_hashes, bands_needed, linear_hashes, shingles, verified_links
+from tideline.llm.substring_dedup import band_hashes, bands_needed, linear_hashes, similar
 
 SEGMENTS, WIDTH = 16, 4
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -155,54 +155,24 @@ def sketches(docs: DataFrame, shingle: int, bands: int, rows: int, id_col: str,
     return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, h binary, fp long, bands array<long>")
 
 
-def verified_stars(near: DataFrame, texts: DataFrame, k: int, similarity: float, limit: int = 512) -> DataFrame:
-    """(src, dst): the members of (id, component_id, n) whose text is at least this similar
-    to that of the component's first; large components are split, with that text in each part."""
-    parts = F.ceil(F.col("n") / limit)
-    mine = F.when(F.col("id") == F.col("component_id"), F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("id"), parts)))
-    dealt = near.withColumn("part", F.explode(mine)).withColumn("key", F.xxhash64("component_id", "part")).select("key", F.col("id").alias("pid"), "component_id").join(texts, "pid")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches):
-            pid, of = table["pid"].to_pylist(), table["component_id"].to_pylist()
-            pieces = lambda i: set(shingles(table["text"][i].as_py().split(b" "), k))
-            first, found = {}, []
-            for i in sorted(range(len(pid)), key=lambda i: (of[i], pid[i] != of[i])):
-                if pid[i] == of[i]:
-                    first = {of[i]: pieces(i)}
-                    continue
-                x, y = pieces(i), first[of[i]]
-                both = len(x & y)
-                if both >= similarity * (len(x) + len(y) - both):
-                    found.append((pid[i], of[i]))
-            yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in (0, 1)], ["src", "dst"])
-
-    return by_key(dealt).mapInArrow(run, "src long, dst long")
-
-
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, max_bits: int = 2, rows: int = 4, recall: float = 0.9998, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, component_id) for each row of ``docs``: the smallest id reachable over pairs of
     texts whose sets of ``shingle``-word shingles have at least this Jaccard similarity.
 
     Texts that differ in case (A-Z) or white space only are one, as are null texts and
-    those without words.  The SimHash grid finds components within ``max_bits``; members
-    that are verified against the first of their component go.  What is left meets in
-    MinHash bands, a pair at the threshold with probability ``recall`` and closer ones
-    more surely, and every pair that meets is verified.  Ids are distinct and not null;
+    those without words.  Candidates are the members of a component within ``max_bits`` in
+    the SimHash grid, with its first one, and pairs that meet in MinHash bands, a pair at
+    the threshold with probability ``recall`` and closer ones more surely; all are verified.  Ids are distinct and not null;
     an empty table gives no rows; other columns are ignored.
     """
     bands = bands_needed(rows, similarity, recall)
     made = keep(sketches(docs, shingle, bands, rows, id_col, text_col))
     reps = keep(made.groupBy("h").agg(F.min(F.struct("id", "fp", "bands")).alias("m")).select("h", "m.*"))
-    grid = keep(fingerprint_components(reps.select("id", "fp"), max_bits))
-    several = grid.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    near = keep(grid.join(several, "component_id").select("id", "component_id", "n"))
-    meet = keep(block_pairs(reps.select(F.col("id").alias("pid"), F.explode("bands").alias("band")), ["band"], F.col("pid"), limit=512).select("key", "pid", "block", "same"))
-    needed = near.select(F.col("id").alias("pid")).unionByName(meet.select("pid")).distinct()
-    plain = F.encode(F.trim(F.regexp_replace(F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, UPPER.lower()), r"[\x20\x09-\x0D]+", " ")), "UTF-8")
-    texts = keep(docs.select(F.col(id_col).cast("long").alias("pid"), F.col(text_col)).join(needed, "pid").select("pid", plain.alias("text")))
-    stars = keep(verified_stars(near, texts, shingle, similarity))
-    left = meet.join(stars.select(F.col("src").alias("pid")), "pid", "left_anti")
-    groups = connected_components(stars.unionByName(verified_links(left, texts, shingle, similarity)))
+    grid = fingerprint_components(reps.select("id", "fp"), max_bits).where("id <> component_id")
+    near = keep(grid.select(F.col("id").alias("pid"), F.col("component_id").alias("rep")))
+    words = F.regexp_replace(F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, UPPER.lower()), r"[\x20\x09-\x0D]+", " ")
+    texts = docs.select(F.col(id_col).cast("long").alias("pid"), F.encode(F.trim(words), "UTF-8").alias("text"))
+    met = similar(texts, reps.select(F.col("id").alias("pid"), F.explode("bands").alias("band")), shingle, similarity, near)
+    groups = connected_components(met)
     named = keep(reps.select("h", "id").join(groups, "id", "left").select("h", F.coalesce("component", "id").alias("component_id")))
     return made.select("id", "h").join(named, "h").select("id", "component_id")

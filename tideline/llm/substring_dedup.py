@@ -178,19 +178,59 @@ def band_keys(distinct: DataFrame, k: int, bands: int, rows: int, seed: int) ->
     return distinct.select("pid", "text").mapInArrow(run, "pid long, band long")
 
 
-def similar(distinct: DataFrame, bands: DataFrame, k: int, similarity: float) -> DataFrame:
-    """Links (src, dst) that span the components of all verified pairs that share a band."""
-    meet = block_pairs(bands, ["band"], F.col("pid"), limit=512).select("key", "pid", "block", "same")
-    return verified_links(meet, distinct.select("pid", "text"), k, similarity)
+def similar(texts: DataFrame, bands: DataFrame, k: int, similarity: float, near: DataFrame | None = None) -> DataFrame:
+    """Links (src, dst) that span the components of all verified pairs of (pid, text) that share a band.
+
+    Every member of a bucket is first compared with the bucket's smallest pid, each
+    such pair once for all bands.  A bucket whose members are then in one component
+    has nothing left to say, nor has one of two; only in others do the pairs between
+    components meet, in blocks.  ``near`` may add pairs (pid, rep) to be compared.
+    """
+    sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("pid").alias("rep")).where("n > 1")
+    meet = keep(bands.join(sizes, "band").select("band", "pid", "rep", "n"))
+    pairs = meet.where("pid <> rep").select("pid", "rep")
+    pairs = keep((pairs if near is None else pairs.unionByName(near)).distinct())
+    needed = pairs.select("pid").unionByName(pairs.select(F.col("rep").alias("pid"))).distinct()
+    texts = keep(texts.select("pid", "text").join(needed, "pid", "left_semi"))
+    stars = keep(verified_stars(pairs, texts, k, similarity))
+    known = connected_components(stars).withColumnRenamed("id", "pid")
+    labelled = keep(meet.where("n > 2").select("band", "pid").join(known, "pid", "left").select("band", "pid", F.coalesce("component", "pid").alias("part")))
+    open_ = labelled.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("band")
+    rest = block_pairs(labelled.join(open_, "band"), ["band"], F.col("pid"), limit=512).select("key", "pid", "part", "block", "same")
+    return stars.unionByName(verified_links(rest, texts, k, similarity))
+
+
+def verified_stars(pairs: DataFrame, texts: DataFrame, k: int, similarity: float, limit: int = 512) -> DataFrame:
+    """(src, dst): the pairs (pid, rep) whose texts are similar enough.  The pairs of one
+    rep are dealt out by ``limit``, with its text in each part."""
+    parts = pairs.groupBy("rep").agg(F.ceil(F.count(F.lit(1)) / limit).alias("parts"))
+    members = pairs.join(parts, "rep").select("pid", "rep", F.pmod(F.xxhash64("pid"), F.col("parts")).alias("part"))
+    firsts = parts.select(F.col("rep").alias("pid"), "rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    dealt = members.unionByName(firsts).select("pid", "rep", F.xxhash64("rep", "part").alias("key")).join(texts, "pid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            pid, rep, plain = table["pid"].to_pylist(), table["rep"].to_pylist(), table["text"].combine_chunks()
+            first, found = None, []
+            for i in sorted(range(len(pid)), key=lambda i: (rep[i], pid[i] != rep[i])):
+                pieces = set(shingles(plain[i].as_py().split(b" "), k))
+                if pid[i] == rep[i]:
+                    first = pieces
+                elif (both := len(pieces & first)) >= similarity * (len(pieces) + len(first) - both):
+                    found.append((pid[i], rep[i]))
+            yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in (0, 1)], ["src", "dst"])
+
+    return by_key(dealt).mapInArrow(run, "src long, dst long")
 
 
 def verified_links(meet: DataFrame, texts: DataFrame, k: int, similarity: float) -> DataFrame:
-    """Links (src, dst) between the rows (key, pid, block, same) of one key whose texts are similar enough."""
+    """Links (src, dst) between the rows (key, pid, part, block, same) of one key that are of
+    different parts and whose texts are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches):
             key, pid = table["key"].to_numpy(), table["pid"].to_numpy()
-            block, same = table["block"].to_numpy(), table["same"].to_numpy()
+            block, same, part = (table[c].to_numpy() for c in ("block", "same", "part"))
             plain, of, held, forest = table["text"].combine_chunks(), {}, 0, Forest(len(key))
 
             def pieces(i: int) -> set[bytes]:
@@ -204,7 +244,7 @@ def verified_links(meet: DataFrame, texts: DataFrame, k: int, similarity: float)
                 return of[pid[i]]
 
             for i, j in pairs_in_runs(key):
-                meets = same[i] | (block[i] != block[j])
+                meets = (same[i] | (block[i] != block[j])) & (part[i] != part[j])
                 root = forest.settle()
                 meets &= root[i] != root[j]
                 linked = [(a, b) for a, b in zip(i[meets], j[meets]) if (both := len((x := pieces(a)) & (y := pieces(b)))) >= similarity * (len(x) + len(y) - both)]
