@@ -30,6 +30,7 @@ def _all(role: str, names: str, kind: str = "numeric", reason: str = "", derived
 #: Every column of the lap table and of this stage, in the order of the result.
 CATALOGUE = [
     *_all("key", " ".join(KEYS), "key", "says where a row comes from"),
+    *_all("feature", "lap_number", reason="fuel burns off"),
     *_all("feature", "lap_duration duration_sector_1 duration_sector_2 duration_sector_3", reason="the lap just driven"),
     *_all("feature", "is_pit_out_lap", "boolean"),
     *_all("feature", "stint_number"), *_all("feature", "compound", "categorical"), *_all("feature", "tyre_age stint_lap"), *_all("feature", "pit_in_lap", "boolean"),
@@ -57,10 +58,10 @@ def with_history(laps: DataFrame, windows: tuple[int, ...] = (3, 5)) -> DataFram
 
 
 def feature_table(laps: DataFrame, windows: tuple[int, ...] = (3, 5)) -> DataFrame:
-    """Keys, features in the catalogue's order, target and has_target; columns that a
+    """Keys, features in the catalogue's order (the lap number is both and stands once), target and has_target; columns that a
     lap table lacks are left out (PRJ-08)."""
     full = with_history(laps, windows)
-    wanted = [*KEYS, *FEATURES, TARGET, "has_target"]
+    wanted = dict.fromkeys([*KEYS, *FEATURES, TARGET, "has_target"])
     return full.select(*[c for c in wanted if c in full.columns])
 
 

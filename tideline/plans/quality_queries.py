@@ -16,7 +16,7 @@ def telemetry_records(spark, sf_dir) -> DataFrame:
     i = F.col("event_id")
     speed = F.when(i % 13 == 0, "null").when(i % 17 == 0, F.lit('"fast"')).when(i % 19 == 0, "450").otherwise(F.floor("value").cast("string"))
     gear = F.when(i % 7 == 0, "2.5").when(i % 23 == 0, "true").otherwise((i % 9).cast("string"))
-    date = F.when(i % 29 == 0, "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    date = F.when(i % 29 == 0, "yesterday").otherwise(F.date_format(F.when(i % 41 == 0, F.col("ts") - F.expr("interval 2 days")).otherwise(F.col("ts")), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     body = F.concat(
         F.lit('{"session_key": 1, "meeting_key": 2, "date": "'), date, F.lit('", "driver_number": '), (F.col("user_id") % 120).cast("string"), F.lit(', "speed": '), speed, F.lit(', "n_gear": '), gear,
         F.lit(', "throttle": '), (i % 112).cast("string"), F.lit(', "drs": '), (i % 15).cast("string"), F.when(i % 31 == 0, ', "new": 1').otherwise(""), F.lit("}"),
@@ -61,7 +61,7 @@ def quality_key_sets(spark, sf_dir):
 
 
 @query("""
-WITH k AS (SELECT 'user_' || user_id AS file, user_id % 120 AS d, CASE WHEN event_id % 29 = 0 THEN 'yesterday' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS t FROM events WHERE event_id % 37 <> 0),
+WITH k AS (SELECT 'user_' || user_id AS file, user_id % 120 AS d, CASE WHEN event_id % 29 = 0 THEN 'yesterday' ELSE strftime(CASE WHEN event_id % 41 = 0 THEN ts - INTERVAL 2 DAY ELSE ts END, '%Y-%m-%dT%H:%M:%SZ') END AS t FROM events WHERE event_id % 37 <> 0),
 g AS (SELECT file, count(*) AS n FROM k GROUP BY file, d, t HAVING count(*) > 1)
 SELECT file, CAST(sum(n - 1) AS BIGINT) AS n FROM g GROUP BY file
 """)
@@ -71,7 +71,7 @@ def quality_duplicates(spark, sf_dir):
 
 
 @query("""
-WITH k AS (SELECT 'user_' || user_id AS file, event_id AS i, CASE WHEN event_id % 29 <> 0 THEN date_trunc('second', ts) END AS t FROM events WHERE event_id % 37 <> 0),
+WITH k AS (SELECT 'user_' || user_id AS file, event_id AS i, CASE WHEN event_id % 29 <> 0 THEN date_trunc('second', CASE WHEN event_id % 41 = 0 THEN ts - INTERVAL 2 DAY ELSE ts END) END AS t FROM events WHERE event_id % 37 <> 0),
 b AS (SELECT *, last_value(t IGNORE NULLS) OVER (PARTITION BY file ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM k)
 SELECT file, count(*) FILTER (t < p) AS n FROM b GROUP BY file HAVING count(*) FILTER (t < p) > 0
 """)

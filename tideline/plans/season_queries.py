@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import rounded
-from tideline.operators import guards
+from tideline.operators import guards, history
 from tideline.plans import features, lap_table, modelling
 from tideline.plans.registry import query, table
 from tideline.sources.scratch import keep
@@ -46,7 +46,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 _WEATHER = ", ".join(f"round(CASE WHEN age <= 7200 THEN w.v / {k}.0 END, 6) AS {c}" if c not in ("rainfall", "wind_direction") else f"CAST(round_even(CASE WHEN age <= 7200 THEN w.v / {k}.0 END, 0) AS BIGINT) AS {c}" for k, c in enumerate(lap_table.WEATHER, 1))
 
 
-@query(f"""
+_LAPS = f"""
 WITH e AS (SELECT user_id % 6 + 1 AS s, user_id AS d, event_id AS i, ts, value AS v, event_type AS k FROM events),
 l AS (SELECT *, row_number() OVER p AS n, lead(ts) OVER p AS nx FROM e WHERE k = 'signup' WINDOW p AS (PARTITION BY s, d ORDER BY ts)),
 w0 AS (SELECT *, coalesce(nx, ts + to_microseconds(CAST(round(v * 1e6) AS BIGINT))) AS te FROM l),
@@ -77,22 +77,40 @@ SELECT CAST(2020 + w0.s AS BIGINT) AS year, CAST(w0.s * 10 AS BIGINT) AS meeting
   coalesce(r1.c, 0) AS rc_events_in_lap, coalesce(r2.c, 0) AS rc_driver_events_in_lap
 FROM w0 LEFT JOIN sx USING (s, d, n) LEFT JOIN wx w USING (s, d, n) LEFT JOIN p1 USING (s, d, n) LEFT JOIN p2 USING (s, d, n) LEFT JOIN pc USING (s, d, n) LEFT JOIN iv USING (s, d, n) LEFT JOIN tm USING (s, d, n)
   LEFT JOIN r1 ON r1.s = w0.s AND r1.n = w0.n LEFT JOIN r2 ON r2.s = w0.s AND r2.d = w0.d AND r2.n = w0.n
-""")
+"""
+
+
+@query(_LAPS)
 def season_lap_table(spark, sf_dir):
     """Nine kinds of records reduced to 55 columns a lap (M4: JN-01 to JN-08, AG-01 to AG-04, PRJ-03 to PRJ-07)."""
     return _rounded(lap_table.lap_table(season(spark, sf_dir), 7200)).withColumn("rpm_mean", F.round("rpm_mean", 4))
 
 
-@query("""
-WITH l AS (SELECT user_id % 6 + 1 AS s, user_id AS d, value AS v, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts) AS n FROM events WHERE event_type = 'signup')
-SELECT s AS session_key, d AS driver_number, n AS lap_number, min(ts) OVER (PARTITION BY s) AS session_date, round(lead(v) OVER w, 6) AS next_lap_time, lead(v) OVER w IS NOT NULL AS has_target,
-  round(lag(v) OVER w, 6) AS lap_time_prev_1, round(v - avg(v) OVER w5, 6) AS lap_time_vs_roll_mean_5, round(stddev_samp(v) OVER w3, 6) AS lap_time_roll_std_3
-FROM l WINDOW w AS (PARTITION BY d ORDER BY n), w3 AS (PARTITION BY d ORDER BY n ROWS 2 PRECEDING), w5 AS (PARTITION BY d ORDER BY n ROWS 4 PRECEDING)
-""")
+def _history_sql() -> str:
+    """SQL for the names of the history features."""
+    found = []
+    for name in history.temporal_names():
+        what, _, k = name.removeprefix("lap_time_").rpartition("_")
+        found.append({
+            "prev": "lag(lap_duration) OVER w", "delta": "lap_duration - lag(lap_duration) OVER w", "vs_roll_mean": "lap_duration - avg(lap_duration) OVER w5", "expanding": "avg(lap_duration) OVER (w ROWS UNBOUNDED PRECEDING)",
+            "roll_mean": f"avg(lap_duration) OVER w{k}", "roll_std": f"stddev_samp(lap_duration) OVER w{k}", "roll_min": f"min(lap_duration) OVER w{k}",
+        }[what])
+    return ", ".join(f"round({x}, 6) AS {n}" for x, n in zip(found, history.temporal_names()))
+
+
+_PLAIN = [c for c in dict.fromkeys([*features.KEYS, *features.FEATURES]) if c not in ("session_date", *history.temporal_names())]
+_FEATURES = f"""
+WITH lap AS ({_LAPS}), dated AS (SELECT *, min(lap_start_time) OVER (PARTITION BY session_key) AS session_date FROM lap)
+SELECT {", ".join(_PLAIN)}, session_date, {_history_sql()}, round(CASE WHEN lead(lap_number) OVER w = lap_number + 1 THEN lead(lap_duration) OVER w END, 6) AS next_lap_time,
+  coalesce(lead(lap_number) OVER w = lap_number + 1, false) AND lead(lap_duration) OVER w IS NOT NULL AS has_target
+FROM dated WINDOW w AS (PARTITION BY session_key, driver_number ORDER BY lap_number), w3 AS (PARTITION BY session_key, driver_number ORDER BY lap_number ROWS 2 PRECEDING), w5 AS (PARTITION BY session_key, driver_number ORDER BY lap_number ROWS 4 PRECEDING)
+"""
+
+
+@query(_FEATURES)
 def season_features(spark, sf_dir):
-    """Session date, target and history of every lap (M5)."""
-    found = features.feature_table(lap_table.lap_table({"laps": season(spark, sf_dir)["laps"]}))
-    return _rounded(found.select("session_key", "driver_number", "lap_number", "session_date", "next_lap_time", "has_target", "lap_time_prev_1", "lap_time_vs_roll_mean_5", "lap_time_roll_std_3"))
+    """Keys, the 51 features, target and its flag of every lap (M5, PRJ-08, PRJ-12, PRJ-15, PRJ-17)."""
+    return _rounded(features.feature_table(lap_table.lap_table(season(spark, sf_dir), 7200))).withColumn("rpm_mean", F.round("rpm_mean", 4))
 
 
 @query("""
@@ -114,7 +132,24 @@ def stored_features(spark, sf_dir) -> DataFrame:
     return keep(features.feature_table(lap_table.lap_table(season(spark, sf_dir), 7200)))
 
 
-@query()
+def _guards_sql(rows: list[tuple[str, str, bool]]) -> str:
+    """SQL for guards of (name, count of what is wrong, blocking)."""
+    one = "SELECT '{}' AS guard, CASE WHEN n IS NULL THEN 'SKIPPED' WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, {} AS blocking, {} AND n IS DISTINCT FROM 0 AS blocks FROM (SELECT ({}) AS n)"
+    return f"WITH f AS MATERIALIZED ({_FEATURES}) " + " UNION ALL ".join(one.format(name, str(b).lower(), str(b).lower(), wrong) for name, wrong, b in rows)
+
+
+_CORRELATED = " + ".join(f"CAST(coalesce(abs(corr({f'CAST({c} AS DOUBLE)'}, next_lap_time)) >= 0.99, false) AS INT)" for c in features.FEATURES if c not in features.CATEGORICAL)
+
+
+@query(_guards_sql([
+    ("grain_unique", "SELECT count(*) - count(DISTINCT (session_key, driver_number, lap_number)) FROM f", True),
+    ("target_matches_independent_derivation", "SELECT count(*) FROM f LEFT JOIN f g ON g.session_key = f.session_key AND g.driver_number = f.driver_number AND g.lap_number = f.lap_number + 1 WHERE f.next_lap_time IS DISTINCT FROM g.lap_duration", True),
+    ("last_lap_has_no_target", "NULL", False),
+    ("target_does_not_cross_driver_or_session", "SELECT count(*) FROM f WHERE next_lap_time IS NOT NULL AND lap_number = (SELECT max(lap_number) FROM f g WHERE g.session_key = f.session_key AND g.driver_number = f.driver_number)", True),
+    ("no_forbidden_columns_among_features", "SELECT count(*) FROM (DESCRIBE SELECT * FROM f) WHERE column_name IN ('lap_end_time', 'is_last_lap_for_driver', 'has_complete_window', 'pit_duration', 'pit_lane_duration')", True),
+    ("rolling_features_use_only_the_past", "SELECT count(*) FROM (SELECT f.lap_time_roll_mean_3 AS a, avg(g.lap_duration) AS b FROM f JOIN f g ON g.session_key = f.session_key AND g.driver_number = f.driver_number AND g.lap_number BETWEEN f.lap_number - 2 AND f.lap_number GROUP BY f.session_key, f.driver_number, f.lap_number, 1) WHERE abs(a - b) > 1e-5", True),
+    ("no_feature_almost_equals_the_target", f"SELECT {_CORRELATED} FROM f", False),
+]))
 def season_feature_guards(spark, sf_dir):
     """The guards of the feature table, each recomputed independently (G5-1 to G5-7)."""
     return _results(spark, features.check(stored_features(spark, sf_dir)))
