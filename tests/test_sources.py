@@ -205,8 +205,8 @@ def test_reader_pushes_filters_and_bounds_telemetry():
     list(reader.pushFilters([rest.GreaterThan(("lap_number",), 2), rest.EqualTo(("unknown",), 1)]))
     assert list(reader.read(reader.partitions()[0]))[0][:4] == (7, 1, 3, 0) and asked == ["http://x/v1/laps?session_key=7&lap_number>2"]
     with pytest.raises(ValueError):
-        rest.TimingReader({"endpoint": "car_data", "url": "u", "session_key": "7"}).partitions()
-    assert len(rest.TimingReader({"endpoint": "car_data", "url": "u", "drivers": "1,44"}).partitions()) == 2
+        rest.TimingReader({"endpoint": "car_data", "url": "u"}).partitions()
+    assert len(rest.TimingReader({"endpoint": "car_data", "url": "u", "drivers": "1,44"}).partitions()) == 1
 
 
 def test_ingestion_reads_each_document_once(spark, root, tmp_path):
@@ -225,3 +225,38 @@ def test_stream_and_batch_windows_agree(spark, tmp_path):
     q = ingest.window_counts(stream, "ts", "event_type", lateness="60 days").writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert sorted(spark.table("windows").collect()) == sorted(ingest.window_counts(events, "ts", "event_type").collect())
+
+
+def test_telemetry_fans_out_over_a_sessions_drivers():
+    asked = []
+
+    def feed(url):
+        asked.append(url)
+        return 200, {}, b'[{"driver_number": 44}, {"driver_number": 1}]' if "/drivers?" in url else b'[{"speed": 300}]'
+
+    reader = rest.TimingReader({"endpoint": "car_data", "url": "http://x/v1", "session_keys": "7,8"})
+    reader.transport = feed
+    (only,) = reader.partitions()  # one partition, so one limiter for all requests
+    list(reader.pushFilters([rest.GreaterThan(("session_key",), 2), rest.GreaterThan(("session_key",), 2)]))
+    assert len(list(reader.read(only))) == 4
+    assert [u.rsplit("/", 1)[1] for u in asked[:3]] == ["drivers?session_key>2&session_key=7", "car_data?session_key>2&session_key=7&driver_number=1", "car_data?session_key>2&session_key=7&driver_number=44"]
+
+
+def test_saved_package_scores_alike_and_refuses_changes(spark, tmp_path):
+    from tideline.operators import encode, regress
+    from tideline.plans import scoring
+
+    rows = spark.range(50).selectExpr("cast(id as double) / 3 as a", "if(id % 4 = 0, null, cast(id % 7 as double)) as b", "concat('k', id % 3) as c", "id * 1.7 + 2 as y")
+    encoder = encode.fit(rows, ["a", "b"], ["c"])
+    model = regress.least_squares(encoder.apply(rows, "y"), encoder.names, "y")
+    contract, folder = scoring.Contract.of(encoder, []), f"file://{tmp_path}/pkg"
+    scoring.save_package(spark, folder, contract, encoder, model, {"rows": 50})
+    again = scoring.load_package(spark, folder)
+    assert again == (contract, encoder, model)
+    (tmp_path / "pkg" / "model.json").write_text('{"intercept": 0, "coefficients": {}}')
+    for crc in tmp_path.glob("pkg/.model.json.crc"):
+        crc.unlink()
+    with pytest.raises(ValueError, match="changed"):
+        scoring.load_package(spark, folder)
+    with pytest.raises(ValueError, match="not published"):
+        scoring.load_package(spark, f"file://{tmp_path}/none")

@@ -196,3 +196,14 @@ def sampling_disclosed(most: int | None, inspected: int, available: int) -> list
     if most is None:
         return []
     return [{"rule": "sampling", "severity": WARNING, "detail": f"{inspected} of {available} records inspected, {most} a document"}]
+
+
+def dataset_index(rows: DataFrame, documents: DataFrame) -> DataFrame:
+    """(session_key, endpoint, files, unreadable, records, objects, drivers): what is stored of
+    each session and kind (AG-12), from parsed documents and their records."""
+    keys = ["session_key", "endpoint"]
+    stored = documents.groupBy(*keys).agg(F.count(F.lit(1)).alias("files"), F.count_if(~F.col("readable")).alias("unreadable"))
+    driver = F.coalesce(F.try_variant_get("rec", "$.driver_number", "long"), F.col("driver_number"))
+    is_object = F.coalesce(F.schema_of_variant("rec").startswith("OBJECT"), F.lit(False))
+    held = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("records"), F.count_if(is_object).alias("objects"), F.count_distinct(driver).alias("drivers"))
+    return stored.join(held, keys, "left").na.fill(0, ["records", "objects", "drivers"])

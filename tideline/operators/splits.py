@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,17 +65,3 @@ def chronology(sessions: DataFrame) -> DataFrame:
 def thin(sessions: DataFrame, least: int = 3) -> DataFrame:
     """Splits with fewer sessions than ``least`` (SP-04)."""
     return sessions.groupBy("split").agg(F.count(F.lit(1)).alias("sessions")).where(F.col("sessions") < least)
-
-
-def fraction_cuts(n: int, train: float, validation: float) -> tuple[int, int]:
-    """The cut points of :func:`by_fraction` for ``n`` sessions, for reports."""
-    first = max(1, round(n * train))
-    return first, first + round(n * validation)
-
-
-def share_cut(n: int, share: float) -> int:
-    return math.ceil(n * share)
-
-
-def year_of(at: Column) -> Column:
-    return F.year(at)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import finite
 from tideline.operators.encode import Encoder
 from tideline.operators.regress import prediction
 from tideline.plans import features as feat
+from tideline.sources import sinks
 
 
 @dataclass(frozen=True)
@@ -59,3 +60,30 @@ def score(records: DataFrame, contract: Contract, encoder: Encoder, model: tuple
     guess = F.when(F.size("errors") == 0, prediction(*model))
     bad = F.when((F.size("errors") == 0) & ~finite(F.col("guess")), F.array(F.lit("prediction: not finite"))).otherwise(F.col("errors"))
     return encoded.withColumn("guess", guess).select(*keys, F.when(finite(F.col("guess")), F.col("guess")).alias("prediction"), bad.alias("errors"))
+
+
+def save_package(spark: SparkSession, folder: str, contract: Contract, encoder: Encoder, model: tuple[float, dict[str, float]], provenance: dict | None = None) -> None:
+    """An immutable folder of parameters at full precision; the marker comes last (SNK-06, SNK-10, SV-09)."""
+    parts = {"contract": asdict(contract), "encoder": asdict(encoder), "model": {"intercept": model[0], "coefficients": model[1]}, "provenance": provenance or {}}
+    for name, value in parts.items():
+        sinks.write_json(spark, f"{folder}/{name}.json", value)
+    sinks.write_json(spark, f"{folder}/PUBLISHED.json", {name: sinks.digest(value) for name, value in parts.items()})
+
+
+def load_package(spark: SparkSession, folder: str) -> tuple[Contract, Encoder, tuple[float, dict[str, float]]]:
+    """What :func:`save_package` wrote.  A folder without its marker, a part that is not
+    what was published, and parts that do not fit each other are refused (SV-05, SV-06, ML-09)."""
+    if not sinks.exists(spark, f"{folder}/PUBLISHED.json"):
+        raise ValueError(f"{folder} is not published")
+    marker = sinks.read_json(spark, f"{folder}/PUBLISHED.json")
+    parts = {name: sinks.read_json(spark, f"{folder}/{name}.json") for name in ("contract", "encoder", "model", "provenance")}
+    changed = [n for n, value in parts.items() if marker.get(n) != sinks.digest(value)]
+    if changed:
+        raise ValueError(f"changed since it was published: {', '.join(changed)}")
+    contract, encoder = Contract(**parts["contract"]), Encoder(**parts["encoder"])
+    if (contract.numeric, contract.categorical) != (encoder.numeric, encoder.categorical):
+        raise ValueError("the contract names other features than the encoder")
+    if set(parts["model"]["coefficients"]) != set(encoder.names):
+        raise ValueError("the model weighs other columns than the encoder gives")
+    order = {n: parts["model"]["coefficients"][n] for n in encoder.names}
+    return contract, encoder, (parts["model"]["intercept"], order)

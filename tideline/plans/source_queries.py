@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import rounded
+from tideline.operators import quality
 from tideline.plans import features, lap_table
 from tideline.plans.registry import query, table
 from tideline.plans.season_queries import season
@@ -19,7 +20,7 @@ from tideline.sources.scratch import keep, shared_folder
 #: holds what of a kind and session falls into 100,000 events in a row.
 KINDS = {"signup": "laps", "view": "car_data", "purchase": "position"}
 DOCUMENTS = """ev AS (SELECT CASE event_type WHEN 'signup' THEN 'laps' WHEN 'view' THEN 'car_data' ELSE 'position' END AS endpoint, CAST(2020 + user_id % 4 AS INT) AS year, CAST(user_id % 40 // 10 AS BIGINT) AS meeting_key,
-  CAST(user_id % 40 AS BIGINT) AS session_key, event_id, value, ts, user_id % 40 % 9 = 4 AS broken FROM events WHERE event_type IN ('signup', 'view', 'purchase'))"""
+  CAST(user_id % 40 AS BIGINT) AS session_key, event_id, value, ts, user_id % 99 AS driver, user_id % 40 % 9 = 4 AS broken FROM events WHERE event_type IN ('signup', 'view', 'purchase'))"""
 
 
 def new_folder(spark) -> str:
@@ -127,3 +128,15 @@ def published_run(spark, sf_dir):
         one = tables.scan(spark, f"{folder}/{name}").groupBy(F.lit(name).alias("table_name")).agg(F.count(F.lit(1)).alias("rows")).withColumn("unchanged", F.lit(name not in changed))
         counted = one if counted is None else counted.unionByName(one)
     return counted
+
+
+@query(f"""
+WITH {DOCUMENTS}
+SELECT session_key, endpoint, count(DISTINCT event_id // 100000) AS files, count(DISTINCT event_id // 100000) FILTER (broken) AS unreadable, count(*) FILTER (NOT broken) AS records,
+  count(*) FILTER (NOT broken AND event_id % 10 <> 0) AS objects, count(DISTINCT driver) FILTER (NOT broken AND event_id % 10 <> 0) AS drivers
+FROM ev GROUP BY ALL
+""")
+def dataset_index(spark, sf_dir):
+    """Files, records and drivers stored of each session and kind (AG-12)."""
+    documents = raw_documents(spark, sf_dir)
+    return quality.dataset_index(envelopes.records(documents), envelopes.parsed(documents))

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import rounded
 from tideline.operators import encode, regress
 from tideline.plans import incremental, scoring
 from tideline.plans.registry import query, table
+from tideline.sources.scratch import shared_folder
 
 
 @query("""
@@ -44,16 +47,36 @@ def session_reuse(spark, sf_dir):
     return incremental.reuse(incremental.session_digests(events, "raw"), incremental.session_digests(before, "raw"), ["raw"])
 
 
-@query("""
+_SCORED = """
 WITH t AS (SELECT regr_slope(o_totalprice, o_custkey) AS b, regr_intercept(o_totalprice, o_custkey) AS a FROM orders WHERE o_orderstatus = 'F')
 SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 0 THEN round(a + b * o_custkey, 2) END AS prediction, CASE WHEN o_orderkey % 10 = 0 THEN 'o_custkey: not finite' ELSE '' END AS errors FROM orders, t
-""")
-def batch_scoring(spark, sf_dir):
-    """Records judged by a contract and scored by a fitted model as columns (SV-01 to SV-04)."""
+"""
+
+
+def _fitted(spark, sf_dir):
+    """Records asked for, and the contract, encoder and model of the finished orders."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("double").alias("o_custkey"), "o_orderstatus", "o_totalprice")
     train = orders.where("o_orderstatus = 'F'")
     encoder = encode.fit(train, ["o_custkey"], [])
     model = regress.least_squares(encoder.apply(train, "o_totalprice"), encoder.names, "o_totalprice")
     asked = orders.select("o_orderkey", F.when(F.col("o_orderkey") % 10 == 0, float("inf")).otherwise(F.col("o_custkey")).alias("o_custkey"))
-    found = scoring.score(asked, scoring.Contract.of(encoder, ["o_orderkey"]), encoder, model)
+    return asked, scoring.Contract.of(encoder, ["o_orderkey"]), encoder, model
+
+
+def _told(found):
     return found.select("o_orderkey", rounded(F.col("prediction"), 2).alias("prediction"), F.array_join("errors", "; ").alias("errors"))
+
+
+@query(_SCORED)
+def batch_scoring(spark, sf_dir):
+    """Records judged by a contract and scored by a fitted model as columns (SV-01 to SV-04)."""
+    return _told(scoring.score(*_fitted(spark, sf_dir)))
+
+
+@query(_SCORED)
+def saved_scoring(spark, sf_dir):
+    """The same with contract, encoder and model saved, loaded and checked against each other (SNK-06, SV-05, SV-06, ML-09)."""
+    asked, *parts = _fitted(spark, sf_dir)
+    folder = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    scoring.save_package(spark, folder, *parts)
+    return _told(scoring.score(asked, *scoring.load_package(spark, folder)))

@@ -102,21 +102,55 @@ class TimingReader(DataSourceReader):
         for f in filters:
             sign = signs.get(type(f))
             if sign and len(f.attribute) == 1 and f.attribute[0] in self.known and f.value is not None:
-                self.asked.append((f.attribute[0], sign, f.value.isoformat() if hasattr(f.value, "isoformat") else str(f.value)))
+                wanted = (f.attribute[0], sign, f.value.isoformat() if hasattr(f.value, "isoformat") else str(f.value))
+                if wanted not in self.asked:
+                    self.asked.append(wanted)
             yield f  # Spark applies every filter again: the feed may ignore one
 
     def partitions(self) -> list[InputPartition]:
-        drivers = [d for d in self.options.get("drivers", "").split(",") if d]
-        if self.endpoint == "car_data" and not drivers and not {"driver_number", "date"} & {a[0] for a in self.asked}:
-            raise ValueError("telemetry is only read for a driver or a span of dates")
-        return [InputPartition(d) for d in drivers] or [InputPartition(None)]
+        """One partition: the feed's limits hold for all requests of a scan together."""
+        by_session = bool(self.listed("session_keys")) or any(a[:2] == ("session_key", "=") for a in self.asked)
+        if self.endpoint == "car_data" and not by_session and not self.listed("drivers") and not {"driver_number", "date"} & {a[0] for a in self.asked}:
+            raise ValueError("telemetry is only read for a session, a driver or a span of dates")
+        return [InputPartition(None)]
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        asked = self.asked + ([("driver_number", "=", partition.value)] if partition.value else [])
+    def listed(self, option: str) -> list[str]:
+        return [x for x in self.options.get(option, "").split(",") if x]
+
+    def url(self, endpoint: str, asked: list[tuple[str, str, str]]) -> str:
         query = "&".join(f"{urllib.parse.quote(k)}{'=' if s == '=' else s}{urllib.parse.quote(str(v))}" for k, s, v in asked)
-        url = f"{self.options['url'].rstrip('/')}/{self.endpoint}?{query}"
-        for pos, record in enumerate(fetch(url, Limiter(), self.transport)):
-            yield (*(_typed(p, record.get(p)) for p in self.known), pos, json.dumps(record))
+        return f"{self.options['url'].rstrip('/')}/{endpoint}?{query}"
+
+    def requests(self, limiter: Limiter) -> Iterator[list[tuple[str, str, str]]]:
+        """What each request asks for: one for each session of the option ``session_keys``
+        and, for telemetry, for each driver, as listed or else as the session has them (SRC-16, SRC-17)."""
+        for session in self.listed("session_keys") or [None]:
+            asked = self.asked + ([("session_key", "=", session)] if session else [])
+            drivers = self.listed("drivers")
+            if self.endpoint == "car_data" and not drivers and not {"driver_number", "date"} & {a[0] for a in asked}:
+                of_session = [a for a in asked if a[0] == "session_key"]
+                drivers = sorted({d["driver_number"] for d in fetch(self.url("drivers", of_session), limiter, self.transport) if d.get("driver_number") is not None})
+                yield from (asked + [("driver_number", "=", d)] for d in drivers)
+            else:
+                yield from (asked + ([("driver_number", "=", d)] if d else []) for d in drivers or [None])
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        limiter = Limiter()
+        for asked in self.requests(limiter):
+            for pos, record in enumerate(fetch(self.url(self.endpoint, asked), limiter, self.transport)):
+                yield (*(_typed(p, record.get(p)) for p in self.known), pos, json.dumps(record))
+
+
+def season_of(spark, url: str, year: int, endpoints: list[str], kinds: list[str] | None = None) -> dict:
+    """Frames of a season: its meetings and sessions, and for each of ``endpoints`` the records
+    of all its sessions, of those whose name or type is in ``kinds`` if given (SRC-16)."""
+    read = lambda endpoint, **options: spark.read.format("timing").options(url=url, endpoint=endpoint, **options).load()
+    catalogue = read("sessions", year=str(year))
+    rows = catalogue.select("session_key", "session_name", "session_type").collect()  # a season's catalogue: some hundred rows
+    wanted = {k.lower() for k in kinds or []}
+    keys = sorted({r.session_key for r in rows if not wanted or {str(r.session_name).lower(), str(r.session_type).lower()} & wanted})
+    listed = ",".join(map(str, keys))
+    return {"meetings": read("meetings", year=str(year)), "sessions": catalogue} | ({e: read(e, session_keys=listed) for e in endpoints} if keys else {})
 
 
 def _typed(name: str, value):

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,11 @@ def canonical_json(value) -> bytes:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False).encode()
 
 
+def digest(value) -> str:
+    """A digest of a value's canonical JSON."""
+    return hashlib.sha256(canonical_json(value)).hexdigest()
+
+
 def write_json(spark: SparkSession, path: str, value, replace: bool = False) -> None:
     """Write a small report through Hadoop's file systems; without ``replace`` it must be new (SNK-03, SNK-12)."""
     fs, p = _files(spark, path)
@@ -69,9 +76,12 @@ def write_json_unique(spark: SparkSession, path: str, value, tries: int = 100) -
     stem, dot, kind = path.rpartition(".")
     for n in range(tries + 1):
         name = f"{stem}-{n}{dot}{kind}" if n else path
-        if not exists(spark, name):
+        try:
             write_json(spark, name, value)
             return name
+        except Py4JJavaError as e:  # only the creation itself tells whether the name was free
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
     raise FileExistsError(path)
 
 
