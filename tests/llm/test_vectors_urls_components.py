@@ -1,11 +1,14 @@
 """Vectors, urls and components against brute force."""
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tideline.llm import ann_forest, embedding_dedup, url_filter
 from tideline.llm.common import connected_components
+from tideline.llm.queries import oracle_sql
 
 SCHEMA = "vec_id long, embedding array<float>, label int, id string, v int, dims int, q int, n int, key string"
 
@@ -105,6 +108,23 @@ def test_urls(spark):
     assert url_filter.url_verdicts(pages).count() == len(PAGES) and url_filter.url_verdicts(pages.limit(0)).count() == 0
 
 
+def test_urls_by_one_name(spark):
+    """Host case, default ports, dot segments, an empty path and fragments make no other page."""
+    link = '<link rel="canonical" href="{}">'.format
+    rows = [
+        (1, "https://alias.site/x", link("https://w.org/es/1")), (2, "https://second.site/y", link("HTTPS://Alias.SITE:443/a/.././x#top")), (3, "https://third.site:443/y?q=1", link("https://alias.site/x")),
+        (4, "http://root.site", link("http://w.org/es/2")), (5, "http://ROOT.site:80/", None), (6, "https://alias.site/X", None), (2, "https://second.site/y", None), (7, None, link("https://w.org/es/1")),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.verdict) for r in url_filter.url_verdicts(pages).collect())
+    assert got == [(1, "block"), (2, "block"), (2, "block"), (3, "block"), (4, "block"), (5, "block"), (6, "allow"), (7, "allow")]
+    con = duckdb.connect()
+    con.register("pages", pa.Table.from_pylist([dict(zip(("page_id", "url", "html"), r)) for r in rows]))
+    assert sorted((r[0], r[4]) for r in con.sql(oracle_sql()["op9_url_filter"]).fetchall()) == got
+    names = pages.select(url_filter.name(F.lit("http://a.b/../../c/./d/..")).alias("n")).first().n
+    assert names == "http://a.b/c/"
+
+
 def test_components_of_chains_stars_and_loops(spark):
     chain = [(i, i + 1) for i in range(300)]
     star = [(1000, i) for i in range(1001, 1400)]

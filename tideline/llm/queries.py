@@ -103,29 +103,41 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, CAST(least(vec_id, coa
 FROM embeddings LEFT JOIN per ON per.a = vec_id LEFT JOIN least_of ON least_of.a = vec_id
 """
 
+def _name_sql(url: str) -> str:
+    """The one name of a url, as in the operator; up to 8 ``..`` segments are resolved."""
+    of = lambda k: f"regexp_extract({url}, '(?s)^(.*?)://([^/?#]*)([^?#]*)', {k})"
+    lower = lambda x: f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    place = f"regexp_replace({of(3)}, '/(\\./)+', '/', 'g')"
+    for _ in range(8):
+        place = f"regexp_replace(regexp_replace({place}, '^/\\.\\.(/|$)', '/'), '/[^/]+/\\.\\.(/|$)', '/')"
+    place = f"coalesce(nullif(regexp_replace({place}, '/\\.$', '/'), ''), '/')"
+    bare = f"regexp_replace(CASE {lower(of(1))} WHEN 'http' THEN regexp_replace({lower(of(2))}, ':0*80$', '') WHEN 'https' THEN regexp_replace({lower(of(2))}, ':0*443$', '') ELSE {lower(of(2))} END, ':$', '')"
+    return f"CASE WHEN contains({url}, '://') THEN {lower(of(1))} || '://' || {bare} || {place} || regexp_extract({url}, '(?s)^[^?#]*(\\?[^#]*)', 1) ELSE regexp_replace({url}, '(?s)#.*$', '') END"
+
+
 #: Rules as a table; links from html as in the operator; what blocks and allows reach.
-OP9 = r"""
+OP9 = rf"""
 WITH RECURSIVE rules(verdict, rule) AS (VALUES ('block', 'com/en/'), ('allow', 'example.com/en/7'), ('block', 'net/de/'), ('allow', 'example.net/de/8'), ('block', 'org/es/')),
 tags AS (
   SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS tag FROM pages WHERE contains(url, '://')),
 targets AS (
   SELECT url, CASE WHEN regexp_matches(tag, '(?is)rel\s*=\s*["'']?[^"''>]*canonical') THEN regexp_extract(tag, '(?is)href\s*=\s*["'']?([^"''\s>]+)', 1)
     WHEN regexp_matches(tag, '(?is)http-equiv\s*=\s*["'']?refresh') THEN regexp_extract(tag, '(?is)url\s*=\s*["'']?([^"''>]+)', 1) END AS t FROM tags),
-links AS (
-  SELECT DISTINCT regexp_replace(url, '(?s)#.*$', '') AS a, regexp_replace(CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
-    WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?:)//', 1) || t
-    ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || t END, '(?s)#.*$', '') AS b FROM targets WHERE t <> ''),
+whole AS (
+  SELECT url AS a, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN regexp_extract(url, '(?s)^(.*?:)//', 1) || t
+    ELSE regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || t END AS b FROM targets WHERE t <> ''),
+links AS (SELECT DISTINCT {_name_sql("a")} AS a, {_name_sql("b")} AS b FROM whole),
 ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
-names AS (SELECT a AS name FROM ways UNION SELECT regexp_replace(url, '(?s)#.*$', '') FROM pages),
-parts AS (
-  SELECT name, translate(regexp_extract(name, '(?s)^(.*?)://([^/?#]*)([^?#]*)', 2), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-    regexp_extract(name, '(?s)^(.*?)://([^/?#]*)([^?#]*)', 3) AS path FROM names),
+page_names AS (SELECT page_id, url, {_name_sql("url")} AS name FROM pages),
+parts(url, host, path) AS (
+  SELECT u, translate(regexp_extract(u, '(?s)^(.*?)://([^/?#]*)([^?#]*)', 2), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), regexp_extract(u, '(?s)^(.*?)://([^/?#]*)([^?#]*)', 3)
+  FROM (SELECT a AS u FROM ways UNION SELECT url FROM pages)),
 own AS (
-  SELECT name, host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+  SELECT url, host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
   FROM parts LEFT JOIN rules ON (host = split_part(rule, '/', 1) OR ends_with(host, '.' || split_part(rule, '/', 1))) AND starts_with(path, substr(rule, strpos(rule, '/')))
   GROUP BY ALL),
-reach(name, verdict) AS (SELECT name, verdict FROM own WHERE verdict IS NOT NULL UNION SELECT b, verdict FROM reach JOIN ways ON a = name),
+reach(name, verdict) AS (SELECT a, verdict FROM ways JOIN own ON url = a WHERE verdict IS NOT NULL UNION SELECT b, verdict FROM reach JOIN ways ON a = name),
 carried AS (SELECT name, bool_or(verdict = 'block') AND NOT bool_or(verdict = 'allow') AS blocked FROM reach GROUP BY name)
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, CASE WHEN blocked THEN 'block' END, 'allow') AS verdict
-FROM pages LEFT JOIN own ON own.name = regexp_replace(url, '(?s)#.*$', '') LEFT JOIN carried ON carried.name = own.name
-""".replace("\\\\", "\\")
+FROM page_names LEFT JOIN own ON own.url = page_names.url LEFT JOIN carried ON carried.name = page_names.name
+"""
