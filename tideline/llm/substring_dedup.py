@@ -191,7 +191,7 @@ def similar(texts: DataFrame, bands: DataFrame, k: int, similarity: float, near:
     pairs = meet.where("pid <> rep").select("pid", "rep")
     pairs = keep((pairs if near is None else pairs.unionByName(near)).distinct())
     needed = pairs.select("pid").unionByName(pairs.select(F.col("rep").alias("pid"))).distinct()
-    texts = keep(texts.select("pid", "text").join(needed, "pid", "left_semi"))
+    texts = keep(texts.select("pid", "text").hint("merge").join(needed, "pid", "left_semi"))  # the same plan at every size
     stars = keep(verified_stars(pairs, texts, k, similarity))
     known = connected_components(stars).withColumnRenamed("id", "pid")
     labelled = keep(meet.where("n > 2").select("band", "pid").join(known, "pid", "left").select("band", "pid", F.coalesce("component", "pid").alias("part")))
