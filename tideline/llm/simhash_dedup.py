@@ -8,8 +8,8 @@ and the 32 next to it, and a range join is an equality join on cells.  Pairs
 that meet are verified on all 64 bits.
 
 Texts whose shingles have a Jaccard similarity of 0.8 are about 10 bits apart, out
-of reach of any grid of 16 counts from 0 to 4: at that distance it holds a seventh
-of all pairs.  :func:`near_duplicates` therefore takes candidates from MinHash bands
+of reach of a grid of 16 counts from 0 to 4: of random fingerprints, 2 % of all pairs
+lie within Manhattan distance 10 and 20 % within 14.  :func:`near_duplicates` therefore takes candidates from MinHash bands
 as well as from the grid, and verifies all of them by exact Jaccard similarity.
 """
 
