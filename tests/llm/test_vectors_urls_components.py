@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.llm import ann_forest, embedding_dedup, url_filter
-from tideline.llm.common import connected_components
+from tideline.llm.common import among, connected_components
 from tideline.llm.queries import oracle_sql
 
 SCHEMA = "vec_id long, embedding array<float>, label int, id string, v int, dims int, q int, n int, key string"
@@ -133,3 +133,12 @@ def test_components_of_chains_stars_and_loops(spark):
     want = {i: 0 for i in range(301)} | {i: 1000 for i in range(1000, 1400)} | {6000: 6000, 6001: 6000} | {7000 + i: 7000 for i in range(3)}
     assert got == want
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
+
+
+def test_among_keeps_the_rows_of_given_ids(spark):
+    ids = [0, 1, 63, 64, 65, 127, -1, -64, -65, 1 << 33, (1 << 62) + 63, 5, 5, None]
+    rows = [(i, f"t{i}") for i in [*range(-130, 130), 1 << 33, (1 << 33) + 1, (1 << 62) + 63, (1 << 62) + 62, None, 64, 64]]
+    table, wanted = spark.createDataFrame(rows, "row long, text string"), spark.createDataFrame([(i,) for i in ids], "row long")
+    want = sorted(r for r in rows if r[0] is not None and r[0] in ids)
+    assert sorted(map(tuple, among(table, wanted, "row").collect())) == want
+    assert among(table, wanted.limit(0), "row").count() == 0 == among(table.limit(0), wanted, "row").count()

@@ -170,9 +170,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     reps = keep(made.groupBy("h").agg(F.min(F.struct("id", "fp", "bands")).alias("m")).select("h", "m.*"))
     grid = fingerprint_components(reps.select("id", "fp"), max_bits).where("id <> component_id")
     near = keep(grid.select(F.col("id").alias("pid"), F.col("component_id").alias("rep")))
-    words = F.regexp_replace(F.translate(F.coalesce(F.col(text_col), F.lit("")), UPPER, UPPER.lower()), r"[\x20\x09-\x0D]+", " ")
-    texts = docs.select(F.col(id_col).cast("long").alias("pid"), F.encode(F.trim(words), "UTF-8").alias("text"))
-    met = similar(texts, reps.select(F.col("id").alias("pid"), F.explode("bands").alias("band")), shingle, similarity, near)
+    words = F.regexp_replace(F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, UPPER.lower()), r"[\x20\x09-\x0D]+", " ")
+    texts = docs.select(F.col(id_col).cast("long").alias("pid"), F.col(text_col).alias("text"))
+    met = similar(texts, reps.select(F.col("id").alias("pid"), F.explode("bands").alias("band")), shingle, similarity, near, F.encode(F.trim(words), "UTF-8"))
     groups = connected_components(met)
     named = keep(reps.select("h", "id").join(groups, "id", "left").select("h", F.coalesce("component", "id").alias("component_id")))
     return made.select("id", "h").join(named, "h").select("id", "component_id")

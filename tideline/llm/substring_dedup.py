@@ -20,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import Forest, block_pairs, by_key, connected_components, keep, pairs_in_runs, small_batches, whole_groups
+from tideline.llm.common import Forest, among, block_pairs, by_key, connected_components, keep, pairs_in_runs, small_batches, whole_groups
 
 
 def bands_needed(rows: int, similarity: float, recall: float) -> int:
@@ -178,7 +178,7 @@ def band_keys(distinct: DataFrame, k: int, bands: int, rows: int, seed: int) ->
     return distinct.select("pid", "text").mapInArrow(run, "pid long, band long")
 
 
-def similar(texts: DataFrame, bands: DataFrame, k: int, similarity: float, near: DataFrame | None = None) -> DataFrame:
+def similar(texts: DataFrame, bands: DataFrame, k: int, similarity: float, near: DataFrame | None = None, plain: Column | None = None) -> DataFrame:
     """Links (src, dst) that span the components of all verified pairs of (pid, text) that share a band.
 
     Every member of a bucket is first compared with the bucket's smallest pid, each
@@ -190,8 +190,8 @@ def similar(texts: DataFrame, bands: DataFrame, k: int, similarity: float, near:
     meet = keep(bands.join(sizes, "band").select("band", "pid", "rep", "n"))
     pairs = meet.where("pid <> rep").select("pid", "rep")
     pairs = keep((pairs if near is None else pairs.unionByName(near)).distinct())
-    needed = pairs.select("pid").unionByName(pairs.select(F.col("rep").alias("pid"))).distinct()
-    texts = keep(texts.select("pid", "text").hint("merge").join(needed, "pid", "left_semi"))  # the same plan at every size
+    needed = pairs.select("pid").unionByName(pairs.select(F.col("rep").alias("pid")))
+    texts = keep(among(texts.select("pid", "text"), needed, "pid").select("pid", (F.col("text") if plain is None else plain).alias("text")))
     stars = keep(verified_stars(pairs, texts, k, similarity))
     known = connected_components(stars).withColumnRenamed("id", "pid")
     labelled = keep(meet.where("n > 2").select("band", "pid").join(known, "pid", "left").select("band", "pid", F.coalesce("component", "pid").alias("part")))
