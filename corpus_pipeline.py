@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm import secrets as secret_scan
 from tideline.llm import simhash_dedup
-from tideline.llm.common import keep
+from tideline.llm.common import among, keep
 from tideline.llm.language_id import fit, predict, usual_length
 from tideline.llm.mixing import mix
 from tideline.llm.packing import pack
@@ -60,7 +60,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     groups = keep(simhash_dedup.near_duplicates(rows, shingle=5, similarity=0.8, id_col="row").withColumnRenamed("id", "row"))
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("row").alias("r"))
     kept = groups.join(rows.select("row", "doc_id"), "row").groupBy("component_id").agg(F.min(place).alias("first")).select(F.col("first.r").alias("row"))
-    return rows.join(keep(kept), "row", "left_semi").select(*COLUMNS)
+    return among(rows, kept, "row").select(*COLUMNS)
 
 
 @tidy
