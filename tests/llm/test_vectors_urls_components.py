@@ -142,3 +142,12 @@ def test_among_keeps_the_rows_of_given_ids(spark):
     want = sorted(r for r in rows if r[0] is not None and r[0] in ids)
     assert sorted(map(tuple, among(table, wanted, "row").collect())) == want
     assert among(table, wanted.limit(0), "row").count() == 0 == among(table.limit(0), wanted, "row").count()
+
+
+def test_among_scattered_ids_loses_none_and_lets_few_others_through(spark):
+    table = spark.range(20000).select(F.xxhash64("id").alias("pid"))
+    wanted = spark.range(300).select(F.xxhash64("id").alias("pid"))
+    got = {r.pid for r in among(table, wanted, "pid", scattered=True).collect()}
+    assert {r.pid for r in wanted.collect()} <= got
+    assert len(got) < 300 + 20000 / 10
+    assert among(table, wanted.limit(0), "pid", scattered=True).count() == 0

@@ -119,16 +119,21 @@ def by_key(df: DataFrame) -> DataFrame:
     return df.repartition("key").sortWithinPartitions("key")
 
 
-def among(df: DataFrame, ids: DataFrame, col: str) -> DataFrame:
+def among(df: DataFrame, ids: DataFrame, col: str, scattered: bool = False) -> DataFrame:
     """The rows of ``df`` whose ``col``, a long, is one of those of ``ids``.
 
     64 ids in a row are one bit mask.  Row numbers so take a few bits each, and
     Catalyst broadcasts the masks of many millions of rows where it would shuffle
-    the rows of ``df`` for as many ids; beyond its bound it joins by mask.  Ids
-    that are far apart take a mask each.
+    the rows of ``df`` for as many ids; beyond its bound it joins by mask.
+    ``scattered`` ids, as hashes are, share a field of 16 to 32 bits for each id:
+    then up to one in 16 of the other rows is let through too.
     """
-    masks = keep(ids.where(F.col(col).isNotNull()).groupBy(F.shiftright(col, 6).alias("_chunk")).agg(F.expr(f"bit_or(shiftleft(1L, int({col} & 63)))").alias("_mask")))
-    held = df.withColumn("_chunk", F.shiftright(col, 6)).join(masks, "_chunk").where(f"shiftright(_mask, int({col} & 63)) & 1 = 1")
+    ids = ids.where(F.col(col).isNotNull())
+    chunk = F.shiftright(col, 6)
+    if scattered:
+        chunk = chunk.bitwiseAND(F.lit((1 << (ids.count() // 4).bit_length()) - 1))
+    masks = keep(ids.groupBy(chunk.alias("_chunk")).agg(F.expr(f"bit_or(shiftleft(1L, int({col} & 63)))").alias("_mask")))
+    held = df.withColumn("_chunk", chunk).join(masks, "_chunk").where(f"shiftright(_mask, int({col} & 63)) & 1 = 1")
     return held.select(*df.columns)
 
 

@@ -25,8 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import Forest, block_pairs, by_key, connected_components, keep, pairs_in_runs, small_batches, whole_groups
-from tideline.llm.substring_dedup import band_hashes, bands_needed, linear_hashes, similar
+from tideline.llm.common import Forest, among, block_pairs, by_key, connected_components, keep, pairs_in_runs, small_batches, whole_groups
+from tideline.llm.substring_dedup import SAMPLED, band_hashes, bands_needed, busy_bands, linear_hashes, similar
 
 SEGMENTS, WIDTH = 16, 4
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -172,7 +172,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     near = keep(grid.select(F.col("id").alias("pid"), F.col("component_id").alias("rep")))
     words = F.regexp_replace(F.translate(F.coalesce(F.col("text"), F.lit("")), UPPER, UPPER.lower()), r"[\x20\x09-\x0D]+", " ")
     texts = docs.select(F.col(id_col).cast("long").alias("pid"), F.col(text_col).alias("text"))
-    met = similar(texts, reps.select(F.col("id").alias("pid"), F.explode("bands").alias("band")), shingle, similarity, near, F.encode(F.trim(words), "UTF-8"))
+    listed = reps.select(F.col("id").alias("pid"), F.explode("bands").alias("band"))
+    busy = busy_bands(listed.where(F.pmod(F.xxhash64("pid"), F.lit(SAMPLED)) == 0))
+    met = similar(lambda wanted: among(texts, wanted, "pid").select("pid", F.encode(F.trim(words), "UTF-8").alias("text")), listed, busy, shingle, similarity, near)
     groups = connected_components(met)
     named = keep(reps.select("h", "id").join(groups, "id", "left").select("h", F.coalesce("component", "id").alias("component_id")))
     return made.select("id", "h").join(named, "h").select("id", "component_id")

@@ -15,12 +15,12 @@ picks: equal units are one, and those that repeat are merged to spans.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import Forest, among, block_pairs, by_key, connected_components, keep, pairs_in_runs, small_batches, whole_groups
@@ -93,40 +93,82 @@ def in_characters(text: bytes, *places: np.ndarray) -> list[np.ndarray]:
     return [chars[p] for p in places]
 
 
+def plain_form(text: bytes) -> tuple[int, bytes]:
+    """A 64-bit digest of a paragraph and its text, lower-cased (A-Z) with single spaces."""
+    plain = b" ".join(text.lower().split())
+    return int.from_bytes(hashlib.blake2b(plain, digest_size=8).digest(), "little", signed=True), plain
+
+
+def line_edges(text: bytes, first: np.ndarray, past: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The line in which each paragraph starts, and its first byte and the one past it, which for whole lines are those of the line."""
+    ends = np.flatnonzero(np.frombuffer(text, np.uint8) == 10)
+    line, edges = np.searchsorted(ends, first), np.r_[-1, ends, len(text)]
+    return line, np.where(whole, edges[line] + 1, first), np.where(whole, edges[line + 1], past)
+
+
 def paragraphs(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """(row, doc_id, paragraph, start, n_chars, n_words, h, text): ``paragraph`` is the
-    line in which it starts, ``text`` lower-cased (A-Z) with single spaces, ``h`` its digest."""
-    names = ["row", "doc_id", "paragraph", "start", "n_chars", "n_words", "h", "text"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-
-    def some(keys: list[tuple], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
-        of, _, first, past, n_words, whole = paragraph_cuts(texts, min_words)
-        cuts, rows, held = np.searchsorted(of, np.arange(len(texts) + 1)), [], 0
-        for j, t in enumerate(texts):
-            mine = slice(cuts[j], cuts[j + 1])
-            if cuts[j] == cuts[j + 1]:
-                continue
-            ends = np.flatnonzero(np.frombuffer(t, np.uint8) == 10)
-            line = np.searchsorted(ends, first[mine])
-            edges = np.r_[-1, ends, len(t)]
-            lo, hi = np.where(whole[mine], edges[line] + 1, first[mine]), np.where(whole[mine], edges[line + 1], past[mine])
-            start, end = in_characters(t, lo, hi)
-            for k in range(len(line)):
-                plain = b" ".join(t[lo[k] : hi[k]].lower().split())
-                rows.append((*keys[j], int(line[k]), int(start[k]), int(end[k] - start[k]), int(n_words[mine][k]), hashlib.blake2b(plain, digest_size=16).digest(), plain))
-                held += len(plain)
-            if held > 8_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
-                rows, held = [], 0
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+    """(row, doc_id, paragraph, start, n_chars, n_words, pid): ``paragraph`` is the
+    line in which it starts, ``pid`` the digest of its plain form."""
+    names = ["row", "doc_id", "paragraph", "start", "n_chars", "n_words", "pid"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in text_groups(batches):
-            yield from some(keys, texts)
+            of, _, first, past, n_words, whole = paragraph_cuts(texts, min_words)
+            cuts, rows = np.searchsorted(of, np.arange(len(texts) + 1)), []
+            for j in np.unique(of).tolist():
+                mine = slice(cuts[j], cuts[j + 1])
+                line, lo, hi = line_edges(texts[j], first[mine], past[mine], whole[mine])
+                start, end = in_characters(texts[j], lo, hi)
+                pids = [plain_form(texts[j][x:y])[0] for x, y in zip(lo, hi)]
+                rows += zip(*([key] * len(line) for key in keys[j]), line.tolist(), start.tolist(), (end - start).tolist(), n_words[mine].tolist(), pids)
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
 
     rows = small_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "row long, doc_id long, paragraph long, start long, n_chars long, n_words long, h binary, text binary")
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+
+def plain_paragraphs(texts: list[bytes], least: int, seen: set[int], held: int = 250_000) -> Iterator[tuple[int, bytes]]:
+    """(digest, plain form) of the paragraphs of ``texts`` that are not in ``seen``, which
+    holds some of those that this task has met, so that copies rarely come twice."""
+    of, _, first, past, _, whole = paragraph_cuts(texts, least)
+    cuts = np.searchsorted(of, np.arange(len(texts) + 1))
+    for j in np.unique(of).tolist():
+        mine = slice(cuts[j], cuts[j + 1])
+        for x, y in zip(*line_edges(texts[j], first[mine], past[mine], whole[mine])[1:]):
+            pid, plain = plain_form(texts[j][x:y])
+            if pid not in seen:
+                if len(seen) >= held:
+                    seen.clear()
+                seen.add(pid)
+                yield pid, plain
+
+
+def some_at_once(found: Iterator[tuple[int, bytes]], most: int = 2_000_000, rows: int = 500) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Paragraphs in lists of bounded size."""
+    pids, plains, held = [], [], 0
+    for pid, plain in found:
+        pids.append(pid)
+        plains.append(plain)
+        held += len(plain)
+        if held > most or len(pids) == rows:
+            yield pids, plains
+            pids, plains, held = [], [], 0
+    if pids:
+        yield pids, plains
+
+
+def paragraph_texts(docs: DataFrame, min_words: int, text_col: str, wanted: DataFrame) -> DataFrame:
+    """(pid, text), once each, of paragraphs with the pids of ``wanted`` and of few others."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for _, texts in text_groups(batches):
+            for pids, plains in some_at_once(plain_paragraphs(texts, min_words, seen)):
+                yield pa.RecordBatch.from_arrays([pa.array(pids, pa.int64()), pa.array(plains, pa.binary())], ["pid", "text"])
+
+    every = small_batches(docs).select(F.col(text_col).alias("text")).mapInArrow(run, "pid long, text binary")
+    return among(every, wanted, "pid", scattered=True).groupBy("pid").agg(F.max("text").alias("text"))
 
 
 def text_groups(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Iterator[tuple[list[tuple], list[bytes]]]:
@@ -161,40 +203,65 @@ def band_hashes(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key ^ np.arange(bands, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def band_keys(distinct: DataFrame, k: int, bands: int, rows: int, seed: int) -> DataFrame:
-    """(pid, band): a hash for each band of each distinct paragraph."""
+def paragraph_bands(docs: DataFrame, min_words: int, k: int, bands: int, rows: int, seed: int, text_col: str) -> DataFrame:
+    """(pid, band): a hash for each band of each paragraph; of copies some come more than once."""
     odd, add = linear_hashes(bands * rows, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                each = [shingles(t.split(b" "), k) for t in batch["text"].to_pylist()]
+        seen = set()
+        for _, texts in text_groups(batches):
+            for pids, plains in some_at_once(plain_paragraphs(texts, min_words, seen)):
+                each = [shingles(t.split(b" "), k) for t in plains]
                 h = np.array([xxhash.xxh64_intdigest(s) for one in each for s in one], np.uint64)
                 starts = np.cumsum([0, *map(len, each)])[:-1]
                 key = band_hashes(np.stack([np.minimum.reduceat(h * a + b, starts) for a, b in zip(odd, add)], axis=1), bands, rows)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch["pid"].to_numpy(), bands)), pa.array(key.ravel().view(np.int64))], ["pid", "band"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(pids, np.int64), bands)), pa.array(key.ravel().view(np.int64))], ["pid", "band"])
+
+    return small_batches(docs).select(F.col(text_col).alias("text")).mapInArrow(run, "pid long, band long")
+
+
+#: One in so many texts is looked at for large buckets; the members of a part of such a bucket.
+SAMPLED, PART = 64, 4096
+
 
-    return distinct.select("pid", "text").mapInArrow(run, "pid long, band long")
+def busy_bands(sample: DataFrame) -> DataFrame:
+    """(band, parts) of the buckets that, by the bands of one text in SAMPLED, are large."""
+    counted = sample.groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    return keep(counted.where(F.col("n") * SAMPLED > 2 * PART).select("band", F.ceil(F.col("n") * SAMPLED / PART).alias("parts")))
+
+
+def buckets(bands: DataFrame, busy: DataFrame) -> DataFrame:
+    """(band, pid, rep, n, split): the rows of ``bands`` that share their bucket, in one exchange.
+
+    ``rep`` is the smallest pid of the bucket and ``n`` its rows; buckets that
+    ``busy`` knows are split, with both taken by part, so no task meets one whole.
+    """
+    dealt = bands.join(busy, "band", "left").select("band", "pid", F.pmod(F.xxhash64("pid"), F.coalesce("parts", F.lit(1))).alias("part"), F.col("parts").isNotNull().alias("split"))
+    whole = Window.partitionBy("band", "part")
+    met = dealt.select("band", "pid", "split", F.min("pid").over(whole).alias("rep"), F.max("pid").over(whole).alias("last"), F.count(F.lit(1)).over(whole).alias("n"))
+    return met.where("rep < last or split").drop("last")
 
 
-def similar(texts: DataFrame, bands: DataFrame, k: int, similarity: float, near: DataFrame | None = None, plain: Column | None = None) -> DataFrame:
-    """Links (src, dst) that span the components of all verified pairs of (pid, text) that share a band.
+def similar(texts_of: Callable[[DataFrame], DataFrame], bands: DataFrame, busy: DataFrame, k: int, similarity: float, near: DataFrame | None = None) -> DataFrame:
+    """Links (src, dst) that span the components of all verified pairs of pids that share a
+    band.  ``texts_of`` gives the (pid, text) of a table of pids.
 
-    Every member of a bucket is first compared with the bucket's smallest pid, each
+    Every member of a bucket is first compared with the bucket's smallest pid (in a
+    bucket that is split, with that of its part, and those with one another's), each
     such pair once for all bands.  A bucket whose members are then in one component
     has nothing left to say, nor has one of two; only in others do the pairs between
     components meet, in blocks.  ``near`` may add pairs (pid, rep) to be compared.
     """
-    sizes = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("pid").alias("rep")).where("n > 1")
-    meet = keep(bands.join(sizes, "band").select("band", "pid", "rep", "n"))
-    pairs = meet.where("pid <> rep").select("pid", "rep")
+    meet = keep(buckets(bands, busy))
+    heads = meet.where("split").select("band", F.col("rep").alias("pid")).distinct()
+    heads = heads.join(heads.groupBy("band").agg(F.min("pid").alias("rep")), "band").select("pid", "rep")
+    pairs = meet.select("pid", "rep").unionByName(heads).where("pid <> rep")
     pairs = keep((pairs if near is None else pairs.unionByName(near)).distinct())
-    needed = pairs.select("pid").unionByName(pairs.select(F.col("rep").alias("pid")))
-    texts = keep(among(texts.select("pid", "text"), needed, "pid").select("pid", (F.col("text") if plain is None else plain).alias("text")))
+    needed = keep(pairs.select("pid").unionByName(pairs.select(F.col("rep").alias("pid"))).distinct())
+    texts = keep(texts_of(needed))
     stars = keep(verified_stars(pairs, texts, k, similarity))
     known = connected_components(stars).withColumnRenamed("id", "pid")
-    labelled = keep(meet.where("n > 2").select("band", "pid").join(known, "pid", "left").select("band", "pid", F.coalesce("component", "pid").alias("part")))
+    labelled = keep(meet.where("n > 2 or split").select("band", "pid").distinct().join(known, "pid", "left").select("band", "pid", F.coalesce("component", "pid").alias("part")))
     open_ = labelled.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("band")
     rest = block_pairs(labelled.join(open_, "band"), ["band"], F.col("pid"), limit=512).select("key", "pid", "part", "block", "same")
     return stars.unionByName(verified_links(rest, texts, k, similarity))
@@ -268,15 +335,14 @@ def repeated_passages(
 
     Null and empty texts have none; rows with a null id stand last in the order; of
     rows that repeat an id and its text one is kept; an empty table gives no rows;
-    other columns are ignored.
+    other columns are ignored.  Paragraphs with the same 64-bit digest are taken as equal.
     """
-    found = keep(paragraphs(docs, min_words, id_col, text_col).drop("text"))
-    texts = paragraphs(docs, min_words, id_col, text_col).select("h", "text")  # made again: a written copy takes more disk than that takes time
-    distinct = keep(texts.groupBy("h").agg(F.max("text").alias("text")).withColumn("pid", F.monotonically_increasing_id()))
-    links = similar(distinct, band_keys(distinct, k, bands_needed(rows, similarity, recall), rows, seed), k, similarity)
-    groups = connected_components(links)
-    named = keep(distinct.select("pid", "h").join(groups.withColumnRenamed("id", "pid"), "pid", "left").select("h", F.coalesce("component", "pid").alias("component")))
-    placed = keep(found.join(named, "h").drop("h"))
+    found = keep(paragraphs(docs, min_words, id_col, text_col))
+    bands = lambda some: paragraph_bands(some, min_words, k, bands_needed(rows, similarity, recall), rows, seed, text_col)
+    busy = busy_bands(bands(docs.where(F.pmod(F.xxhash64(text_col), F.lit(SAMPLED)) == 0)))
+    links = similar(lambda wanted: paragraph_texts(docs, min_words, text_col, wanted), bands(docs), busy, k, similarity)
+    groups = connected_components(links).withColumnRenamed("id", "pid")
+    placed = keep(found.join(groups, "pid", "left").withColumn("component", F.coalesce("component", "pid")).drop("pid"))
     place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("paragraph").alias("p"), F.col("start").alias("s"), F.col("row").alias("r"))
     many = keep(placed.groupBy("component").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n_members")).where("n_members > 1"))
     first = (F.col("row") == F.col("first.r")) & (F.col("start") == F.col("first.s"))
