@@ -8,6 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tideline.llm import language_id, mixing, packing, secrets, simhash_dedup, substring_dedup, token_counts
+from tideline.llm.common import connected_components
 from tideline.llm.tokens import _UNSETTLED, Encoder, pieces, tokenizer_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, key int, block string, size double, row string, _found int, `lang pred` int"
@@ -367,3 +368,27 @@ def test_repeated_rows_keep_one_passage(spark):
     rows = [(1, prose(60, 80), "a"), (1, prose(60, 80), "a"), (None, "", "a")]
     found = substring_dedup.every_passage(frame(spark, rows))
     assert [r.kept for r in found.orderBy("kept").collect()] == [False, True]
+
+
+def test_large_buckets_are_split_without_loss(spark):
+    base = [f"w{i}" for i in range(60)]
+    texts = {n: " ".join(base[:n % 50] + [f"x{n}"] + base[n % 50 + 1:]).encode() for n in range(40)} | {n: f"other {n} words".encode() for n in range(100, 104)}
+    table = spark.createDataFrame([(n, bytearray(t)) for n, t in texts.items()], "pid long, text binary")
+    bands = spark.createDataFrame([(n, 7) for n in texts] + [(1, 7), (100, 8), (101, 8), (102, 9)], "pid long, band long")
+    sets = {n: set(substring_dedup.shingles(t.split(b" "), 2)) for n, t in texts.items()}
+    want = {(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    whole = spark.createDataFrame([], "band long, parts long")
+    for busy in (whole, spark.createDataFrame([(7, 5)], "band long, parts long")):
+        met = substring_dedup.buckets(bands, busy)
+        assert {(r.band, r.pid) for r in met.collect()} == {(7, n) for n in texts} | {(8, 100), (8, 101)}
+        links = substring_dedup.similar(lambda wanted: table, bands, busy, 2, 0.8)
+        assert all((min(r), max(r)) in want for r in links.collect())
+        got = {r.id: r.component for r in connected_components(links).collect()}
+        assert got == {r.id: r.component for r in connected_components(spark.createDataFrame(sorted(want), "src long, dst long")).collect()}
+
+
+def test_busy_bands_are_those_of_many_sampled_texts(spark):
+    many = 2 * substring_dedup.PART // substring_dedup.SAMPLED + 1
+    sample = spark.createDataFrame([(i, 1) for i in range(many)] + [(i, 2) for i in range(many - 1)], "pid long, band long")
+    assert [r.band for r in substring_dedup.busy_bands(sample).collect()] == [1]
+    assert substring_dedup.busy_bands(sample.limit(0)).count() == 0
