@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,14 +10,19 @@ from pyspark.sql import functions as F
 
 from tideline.llm import secrets as secret_scan
 from tideline.llm.ann_forest import nearest
+from tideline.llm.centroids import cluster, with_inertia
+from tideline.llm.common import keep
 from tideline.llm.embedding_dedup import embedding_near_dups
 from tideline.llm.language_id import fit, predict
 from tideline.llm.mixing import mix
 from tideline.llm.packing import pack
+from tideline.llm.resampling import importance_resample
 from tideline.llm.simhash_dedup import simhash_components
 from tideline.llm.substring_dedup import every_passage
 from tideline.llm.token_counts import token_counts
+from tideline.llm.token_files import read_tokens, write_tokens
 from tideline.llm.url_filter import url_verdicts
+from tideline.sources.scratch import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,13 +83,31 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every_passage(table(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centroids = cluster(table(spark, sf_dir, "embeddings"))
+    return with_inertia(keep(assigned), centroids)
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/token-files/{uuid.uuid4().hex}"
+    write_tokens(table(spark, sf_dir, "documents"), folder)
+    return read_tokens(spark, folder, with_ids=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_token_counts, op2_embedding_dedup, op3_ann, op4_secret_scan, op5_simhash_dedup, op6_language_id, op7_packing, op8_mixing, op9_url_filter, op10_substring_dedup)
+    found = (
+        op1_token_counts, op2_embedding_dedup, op3_ann, op4_secret_scan, op5_simhash_dedup, op6_language_id, op7_packing, op8_mixing, op9_url_filter, op10_substring_dedup,
+        op11_importance_resampling, op12_centroid_clustering, op13_token_files,
+    )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_embedding_dedup": OP2, "op9_url_filter": OP9}
+    return {"op2_embedding_dedup": OP2, "op9_url_filter": OP9, "op12_centroid_clustering": _clustering_sql()}
 
 
 #: Exact links by a join of all vectors of a label, and their components.
@@ -141,3 +165,26 @@ carried AS (SELECT name, bool_or(verdict = 'block') AND NOT bool_or(verdict = 'a
 SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(verdict, CASE WHEN blocked THEN 'block' END, 'allow') AS verdict
 FROM page_names LEFT JOIN own ON own.url = page_names.url LEFT JOIN carried ON carried.name = page_names.name
 """
+
+
+def _clustering_sql(k: int = 16, rounds: int = 3) -> str:
+    """Every distance of every vector in every round; floors of sums by the remainder."""
+    nearest = """SELECT id, v, min_by(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM (
+    SELECT row AS id, a.v, cluster, list_sum(list_transform(list_zip(a.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM kept a, {c} c) GROUP BY id, v"""
+    parts = [
+        """kept AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(64 * x) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, v) - 1 AS cluster, v FROM kept QUALIFY cluster < {k})",
+    ]
+    for r in range(rounds):
+        parts.append(f"a{r} AS ({nearest.format(c=f'c{r}')})")
+        parts.append(f"""c{r + 1} AS (
+  SELECT cluster, coalesce(m.v, c{r}.v) AS v FROM c{r} LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+      SELECT cluster, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM a{r}, range(1, 65) t(i) GROUP BY cluster, i) GROUP BY cluster) m USING (cluster))""")
+    parts.append(f"last AS ({nearest.format(c=f'c{rounds}')})")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, CAST(last.cluster AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY last.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM last JOIN kept ON kept.row = last.id JOIN c{rounds} USING (cluster)"""
