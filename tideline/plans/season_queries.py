@@ -138,7 +138,13 @@ def _guards_sql(rows: list[tuple[str, str, bool]]) -> str:
     return f"WITH f AS MATERIALIZED ({_FEATURES}) " + " UNION ALL ".join(one.format(name, str(b).lower(), str(b).lower(), wrong) for name, wrong, b in rows)
 
 
-_CORRELATED = " + ".join(f"CAST(coalesce(abs(corr({f'CAST({c} AS DOUBLE)'}, next_lap_time)) >= 0.99, false) AS INT)" for c in features.FEATURES if c not in features.CATEGORICAL)
+def _correlated(c: str) -> str:
+    """SQL for 1 where a feature almost equals the target; a side without variance is NaN there, which is no correlation."""
+    x = f"corr(CAST({c} AS DOUBLE), next_lap_time)"
+    return f"CAST(coalesce(isfinite({x}) AND abs({x}) >= 0.99, false) AS INT)"
+
+
+_CORRELATED = " + ".join(_correlated(c) for c in features.FEATURES if c not in features.CATEGORICAL)
 
 
 @query(_guards_sql([
