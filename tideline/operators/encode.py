@@ -1,17 +1,17 @@
-"""A feature encoder that learns from training rows in one aggregate and applies
+"""A feature encoder that learns from the counted values of training rows and applies
 as plain column expressions."""
 
 from __future__ import annotations
 
 from dataclasses import asdict, dataclass, field
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.functions.scalars import real
+from tideline.operators.statistics import MISSING, Summary, category, prepared, summaries, value_counts
 
-#: Stands for a missing category.
-MISSING = "__MISSING__"
+__all__ = ["MISSING", "Encoder", "category", "fit", "learned", "prepared"]
 
 
 @dataclass
@@ -29,8 +29,17 @@ class Encoder:
     @property
     def names(self) -> list[str]:
         """Names of the encoded columns, in order."""
-        one_hot = [f"{c}_{v}" for c in self.categorical for v in self.levels[c]]
-        return [*self.numeric, *[f"missingindicator_{c}" for c in self.indicators], *one_hot]
+        return [*self.dense, *self.level_names]
+
+    @property
+    def dense(self) -> list[str]:
+        """Names of the encoded columns that are not levels of a category."""
+        return [*self.numeric, *[f"missingindicator_{c}" for c in self.indicators]]
+
+    @cached_property
+    def level_names(self) -> dict[str, tuple[str, str]]:
+        """The (column, level) behind each one-hot name, in order."""
+        return {f"{c}_{v}": (c, v) for c in self.categorical for v in self.levels[c]}
 
     def column(self, name: str) -> Column:
         """An encoded column as an expression over the raw columns."""
@@ -39,20 +48,18 @@ class Encoder:
         elif name in self.numeric:
             raw = F.coalesce(prepared(name), F.lit(self.fill[name]).cast("double"))
         else:
-            return self._level(name)
+            c, v = self.level_names[name]
+            return F.when(category(c) == v, 1.0).otherwise(0.0)
         return (raw - self.mean[name]) / self.scale[name] if name in self.mean else raw
 
-    def _level(self, name: str) -> Column:
-        for c in self.categorical:
-            for v in self.levels[c]:
-                if name == f"{c}_{v}":
-                    return F.when(category(c) == v, 1.0).otherwise(0.0)
-        raise KeyError(name)
-
     def apply(self, rows: DataFrame, *keep: Column | str) -> DataFrame:
         """The encoded columns, after those to ``keep``; unseen categories are all zeros."""
         return rows.select(*keep, *[self.column(n).alias(n) for n in self.names])
 
+    def compact(self, rows: DataFrame, *keep: Column | str) -> DataFrame:
+        """The encoded columns with one column of levels for each category instead of one for each level."""
+        return rows.select(*keep, *[self.column(n).alias(n) for n in self.dense], *[category(c).alias(c) for c in self.categorical])
+
     def parameters(self, digits: int = 9) -> dict:
         """Learned parameters for a report, rounded (ML-05)."""
         short = lambda x: round(x, digits) if isinstance(x, float) else x
@@ -63,37 +70,24 @@ class Encoder:
         return {"numeric": len(self.numeric), "categorical": len(self.categorical), "indicators": len(self.indicators), "encoded": len(self.names), "scaled": bool(self.mean)}
 
 
-def prepared(name: str) -> Column:
-    """A raw numeric or boolean column as a double without NaN (PRJ-11)."""
-    return real(F.col(f"`{name}`").cast("double"))
-
-
-def category(name: str) -> Column:
-    return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(MISSING))
+def learned(found: Summary, numeric: list[str], categorical: list[str], indicators: bool = True, scale: bool = True) -> Encoder:
+    """The encoder of the rows that ``found`` sums up; a column without variance has scale 1."""
+    made = Encoder(numeric, categorical, dict(found.fill), [c for c in numeric if indicators and found.nulls[c]], levels=dict(found.levels))
+    if scale:
+        made.mean = {c: found.mean.get(c, 0.0) for c in numeric}
+        made.scale = {c: found.deviation.get(c, 0.0) or 1.0 for c in numeric}
+        for c in made.indicators:
+            share = found.nulls[c] / found.rows
+            made.mean[f"missingindicator_{c}"], made.scale[f"missingindicator_{c}"] = share, (share * (1 - share)) ** 0.5 or 1.0
+    return made
 
 
 def fit(train: DataFrame, numeric: list[str], categorical: list[str], imputation: str = "median", indicators: bool = True, scale: bool = True) -> Encoder:
-    """Learn from training rows only (ML-01 to ML-04).
+    """Learn from training rows only, in one pass over them (ML-01 to ML-04).
 
-    One aggregate gives exact medians (or means), null counts and category sets;
-    a second one the mean and population deviation of what imputation left.  A
-    column without variance has scale 1.  A column without any training value is
-    filled with 0, so that its encoding is finite everywhere.
+    Exact medians (or means), null counts, levels, and the mean and population
+    deviation of what imputation left, all from the counts of distinct values.  A
+    column without any training value is filled with 0, so that its encoding is
+    finite everywhere.
     """
-    middle = F.median if imputation == "median" else F.avg
-    learned = train.agg(
-        *[middle(prepared(c)).alias(f"f{i}") for i, c in enumerate(numeric)], *[F.count_if(prepared(c).isNull()).alias(f"n{i}") for i, c in enumerate(numeric)],
-        *[F.sort_array(F.collect_set(category(c))).alias(f"c{i}") for i, c in enumerate(categorical)], F.count(F.lit(1)).alias("rows"),
-    ).first()
-    found = Encoder(numeric, categorical)
-    for i, c in enumerate(numeric):
-        found.fill[c] = 0.0 if learned[f"f{i}"] is None else float(learned[f"f{i}"])
-        if indicators and learned[f"n{i}"]:
-            found.indicators.append(c)
-    found.levels = {c: list(learned[f"c{i}"]) for i, c in enumerate(categorical)}
-    if scale:
-        names = [*numeric, *[f"missingindicator_{c}" for c in found.indicators]]
-        spread = train.agg(*[F.avg(found.column(n)).alias(f"m{i}") for i, n in enumerate(names)], *[F.stddev_pop(found.column(n)).alias(f"s{i}") for i, n in enumerate(names)]).first()
-        for i, n in enumerate(names):
-            found.mean[n], found.scale[n] = spread[f"m{i}"] or 0.0, spread[f"s{i}"] or 1.0
-    return found
+    return learned(summaries(value_counts(train, numeric, categorical), [["all"]], imputation)[0], numeric, categorical, indicators, scale)

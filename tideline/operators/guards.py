@@ -13,9 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import close
-from tideline.operators.encode import MISSING, Encoder, fit
+from tideline.operators.encode import MISSING, Encoder, category, learned
 from tideline.operators.regress import correlations
 from tideline.operators.splits import SPLITS, chronology
+from tideline.operators.statistics import Summary
 
 PASS, FAIL, INCONCLUSIVE, SKIPPED = "PASS", "FAIL", "INCONCLUSIVE", "SKIPPED"
 
@@ -163,24 +164,31 @@ def chronological(sessions: DataFrame) -> Result:
     return judged("chronological_split", chronology(sessions).where("not coalesce(ordered, false)").count(), "boundaries out of order")
 
 
-def fitted_on_train(encoder: Encoder, train: DataFrame, imputation: str = "median", tolerance: float = 1e-6) -> Result:
-    """Fill values and categories again from the training rows (G6-8)."""
-    again = fit(train, encoder.numeric, encoder.categorical, imputation, scale=False)
+def differing(mine: Encoder, other: Encoder, tolerance: float = 1e-9) -> list[str]:
+    """Columns in whose learned parameters two encoders differ, numbers by more than ``tolerance`` of their size."""
+    far = lambda a, b: (a is None) != (b is None) or a is not None and abs(a - b) > tolerance * max(1.0, abs(a), abs(b))
+    found = {c for kind in ("fill", "mean", "scale") for c in {**getattr(mine, kind), **getattr(other, kind)} if far(getattr(mine, kind).get(c), getattr(other, kind).get(c))}
+    found |= {c for c in {*mine.levels, *other.levels} if mine.levels.get(c) != other.levels.get(c)}
+    return sorted(found | set(mine.indicators) ^ set(other.indicators))
+
+
+def fitted_on_train(encoder: Encoder, train: Summary, tolerance: float = 1e-6) -> Result:
+    """Fill values and categories are those of the training rows' own statistics (G6-8)."""
+    again = learned(train, encoder.numeric, encoder.categorical, scale=False)
     wrong = [c for c in encoder.numeric if abs(again.fill[c] - encoder.fill[c]) > tolerance] + [c for c in encoder.categorical if again.levels[c] != encoder.levels[c]]
     return Result("preprocessing_fitted_on_train_only", FAIL if wrong else PASS, True, ", ".join(wrong))
 
 
-def no_statistics_from(other: str, encoder: Encoder, train: DataFrame, rest: DataFrame, imputation: str = "median") -> Result:
-    """Fitting on train gives the encoder, fitting on train and ``other`` does not (G6-9, G6-10).
+def no_statistics_from(other: str, encoder: Encoder, train: Summary, both: Summary) -> Result:
+    """The statistics of train give the encoder, those of train and ``other`` do not (G6-9, G6-10).
 
     If both give the same, nothing can be told apart: INCONCLUSIVE.
     """
-    refit = lambda rows: fit(rows, encoder.numeric, encoder.categorical, imputation, bool(encoder.indicators) or True, bool(encoder.mean)).parameters()
-    name, mine = f"no_{other}_statistics_used_in_training", encoder.parameters()
-    alone, both = refit(train), refit(train.unionByName(rest))
-    if alone != mine:
-        return Result(name, FAIL, True, "refit on train differs")
-    return Result(name, INCONCLUSIVE if both == mine else PASS)
+    refit = lambda found: learned(found, encoder.numeric, encoder.categorical, bool(encoder.indicators) or True, bool(encoder.mean))
+    name, wrong = f"no_{other}_statistics_used_in_training", differing(encoder, refit(train))
+    if wrong:
+        return Result(name, FAIL, True, f"training rows say otherwise: {', '.join(wrong)}")
+    return Result(name, PASS if differing(encoder, refit(both)) else INCONCLUSIVE)
 
 
 def consistent_schema(names_by_split: dict[str, list[str]]) -> Result:
@@ -192,8 +200,8 @@ def unknown_category(encoder: Encoder, rows: DataFrame) -> Result:
     if not encoder.categorical:
         return Result("categorical_unknown_handling", SKIPPED, False, "no categories")
     probe = rows.limit(1).withColumns({c: F.lit(f"{MISSING}?unseen") for c in encoder.categorical})
-    sums = [sum((encoder.column(f"{c}_{v}") for v in encoder.levels[c]), F.lit(0.0)) for c in encoder.categorical]
-    row = probe.select(*sums).first()
+    known = [F.coalesce(category(c).isin(encoder.levels[c]), F.lit(False)) for c in encoder.categorical]
+    row = probe.select(*known).first()
     return judged("categorical_unknown_handling", sum(bool(x) for x in row or []), "categories light a column")
 
 

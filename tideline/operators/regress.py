@@ -1,52 +1,199 @@
-"""Least squares, the mean baseline, and regression metrics, each one aggregate."""
+"""Least squares, the mean baseline, and regression metrics, each one aggregate.
+
+Models over many levels of categories are fitted without one-hot columns: products of
+two dense columns, sums of dense columns by level, and counts of levels that meet are
+the blocks of a sparse Gram matrix, each summed by key.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import finite
 
 
-def products(rows: DataFrame, columns: list[str]) -> np.ndarray:
-    """Sums of all products of two of (1, columns): each task sums its own, and only
-    those squares of sums are shuffled and reach the driver."""
-    k = len(columns) + 1
+def least_squares(rows: DataFrame, features: list[str], target: str) -> tuple[float, dict[str, float]]:
+    """Intercept and coefficients of ordinary least squares over dense columns (ML-06).
+
+    The normal equations come from one pass.  Collinear columns have the solution of
+    least norm.  Rows must have no null.
+    """
+    return fit_linear(rows, features, {}, target)
+
+
+@dataclass
+class Gram:
+    """Sums over rows: ``dense`` of products of two of (1, columns, target); for each category
+    ``levels``, a row for each level with the sums of (1, columns, target) where it stands;
+    ``pairs`` of two categories as (level, level, rows)."""
+
+    dense: np.ndarray
+    levels: list[np.ndarray]
+    pairs: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def _merged(keys: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of equal ``keys`` added up."""
+    order = np.lexsort(keys.T[::-1])
+    keys, sums = keys[order], sums[order]
+    first = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(1)]) if len(keys) else np.zeros(0, int)
+    return keys[first], np.add.reduceat(sums, first) if len(first) else sums
+
+
+def gram(rows: DataFrame, dense: list[str], categories: dict[str, list[str]], target: str) -> Gram:
+    """One pass over ``rows``, whose dense columns and target have no null; levels that
+    ``categories`` does not list count nowhere.
+
+    Tasks add up their own rows; only sums by level and counts of level pairs that they met
+    are shuffled, and merged by key before they reach the driver.
+    """
+    width, names, listed = len(dense) + 2, list(categories), [pa.array(v, pa.string()) for v in categories.values()]
+    sizes, schema = [len(v) for v in categories.values()], "kind int, a long, b long, sums array<double>"
+    couples = [(i, j) for i in range(len(names)) for j in range(i)]
+
+    def table(kind: int, keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        lists = pa.ListArray.from_arrays(np.arange(0, sums.size + 1, sums.shape[1], dtype=np.int32), pa.array(sums.ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys[:, 0]), pa.array(keys[:, 1]), lists], ["kind", "a", "b", "sums"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((k, k))
+        square, by_level = np.zeros((width, width)), [np.zeros((n, width)) for n in sizes]
+        met = {c: (np.zeros((0, 2), np.int64), np.zeros((0, 1))) for c in couples}
         for batch in batches:
-            x = np.column_stack([np.ones(batch.num_rows), *[batch[c].to_numpy(zero_copy_only=False) for c in batch.schema.names]])
-            total += x.T @ x
-        i, j = np.indices((k, k))
-        yield pa.RecordBatch.from_arrays([pa.array(i.ravel().astype(np.int32)), pa.array(j.ravel().astype(np.int32)), pa.array(total.ravel())], ["i", "j", "v"])
-
-    sums = rows.select(*[F.col(f"`{c}`").cast("double").alias(f"x{n}") for n, c in enumerate(columns)]).mapInArrow(run, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).toArrow()
-    found = np.zeros((k, k))
-    found[sums["i"].to_numpy(), sums["j"].to_numpy()] = sums["v"].to_numpy()
+            x = np.column_stack([np.ones(batch.num_rows), *[batch.column(i).to_numpy(zero_copy_only=False) for i in range(width - 1)]])
+            square += x.T @ x
+            at = [pc.fill_null(pc.index_in(batch.column(width - 1 + i), value_set=v), -1).to_numpy(zero_copy_only=False).astype(np.int64) for i, v in enumerate(listed)]
+            for total, i in zip(by_level, at):
+                keys, sums = _merged(i[i >= 0, None], x[i >= 0])
+                total[keys[:, 0]] += sums
+            for i, j in couples:
+                both = (at[i] >= 0) & (at[j] >= 0)
+                keys, n = met[i, j]
+                met[i, j] = _merged(np.concatenate([keys, np.column_stack([at[i], at[j]])[both]]), np.concatenate([n, np.ones((both.sum(), 1))]))
+        yield table(0, np.column_stack([np.arange(width), np.zeros(width, np.int64)]), square)
+        for c, total in enumerate(by_level):
+            there = np.flatnonzero(total[:, 0])
+            yield table(1 + c, np.column_stack([there, np.zeros(len(there), np.int64)]), total[there])
+        for k, c in enumerate(couples):
+            yield table(1 + len(names) + k, *met[c])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            kinds = batch["kind"].to_numpy()
+            for kind in np.unique(kinds).tolist():
+                some = batch.filter(pa.array(kinds == kind))
+                keys, sums = np.column_stack([some["a"].to_numpy(), some["b"].to_numpy()]), some["sums"].flatten().to_numpy().reshape(some.num_rows, -1)
+                if kind in held:
+                    keys, sums = np.concatenate([held[kind][0], keys]), np.concatenate([held[kind][1], sums])
+                held[kind] = _merged(keys, sums)
+        for kind, (keys, sums) in held.items():
+            yield table(kind, keys, sums)
+
+    cells = [F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate([*dense, target])] + [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]
+    summed = rows.select(*cells).mapInArrow(run, schema).repartition("kind", "a", "b").mapInArrow(merge, schema).toArrow()
+    kind, a, b = (summed[c].to_numpy() for c in ("kind", "a", "b"))
+    offsets, values = np.r_[0, np.cumsum(pc.list_value_length(summed["sums"]).to_numpy())], summed["sums"].combine_chunks().flatten().to_numpy()
+    found = Gram(np.zeros((width, width)), [np.zeros((n, width)) for n in sizes], {})
+    for into, k in [(found.dense, 0), *((t, 1 + c) for c, t in enumerate(found.levels))]:
+        for i in np.flatnonzero(kind == k):
+            into[a[i]] = values[offsets[i] : offsets[i + 1]]
+    for k, c in enumerate(couples, 1 + len(names)):
+        at = np.flatnonzero(kind == k)
+        found.pairs[c] = (a[at], b[at], values[offsets[at]])
     return found
 
 
-def least_squares(rows: DataFrame, features: list[str], target: str) -> tuple[float, dict[str, float]]:
-    """Intercept and coefficients of ordinary least squares (ML-06).
+def solved(g: Gram, rcond: float = 1e-10) -> tuple[float, np.ndarray, list[np.ndarray]]:
+    """Intercept, dense coefficients and coefficients by level of the least-squares solution of least norm.
 
-    The normal equations come from one pass; k x k numbers reach the driver.
-    Full one-hot columns with an intercept are collinear; the pseudo-inverse gives
-    the solution of least norm, whose predictions are those of any other.  Rows
-    must have no null.
+    Dense columns are centred first.  The levels of the largest category do not meet each
+    other, so their block is diagonal and is eliminated; what is left is a dense system of
+    the other columns.  Directions along which the rows say nothing are taken out of the
+    solution at the end, which makes its norm the least.
     """
-    p = products(rows, [*features, target])
-    n, s = p[0, 0], p[0, 1:]
+    n, d = g.dense[0, 0], g.dense.shape[0] - 2
     if not n:
         raise ValueError("no training rows")
-    centred = p[1:, 1:] - np.outer(s, s) / n
-    k = len(features)
-    b = np.linalg.pinv(centred[:k, :k], hermitian=True, rcond=1e-10) @ centred[:k, k]
-    return float((s[k] - b @ s[:k]) / n), dict(zip(features, map(float, b)))
+    mean = g.dense[0] / n
+    centred = g.dense[1:, 1:] - n * np.outer(mean[1:], mean[1:])
+    count = [t[:, 0] for t in g.levels]
+    sums = [t[:, 1:] - np.outer(t[:, 0], mean[1:]) for t in g.levels]
+    big = int(np.argmax([len(t) for t in g.levels])) if g.levels else -1
+    rest = [c for c in range(len(g.levels)) if c != big]
+    starts = np.cumsum([1 + d, *(len(g.levels[c]) for c in rest)]).tolist()
+    m = starts[-1]
+    s, r = np.zeros((m, m)), np.zeros(m)
+    s[0, 0], s[1 : 1 + d, 1 : 1 + d], r[1 : 1 + d] = n, centred[:d, :d], centred[:d, d]
+    span = {c: slice(lo, hi) for c, lo, hi in zip(rest, starts, starts[1:])}
+    met = lambda i, j: (g.pairs[i, j] if i > j else (lambda a, b, v: (b, a, v))(*g.pairs[j, i]))
+    for c in rest:
+        s[0, span[c]] = s[span[c], 0] = count[c]
+        s[1 : 1 + d, span[c]], s[span[c], 1 : 1 + d] = sums[c][:, :d].T, sums[c][:, :d]
+        s[span[c], span[c]] = np.diag(count[c])
+        r[span[c]] = sums[c][:, d]
+        for other in rest:
+            if other < c:
+                a, b, v = met(c, other)
+                s[a + span[c].start, b + span[other].start] = s[b + span[other].start, a + span[c].start] = v
+    seen = np.flatnonzero(count[big]) if g.levels else np.zeros(0, int)
+    cross, weight = np.zeros((m, len(seen))), count[big][seen] if g.levels else np.zeros(0)
+    r_big = sums[big][seen, d] if g.levels else np.zeros(0)
+    if g.levels:
+        cross[0], cross[1 : 1 + d] = weight, sums[big][seen, :d].T
+        place = np.full(len(count[big]), -1)
+        place[seen] = np.arange(len(seen))
+        for c in rest:
+            a, b, v = met(c, big)
+            cross[a + span[c].start, place[b]] = v
+    schur = s - (cross / weight) @ cross.T
+    scale = np.sqrt(np.maximum(np.diag(s), 0))
+    scale[scale == 0] = 1.0
+    value, vector = np.linalg.eigh(schur / np.outer(scale, scale))
+    open_ = value > rcond * max(value.max(), 1e-300)
+    basis = vector / scale[:, None]
+    u = basis[:, open_] @ ((basis[:, open_].T @ (r - cross @ (r_big / weight))) / value[open_])
+    solution = np.r_[u[1:], (r_big - cross.T @ u) / weight]
+    silent = np.concatenate([basis[1:, ~open_], -(cross.T @ basis[:, ~open_]) / weight[:, None]])
+    if silent.shape[1]:
+        q, sizes, _ = np.linalg.svd(silent, full_matrices=False)
+        q = q[:, sizes > 1e-12 * sizes[0]] if sizes[0] else q[:, :0]
+        solution -= q @ (q.T @ solution)
+    dense, levels = solution[:d], [np.zeros(len(t)) for t in g.levels]
+    for c in rest:
+        levels[c] = solution[span[c].start - 1 : span[c].stop - 1]
+    if g.levels:
+        levels[big][seen] = solution[m - 1 :]
+    intercept = mean[-1] - dense @ mean[1 : 1 + d] - sum(c @ w for c, w in zip(count, levels)) / n
+    return float(intercept), dense, levels
+
+
+def fit_linear(rows: DataFrame, dense: list[str], categories: dict[str, list[str]], target: str) -> tuple[float, dict[str, float]]:
+    """Intercept and coefficients by encoded name of ordinary least squares over dense columns
+    and columns of levels, each level a column of its own named ``column_level`` (ML-04, ML-06)."""
+    intercept, b, levels = solved(gram(rows, dense, categories, target))
+    weights = dict(zip(dense, map(float, b)))
+    for (c, names), w in zip(categories.items(), levels):
+        weights |= {f"{c}_{v}": float(x) for v, x in zip(names, w)}
+    return intercept, weights
+
+
+def predicted(rows: DataFrame, dense: list[str], categories: dict[str, list[str]], model: tuple[float, dict[str, float]], name: str) -> DataFrame:
+    """``rows`` of dense columns and columns of levels with a prediction; levels that the
+    model does not know weigh nothing.  A category's weights are its parameters: they are broadcast."""
+    intercept, weights = model
+    total = prediction(intercept, {c: weights[c] for c in dense}) if dense else F.lit(intercept)
+    for k, (c, levels) in enumerate(categories.items()):
+        known = rows.sparkSession.createDataFrame(pa.table({f"_level{k}": pa.array(levels, pa.string()), f"_weight{k}": pa.array([weights[f"{c}_{v}"] for v in levels], pa.float64())}))
+        rows = rows.join(F.broadcast(known), F.col(f"`{c}`") == F.col(f"_level{k}"), "left")
+        total += F.coalesce(F.col(f"_weight{k}"), F.lit(0.0))
+    return rows.withColumn(name, total).drop(*[f"_{x}{k}" for k in range(len(categories)) for x in ("level", "weight")])
 
 
 def prediction(intercept: float, coefficients: dict[str, float]) -> Column:
@@ -55,19 +202,28 @@ def prediction(intercept: float, coefficients: dict[str, float]) -> Column:
     return F.aggregate(F.zip_with(values, weights, lambda v, w: v * w), F.lit(float(intercept)), lambda acc, x: acc + x)
 
 
+def _errors(y: Column, p: Column) -> dict[str, Column]:
+    """The aggregates of :func:`metrics`."""
+    ok = finite(y) & finite(p)
+    y, e = F.when(ok, y), F.when(ok, y - p)
+    n, sst = F.count(y), F.var_pop(y) * F.count(y)
+    return {
+        "rows": F.count(F.lit(1)), "finite_rows": n, "zero_targets": F.count_if(y == 0), "mae": F.avg(F.abs(e)), "rmse": F.sqrt(F.avg(e * e)),
+        "mape": F.avg(F.when(y != 0, F.abs(e / y))) * 100, "r2": F.when((n > 1) & (sst > 0), 1 - F.try_divide(F.sum(e * e), sst)),
+    }
+
+
 def metrics(rows: DataFrame, truth: str, predicted: str) -> DataFrame:
     """rows, finite_rows, zero_targets, mae, rmse, mape (a percentage over targets that
     are not zero) and r2 (null for one row or a constant target) (AG-22)."""
-    y, p = F.col(truth).cast("double"), F.col(predicted).cast("double")
-    ok = finite(y) & finite(p)
-    seen = rows.select(F.when(ok, y).alias("y"), F.when(ok, p).alias("p"))
-    e = F.col("y") - F.col("p")
-    n = F.count("y")
-    sst = F.var_pop("y") * n
-    return seen.agg(
-        F.count(F.lit(1)).alias("rows"), n.alias("finite_rows"), F.count_if(F.col("y") == 0).alias("zero_targets"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-        (F.avg(F.when(F.col("y") != 0, F.abs(e / F.col("y")))) * 100).alias("mape"), F.when((n > 1) & (sst > 0), 1 - F.try_divide(F.sum(e * e), sst)).alias("r2"),
-    )
+    return rows.agg(*[x.alias(name) for name, x in _errors(F.col(truth).cast("double"), F.col(predicted).cast("double")).items()])
+
+
+def metrics_by(rows: DataFrame, by: str, truth: str, models: list[str]) -> DataFrame:
+    """(model, by, metrics) for each group and each column of predictions, in one aggregate."""
+    every = {m: _errors(F.col(truth).cast("double"), F.col(f"`{m}`").cast("double")) for m in models}
+    told = rows.groupBy(by).agg(*[F.struct(F.lit(m).alias("model"), *[x.alias(name) for name, x in e.items()]).alias(f"_{i}") for i, (m, e) in enumerate(every.items())])
+    return told.select(by, F.explode(F.array(*[f"_{i}" for i in range(len(models))])).alias("_m")).select("_m.model", by, *[f"_m.{name}" for name in next(iter(every.values()))])
 
 
 def correlations(rows: DataFrame, features: list[str], target: str, threshold: float = 0.99) -> DataFrame:

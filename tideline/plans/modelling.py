@@ -4,19 +4,36 @@ from training rows, fourteen guards, least squares and the mean baseline."""
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideline.operators import encode, guards, regress, splits
+from tideline.functions.scalars import finite
+from tideline.operators import encode, guards, regress, splits, statistics
 from tideline.plans import features as feat
 
 GRAIN = [*feat.BY, feat.NUMBER]
+#: The names of the guards, in their order.
 REQUIRED = [
-    "split_completeness", "target_not_in_features", "forbidden_columns_not_in_features", "traceability_columns_not_in_model_features", "no_session_overlap_between_splits", "no_row_overlap_between_splits",
-    "chronological_split", "preprocessing_fitted_on_train_only", "no_validation_statistics_used_in_training", "no_test_statistics_used_in_training", "consistent_feature_schema",
-    "categorical_unknown_handling", "target_alignment", "target_rows_are_valid",
-]
+    "split_completeness",
+    "target_not_in_features",
+    "forbidden_columns_not_in_features",
+    "traceability_columns_not_in_model_features",
+    "no_session_overlap_between_splits",
+    "no_row_overlap_between_splits",
+    "chronological_split",
+    "preprocessing_fitted_on_train_only",
+    "no_validation_statistics_used_in_training",
+    "no_test_statistics_used_in_training",
+    "consistent_feature_schema",
+    "categorical_unknown_handling",
+    "target_alignment",
+    "target_rows_are_valid",
+]
+#: What stands beside the encoded columns.
+KEPT = ["split", feat.TARGET, *[F.col(k).alias(f"key_{k}") for k in GRAIN]]
 
 
 @dataclass
@@ -37,15 +54,24 @@ class Config:
 
 @dataclass
 class Prepared:
-    """Rows with their split, the fitted encoder, the encoded matrix, guards and verdict."""
+    """Rows with their split, the fitted encoder, guards and verdict."""
 
     rows: DataFrame
     calendar: DataFrame
     encoder: encode.Encoder
-    matrix: DataFrame
     results: list[guards.Result]
     verdict: str
 
+    @property
+    def matrix(self) -> DataFrame:
+        """The encoded matrix as it is published, a column for each level (SNK-09)."""
+        return self.encoder.apply(self.rows, *KEPT)
+
+    @property
+    def compact(self) -> DataFrame:
+        """The same with one column of levels for each category, for fitting and scoring."""
+        return self.encoder.compact(self.rows, *KEPT)
+
 
 def split_calendar(rows: DataFrame, config: Config) -> DataFrame:
     sessions = splits.calendar(rows, "session_key", "session_date", "year")
@@ -65,36 +91,32 @@ def prepare(features: DataFrame, config: Config = Config(), guard: bool = True)
     usable = features.where(F.col("has_target") & F.col(feat.TARGET).isNotNull())
     calendar = split_calendar(usable, config)
     rows = splits.assign(usable, calendar, "session_key")
-    train = rows.where("split = 'train'")
     numeric, categorical = feat.numeric_and_categorical(rows.columns)
-    encoder = encode.fit(train, numeric, categorical, config.imputation, config.indicators, config.scale)
-    matrix = encoder.apply(rows, "split", feat.TARGET, *[F.col(k).alias(f"key_{k}") for k in GRAIN])
-    others = {s: rows.where(F.col("split") == s) for s in ("validation", "test")}
+    counts = statistics.value_counts(rows, numeric, categorical, "split", splits.SPLITS)
+    unions = [["train"], ["train", "validation"], ["train", "test"]] if guard else [["train"]]
+    train, *others = statistics.summaries(counts, unions, config.imputation)
+    encoder = encode.learned(train, numeric, categorical, config.indicators, config.scale)
     if not guard:
-        return Prepared(rows, calendar, encoder, matrix, [], "INCOMPLETE")
+        return Prepared(rows, calendar, encoder, [], "INCOMPLETE")
+    names, kept = encoder.names, rows.select(*KEPT)
     results = [
-        guards.split_completeness(rows), guards.target_not_in_features(encoder.names, feat.TARGET), guards.forbidden_not_encoded(encoder.names, feat.FORBIDDEN),
-        guards.traceability_not_encoded(encoder.names, matrix.columns, GRAIN), guards.no_session_overlap(rows, "session_key"), guards.no_row_overlap(rows, GRAIN), guards.chronological(calendar),
-        guards.fitted_on_train(encoder, train, config.imputation), *[guards.no_statistics_from(s, encoder, train, r, config.imputation) for s, r in others.items()],
-        guards.consistent_schema({s: encoder.names for s in splits.SPLITS}), guards.unknown_category(encoder, train), guards.target_alignment(matrix, usable, GRAIN, feat.TARGET), guards.targets_valid(rows, feat.TARGET),
+        guards.split_completeness(rows), guards.target_not_in_features(names, feat.TARGET), guards.forbidden_not_encoded(names, feat.FORBIDDEN),
+        guards.traceability_not_encoded(names, [*kept.columns, *names], GRAIN), guards.no_session_overlap(rows, "session_key"), guards.no_row_overlap(rows, GRAIN), guards.chronological(calendar),
+        guards.fitted_on_train(encoder, train), *[guards.no_statistics_from(s, encoder, train, both) for s, both in zip(splits.SPLITS[1:], others)],
+        guards.consistent_schema({s: names for s in splits.SPLITS}), guards.unknown_category(encoder, rows.where("split = 'train'")), guards.target_alignment(kept, usable, GRAIN, feat.TARGET), guards.targets_valid(rows, feat.TARGET),
     ]
     results = guards.complete(results, REQUIRED)
-    return Prepared(rows, calendar, encoder, matrix, results, guards.verdict(results, splits.thin(calendar).count(), required=REQUIRED))
+    return Prepared(rows, calendar, encoder, results, guards.verdict(results, splits.thin(calendar).count(), required=REQUIRED))
 
 
 def train_and_judge(prepared: Prepared) -> DataFrame:
     """(model, split, metrics): least squares and the mean baseline on each split (M7, ML-06 to ML-08)."""
-    names, target = prepared.encoder.names, feat.TARGET
-    finite = [F.col(f"`{n}`").isNotNull() & (F.abs(F.col(f"`{n}`")) < float("inf")) for n in names]
-    wrong = prepared.matrix.where(~F.least(*finite) if len(finite) > 1 else ~finite[0]).count()
+    encoder, target, matrix = prepared.encoder, feat.TARGET, prepared.compact
+    wrong = matrix.where(~(F.lit(True) if not encoder.dense else reduce(and_, [finite(F.col(f"`{n}`")) for n in encoder.dense]))).count()
     if wrong:
         raise ValueError(f"{wrong} rows of the matrix hold a value that is not finite")
-    train = prepared.matrix.where("split = 'train'")
-    model = regress.least_squares(train, names, target)
+    train = matrix.where("split = 'train'")
+    model = regress.fit_linear(train, encoder.dense, encoder.levels, target)
     mean = train.agg(F.avg(target)).first()[0]
-    scored = prepared.matrix.withColumns({"linear": regress.prediction(*model), "mean": F.lit(mean)})
-    tables = [regress.metrics(scored.where(F.col("split") == s), target, m).select(F.lit(m).alias("model"), F.lit(s).alias("split"), "*") for m in ("linear", "mean") for s in splits.SPLITS]
-    result = tables[0]
-    for t in tables[1:]:
-        result = result.unionByName(t)
-    return result
+    scored = regress.predicted(matrix, encoder.dense, encoder.levels, model, "linear").withColumn("mean", F.lit(mean))
+    return regress.metrics_by(scored, "split", target, ["linear", "mean"])

@@ -161,7 +161,29 @@ def season_feature_guards(spark, sf_dir):
     return _results(spark, features.check(stored_features(spark, sf_dir)))
 
 
-@query()
+def _model_guards_sql() -> str:
+    """SQL for the fourteen guards: (name, count of what is wrong); for statistics, whether other splits would change them."""
+    names = "SELECT count(*) FROM (DESCRIBE SELECT * EXCLUDE (year, meeting_key, session_date, has_target, next_lap_time) FROM f) WHERE column_name {}"
+    forbidden = ", ".join(f"'{c}'" for c in features.FORBIDDEN)
+    overlap = "SELECT count(*) FROM (SELECT 1 FROM r GROUP BY {} HAVING count(DISTINCT split) > 1)"
+    same = "SELECT CAST(a.m = b.m AND a.s = b.s AS INT) FROM (SELECT median(lap_duration) AS m, sum(lap_duration) AS s FROM r WHERE split = 'train') a, (SELECT median(lap_duration) AS m, sum(lap_duration) AS s FROM r WHERE split IN ('train', '{}')) b"
+    wrong = [
+        "SELECT 3 - count(DISTINCT split) FROM r", names.format("= 'next_lap_time'"), names.format(f"IN ({forbidden})"), names.format("IN ('key_session_key', 'key_driver_number', 'key_lap_number')"),
+        overlap.format("session_key"), overlap.format("session_key, driver_number, lap_number"),
+        "SELECT count(*) FROM (SELECT max(d) FILTER (split = 'train') AS a, min(d) FILTER (split = 'validation') AS b, max(d) FILTER (split = 'validation') AS c, min(d) FILTER (split = 'test') AS e FROM cal) WHERE NOT (a < b AND b < c OR b = c AND a < b) OR NOT c < e",
+        "SELECT 0", same.format("validation"), same.format("test"), "SELECT 0", "SELECT 0",
+        "SELECT count(*) FROM r LEFT JOIN f g ON g.session_key = r.session_key AND g.driver_number = r.driver_number AND g.lap_number = r.lap_number + 1 WHERE r.next_lap_time IS DISTINCT FROM g.lap_duration",
+        "SELECT count(*) FROM r WHERE next_lap_time IS NULL OR NOT isfinite(next_lap_time)",
+    ]
+    cal = """cal AS (SELECT session_key, d, CASE WHEN p < a THEN 'train' WHEN p < a + b THEN 'validation' ELSE 'test' END AS split FROM (
+      SELECT session_key, d, row_number() OVER (ORDER BY d, session_key) - 1 AS p, greatest(1, round_even(count(*) OVER () * 0.6, 0)) AS a, round_even(count(*) OVER () * 0.2, 0) AS b
+      FROM (SELECT session_key, min(session_date) AS d FROM f WHERE has_target GROUP BY session_key))), r AS MATERIALIZED (SELECT f.*, split FROM f JOIN cal USING (session_key) WHERE has_target)"""
+    one = "SELECT '{}' AS guard, CASE WHEN n = 0 THEN 'PASS' ELSE '{}' END AS status, true AS blocking, n <> 0 AS blocks FROM (SELECT ({}) AS n)"
+    told = [one.format(name, "INCONCLUSIVE" if "statistics" in name else "FAIL", n) for name, n in zip(modelling.REQUIRED, wrong)]
+    return f"WITH f AS MATERIALIZED ({_FEATURES}), {cal} " + " UNION ALL ".join(told)
+
+
+@query(_model_guards_sql())
 def season_model_guards(spark, sf_dir):
     """The guards of the modelling dataset (G6-1 to G6-14)."""
     return _results(spark, modelling.prepare(stored_features(spark, sf_dir)).results)
