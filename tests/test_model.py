@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tideline.operators import encode, guards, history, regress, splits, statistics
+from tideline.operators import encode, guards, history, recompute, regress, splits, statistics
 
 
 @pytest.fixture(scope="module")
@@ -141,6 +141,25 @@ def test_feature_guards_both_ways(rows):
     assert guards.no_near_copy_of_target(good, ["lap_duration"], "next_lap_time").status == guards.FAIL
 
 
+@pytest.mark.parametrize("batch", [1, 4, 10_000])
+def test_history_again_in_streams_of_any_cut(spark, batch):
+    """Nulls, groups of one and of many batches, and windows longer than a group."""
+    rng = np.random.default_rng(5)
+    data = [(g, i, None if rng.random() < 0.2 else 1e6 * (g == 2) + float(rng.integers(0, 5))) for g, n in enumerate([1, 40, 23, 2, 11]) for i in range(n)]
+    windows = (2, 3, 5, 7, 16)
+    good = history.add_history(spark.createDataFrame(data, "g int, i int, v double"), ["g"], ["i"], "v", "v", windows)
+    key, old = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(key, batch)
+    try:
+        assert recompute.wrong_history(good, ["g"], "i", "v", "v", windows, 1e-6) == 0
+        assert recompute.wrong_history(good.limit(0), ["g"], "i", "v", "v", windows, 1e-6) == 0
+        for name in history.temporal_names("v", windows):
+            off = good.withColumn(name, F.when((F.col("g") == 1) & (F.col("i") == 30), F.coalesce(F.col(name), F.lit(0.0)) + 0.1).otherwise(F.col(name)))
+            assert recompute.wrong_history(off, ["g"], "i", "v", "v", windows, 1e-6) == 1, name
+    finally:
+        spark.conf.set(key, old)
+
+
 def test_split_guards_both_ways(rows):
     grain = ["session_key", "driver_number", "lap_number"]
     assert guards.split_completeness(rows).status == guards.PASS and guards.split_completeness(rows.where("split <> 'test'")).blocks

@@ -71,11 +71,11 @@ def numeric_and_categorical(columns: list[str]) -> tuple[list[str], list[str]]:
     return [c for c in there if c not in CATEGORICAL], [c for c in there if c in CATEGORICAL]
 
 
-def check(features: DataFrame, windows: tuple[int, ...] = (3, 5), threshold: float = 0.99, every: int = 1) -> list[guards.Result]:
+def check(features: DataFrame, windows: tuple[int, ...] = (3, 5), threshold: float = 0.99) -> list[guards.Result]:
     """The seven guards of this stage (G5-1 to G5-7)."""
     numeric, _ = numeric_and_categorical(features.columns)
     return [
         guards.grain_unique(features, [*BY, NUMBER]), guards.target_independently(features, BY, NUMBER, VALUE, TARGET), guards.last_has_no_target(features, "is_last_lap_for_driver", TARGET),
         guards.target_stays_in_group(features, BY, NUMBER, TARGET), guards.no_forbidden([c for c in features.columns if c not in (*KEYS, TARGET, "has_target")], FORBIDDEN),
-        guards.rolling_from_past(features, BY, NUMBER, VALUE, "lap_time", windows, every), guards.no_near_copy_of_target(features, numeric, TARGET, threshold),
+        guards.rolling_from_past(features, BY, NUMBER, VALUE, "lap_time", windows), guards.no_near_copy_of_target(features, numeric, TARGET, threshold),
     ]
