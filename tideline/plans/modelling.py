@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import finite
@@ -32,8 +32,9 @@ REQUIRED = [
     "target_alignment",
     "target_rows_are_valid",
 ]
-#: What stands beside the encoded columns.
-KEPT = ["split", feat.TARGET, *[F.col(k).alias(f"key_{k}") for k in GRAIN]]
+def kept() -> list[Column | str]:
+    """What stands beside the encoded columns."""
+    return ["split", feat.TARGET, *[F.col(k).alias(f"key_{k}") for k in GRAIN]]
 
 
 @dataclass
@@ -65,12 +66,12 @@ class Prepared:
     @property
     def matrix(self) -> DataFrame:
         """The encoded matrix as it is published, a column for each level (SNK-09)."""
-        return self.encoder.apply(self.rows, *KEPT)
+        return self.encoder.apply(self.rows, *kept())
 
     @property
     def compact(self) -> DataFrame:
         """The same with one column of levels for each category, for fitting and scoring."""
-        return self.encoder.compact(self.rows, *KEPT)
+        return self.encoder.compact(self.rows, *kept())
 
 
 def split_calendar(rows: DataFrame, config: Config) -> DataFrame:
@@ -98,12 +99,12 @@ def prepare(features: DataFrame, config: Config = Config(), guard: bool = True)
     encoder = encode.learned(train, numeric, categorical, config.indicators, config.scale)
     if not guard:
         return Prepared(rows, calendar, encoder, [], "INCOMPLETE")
-    names, kept = encoder.names, rows.select(*KEPT)
+    names, keyed = encoder.names, rows.select(*kept())
     results = [
         guards.split_completeness(rows), guards.target_not_in_features(names, feat.TARGET), guards.forbidden_not_encoded(names, feat.FORBIDDEN),
-        guards.traceability_not_encoded(names, [*kept.columns, *names], GRAIN), guards.no_session_overlap(rows, "session_key"), guards.no_row_overlap(rows, GRAIN), guards.chronological(calendar),
+        guards.traceability_not_encoded(names, [*keyed.columns, *names], GRAIN), guards.no_session_overlap(rows, "session_key"), guards.no_row_overlap(rows, GRAIN), guards.chronological(calendar),
         guards.fitted_on_train(encoder, train), *[guards.no_statistics_from(s, encoder, train, both) for s, both in zip(splits.SPLITS[1:], others)],
-        guards.consistent_schema({s: names for s in splits.SPLITS}), guards.unknown_category(encoder, rows.where("split = 'train'")), guards.target_alignment(kept, usable, GRAIN, feat.TARGET), guards.targets_valid(rows, feat.TARGET),
+        guards.consistent_schema({s: names for s in splits.SPLITS}), guards.unknown_category(encoder, rows.where("split = 'train'")), guards.target_alignment(keyed, usable, GRAIN, feat.TARGET), guards.targets_valid(rows, feat.TARGET),
     ]
     results = guards.complete(results, REQUIRED)
     return Prepared(rows, calendar, encoder, results, guards.verdict(results, splits.thin(calendar).count(), required=REQUIRED))
