@@ -80,7 +80,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return every_passage(table(spark, sf_dir, "documents"))
+    return every_passage(table(spark, sf_dir, "documents")).drop("row")
 
 
 def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

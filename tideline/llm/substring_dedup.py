@@ -106,6 +106,11 @@ def line_edges(text: bytes, first: np.ndarray, past: np.ndarray, whole: np.ndarr
     return line, np.where(whole, edges[line] + 1, first), np.where(whole, edges[line + 1], past)
 
 
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, id, text): rows by their place, which is the same each time that a stored table is read."""
+    return small_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+
+
 def paragraphs(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
     """(row, doc_id, paragraph, start, n_chars, n_words, pid): ``paragraph`` is the
     line in which it starts, ``pid`` the digest of its plain form."""
@@ -124,8 +129,7 @@ def paragraphs(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
 
-    rows = small_batches(docs).select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return numbered(docs, id_col, text_col).mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def plain_paragraphs(texts: list[bytes], least: int, seen: set[int], held: int = 250_000) -> Iterator[tuple[int, bytes]]:
@@ -269,9 +273,11 @@ def similar(texts_of: Callable[[DataFrame], DataFrame], bands: DataFrame, busy:
 
 def verified_stars(pairs: DataFrame, texts: DataFrame, k: int, similarity: float, limit: int = 512) -> DataFrame:
     """(src, dst): the pairs (pid, rep) whose texts are similar enough.  The pairs of one
-    rep are dealt out by ``limit``, with its text in each part."""
-    parts = pairs.groupBy("rep").agg(F.ceil(F.count(F.lit(1)) / limit).alias("parts"))
-    members = pairs.join(parts, "rep").select("pid", "rep", F.pmod(F.xxhash64("pid"), F.col("parts")).alias("part"))
+    rep are dealt out by ``limit``, with its text in each part.  Only reps with more pairs
+    than that are joined to the pairs: a small table, which Catalyst broadcasts within its bound."""
+    parts = keep(pairs.groupBy("rep").agg(F.ceil(F.count(F.lit(1)) / limit).alias("parts")))
+    busy = keep(parts.where("parts > 1"))
+    members = pairs.join(busy, "rep", "left").select("pid", "rep", F.pmod(F.xxhash64("pid"), F.coalesce("parts", F.lit(1))).alias("part"))
     firsts = parts.select(F.col("rep").alias("pid"), "rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
     dealt = members.unionByName(firsts).select("pid", "rep", F.xxhash64("rep", "part").alias("key")).join(texts, "pid")
 
@@ -328,8 +334,8 @@ def repeated_passages(
     docs: DataFrame, min_words: int = 40, k: int = 5, similarity: float = 0.8, rows: int = 4, recall: float = 0.9998, seed: int = 3,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """One row for each paragraph (see :func:`paragraph_cuts`) that is repeated: doc_id,
-    paragraph (the line it starts in, from 0), start and n_chars in the text, n_words,
+    """One row for each paragraph (see :func:`paragraph_cuts`) that is repeated: row (the
+    place of its row in ``docs``, which must be a stored table), doc_id, paragraph (the line it starts in, from 0), start and n_chars in the text, n_words,
     component_doc and component_paragraph (the first of its component), n_members
     and kept (whether it is that first one).
 
@@ -347,7 +353,7 @@ def repeated_passages(
     many = keep(placed.groupBy("component").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n_members")).where("n_members > 1"))
     first = (F.col("row") == F.col("first.r")) & (F.col("start") == F.col("first.s"))
     return placed.join(many, "component").select(
-        "doc_id", "paragraph", "start", "n_chars", "n_words", F.col("first.d").alias("component_doc"), F.col("first.p").alias("component_paragraph"), "n_members", first.alias("kept")
+        "row", "doc_id", "paragraph", "start", "n_chars", "n_words", F.col("first.d").alias("component_doc"), F.col("first.p").alias("component_paragraph"), "n_members", first.alias("kept")
     )
 
 
@@ -432,11 +438,10 @@ def unit_hashes(docs: DataFrame, size: int, text_col: str) -> DataFrame:
 
 
 def unit_rows(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFrame:
-    """(h, doc_id, tag, word, start, n_chars, paragraph) for each unit; ``tag`` is a hash of the text."""
+    """(h, row, doc_id, word, start, n_chars, paragraph) for each unit."""
 
     def some(keys: list[tuple], texts: list[bytes]) -> pa.RecordBatch:
         of, word, start, past, h = units(texts, size)
-        tags = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)
         line = np.zeros(len(of), np.int64)
         cuts = np.searchsorted(of, np.arange(len(texts) + 1))
         for j, t in enumerate(texts):
@@ -444,28 +449,28 @@ def unit_rows(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFra
             if cuts[j] < cuts[j + 1]:
                 line[mine] = np.searchsorted(np.flatnonzero(np.frombuffer(t, np.uint8) == 10), start[mine]) if b"\n" in t else 0
                 start[mine], past[mine] = in_characters(t, start[mine], past[mine])
-        ids = pa.array([k[0] for k in keys], pa.int64()).take(pa.array(of, pa.int64()))
+        key = lambda i: pa.array([k[i] for k in keys], pa.int64()).take(pa.array(of, pa.int64()))
         int_ = lambda x: pa.array(x.astype(np.int32))
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), ids, pa.array(tags[of]), int_(word), int_(start), int_(past - start), int_(line)], ["h", "doc_id", "tag", "word", "start", "n_chars", "paragraph"])
+        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), key(0), key(1), int_(word), int_(start), int_(past - start), int_(line)], ["h", "row", "doc_id", "word", "start", "n_chars", "paragraph"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in text_groups(batches):
             yield some(keys, texts)
 
-    return small_batches(docs).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "h long, doc_id long, tag long, word int, start int, n_chars int, paragraph int")
+    return numbered(docs, id_col, text_col).mapInArrow(run, "h long, row long, doc_id long, word int, start int, n_chars int, paragraph int")
 
 
-MARKS = "doc_id long, paragraph long, start long, n_chars long, n_words long, component_doc long, component_paragraph long, n_members long, kept boolean"
+MARKS = "row long, doc_id long, paragraph long, start long, n_chars long, n_words long, component_doc long, component_paragraph long, n_members long, kept boolean"
 
 
 def merge_units(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """One row for each span of units that overlap or touch and agree in ``kept``
+    """One row for each span of units of a row that overlap or touch and agree in ``kept``
     and the document of their first places."""
     schema = pa.schema([(c, pa.bool_() if t == "boolean" else pa.int64()) for c, t in (x.split() for x in MARKS.split(", "))])
-    for table in whole_groups(batches):
+    for table in whole_groups(batches, "row"):
         spans, ends = [], {}
-        for r in sorted(table.to_pylist(), key=lambda r: (r["key"], r["doc_id"] is None, r["doc_id"] or 0, r["tag"], r["copy"], r["word"])):
-            what = (r["doc_id"], r["tag"], r["copy"], r["kept"], r["component_doc"])
+        for r in sorted(table.to_pylist(), key=lambda r: (r["row"], r["word"])):
+            what = (r["row"], r["kept"], r["component_doc"])
             last = ends.get(what)
             if last and r["word"] <= last["word"] + last["n_words"]:
                 last |= {"n_words": r["word"] + size - last["word"], "n_chars": r["start"] + r["n_chars"] - last["start"], "n_members": max(last["n_members"], r["n_members"])}
@@ -484,54 +489,72 @@ def repeated_runs(docs: DataFrame, run_words: int = 50, id_col: str = "doc_id",
     ``paragraph`` is the line in which the span starts, ``n_members`` the documents
     that hold its most repeated unit; ``kept`` spans are the first places of their units.
     Words are compared by 64-bit hashes of units, without regard to case (A-Z) and white space.
+    Each row counts by itself, whether its id is null, repeated or neither; null and
+    empty texts and empty tables have no runs.
     """
     size = run_words - WINDOW + 1
     many = keep(unit_hashes(docs, size, text_col).groupBy("h").agg(F.count(F.lit(1)).alias("n_members")).where("n_members > 1"))
     found = keep(unit_rows(docs, size, id_col, text_col).join(many, "h"))
-    place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("tag").alias("t"), F.col("start").alias("s"), F.col("paragraph").alias("p"))
+    place = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("row").alias("r"), F.col("start").alias("s"), F.col("paragraph").alias("p"))
     first = keep(found.groupBy("h").agg(F.min(place).alias("first")))
     marked = found.join(first, "h").withColumns({"kept": place == F.col("first"), "component_doc": F.col("first.d"), "component_paragraph": F.col("first.p")}).drop("h", "first")
-    # Rows that repeat id and text have equal units: they are merged once and come as often as they are.
-    same = [c for c in marked.columns]
-    once = marked.groupBy(*same).agg(F.count(F.lit(1)).alias("copies")).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
-    dealt = once.withColumns({"kept": F.col("kept") & (F.col("copy") == 1), "key": F.xxhash64("doc_id", "tag", "copy")})
-    return by_key(dealt).mapInArrow(lambda batches: merge_units(batches, size), MARKS)
+    return marked.repartition("row").sortWithinPartitions("row").mapInArrow(lambda batches: merge_units(batches, size), MARKS)
 
 
 def every_passage(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of :func:`repeated_passages`, and those of :func:`repeated_runs` that
-    say more: spans within a repeated line are left out if the line goes or the span stays."""
+    say more: spans within a repeated line of the same row are left out if the line goes or the span stays.
+
+    Each row of ``docs`` counts by itself, so rows that share an id, or have none, hide
+    nothing of each other; ``row`` is a row's place in ``docs``, which must be a stored
+    table.  Null and empty texts and empty tables have no passages; other columns are ignored.
+    """
     lines = keep(repeated_passages(docs, id_col=id_col, text_col=text_col))
     runs = keep(repeated_runs(docs, id_col=id_col, text_col=text_col))
     at = F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("n_chars")).alias("end"), "kept")))
-    known = lines.groupBy("doc_id").agg(at.alias("known"))
+    known = lines.groupBy("row").agg(at.alias("known"))
     covered = F.exists("known", lambda x: (x["start"] <= F.col("start")) & (x["end"] >= F.col("start") + F.col("n_chars")) & (F.col("kept") | ~x["kept"]))
-    more = runs.join(known.withColumnRenamed("doc_id", "of"), F.col("doc_id").eqNullSafe(F.col("of")), "left").where(~F.coalesce(covered, F.lit(False))).drop("known", "of")
+    more = runs.join(known, "row", "left").where(~F.coalesce(covered, F.lit(False))).drop("known")
     return lines.unionByName(more.select(*lines.columns))
 
 
-def without_passages(docs: DataFrame, passages: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def without_passages(docs: DataFrame, passages: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without the passages that are not kept: whole lines go with their line
-    end, of other spans the words that no kept span of runs holds."""
-    gone = keep(passages.groupBy("doc_id").agg(F.collect_set(F.struct("start", "n_chars", "kept")).alias("spans")).where(F.exists("spans", lambda x: ~x["kept"])))
-
-    @F.udf("string")
-    def cut(text: str | None, spans: list | None) -> str | None:
-        if text is None or not spans:
-            return text
-        ends = lambda s: (s.start == 0 or text[s.start - 1] == "\n") and (s.start + s.n_chars == len(text) or text[s.start + s.n_chars] == "\n")
-        stays = np.ones(len(text) + 1, bool)
-        for s in sorted((x for x in spans if not (x.kept and ends(x))), key=lambda x: (x.kept, ends(x))):
-            stays[s.start : s.start + s.n_chars] = s.kept
-        for s in spans:
-            if not s.kept and ends(s):
-                stays[s.start : s.start + s.n_chars + 1] = False
-        left = "".join(text[a:b] for a, b in _stretches(stays[:-1]))
-        return left[:-1] if not stays[-1] and left.endswith("\n") else left
-
-    joined = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("doc_id")).join(gone, "doc_id", "left")
-    text = F.when(F.col("spans").isNull(), F.col(f"row.{text_col}")).otherwise(cut(F.col(f"row.{text_col}"), "spans"))
-    return joined.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])
+    end, of other spans the words that no kept span of runs holds.
+
+    ``passages`` are those of :func:`every_passage` of the same stored table, and are taken
+    from the rows that hold them: ids need not be there or be unique.  Rows without
+    passages, null texts among them, stay as they are; all columns are kept.
+    """
+    spans = F.collect_set(F.struct("start", "n_chars", "kept"))
+    gone = passages.groupBy(F.col("row").alias("_row")).agg(spans.alias("_spans")).where(F.exists("_spans", lambda x: ~x["kept"]))
+    joined = docs.withColumn("_row", F.monotonically_increasing_id()).join(gone, "_row", "left").drop("_row")
+    names, at = docs.columns, docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cut = [text if text is None or not some else without_spans(text, some) for text, some in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array(cut, pa.string()) if i == at else batch.column(i) for i in range(len(names))], names)
+
+    return small_batches(joined).mapInArrow(run, docs.schema)
+
+
+def without_spans(text: str, spans: list[dict]) -> str:
+    """A text without the spans (start, n_chars, kept) that are not kept."""
+
+    def whole(s: dict) -> bool:
+        """Whether a span is whole lines."""
+        end = s["start"] + s["n_chars"]
+        return (s["start"] == 0 or text[s["start"] - 1] == "\n") and (end == len(text) or text[end] == "\n")
+
+    stays = np.ones(len(text) + 1, bool)
+    for s in sorted((x for x in spans if not (x["kept"] and whole(x))), key=lambda x: (x["kept"], whole(x))):
+        stays[s["start"] : s["start"] + s["n_chars"]] = s["kept"]
+    for s in spans:
+        if not s["kept"] and whole(s):
+            stays[s["start"] : s["start"] + s["n_chars"] + 1] = False
+    left = "".join(text[a:b] for a, b in _stretches(stays[:-1]))
+    return left[:-1] if not stays[-1] and left.endswith("\n") else left
 
 
 def _stretches(stays: np.ndarray) -> Iterator[tuple[int, int]]:
