@@ -7,10 +7,11 @@ import json
 import re
 from datetime import datetime, timezone
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideline.sources import archive
+
 
 def write_sessions(table: DataFrame, path: str) -> None:
     """Replace the sessions that ``table`` holds and leave others (SNK-02).
@@ -58,13 +59,9 @@ def digest(value) -> str:
 
 
 def write_json(spark: SparkSession, path: str, value, replace: bool = False) -> None:
-    """Write a small report through Hadoop's file systems; without ``replace`` it must be new (SNK-03, SNK-12)."""
-    fs, p = _files(spark, path)
-    out = fs.create(p, replace)
-    try:
-        out.write(bytearray(canonical_json(value)))
-    finally:
-        out.close()
+    """Write a small report, which appears whole; without ``replace`` it must be new (SNK-03, SNK-12)."""
+    if not archive.write_json(path, canonical_json(value), replace):
+        raise FileExistsError(path)
 
 
 def read_json(spark: SparkSession, path: str):
@@ -76,12 +73,8 @@ def write_json_unique(spark: SparkSession, path: str, value, tries: int = 100) -
     stem, dot, kind = path.rpartition(".")
     for n in range(tries + 1):
         name = f"{stem}-{n}{dot}{kind}" if n else path
-        try:
-            write_json(spark, name, value)
+        if archive.write_json(name, canonical_json(value), False):  # only the creation itself tells whether the name was free
             return name
-        except Py4JJavaError as e:  # only the creation itself tells whether the name was free
-            if "FileAlreadyExists" not in str(e.java_exception):
-                raise
     raise FileExistsError(path)
 
 
