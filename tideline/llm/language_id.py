@@ -6,7 +6,7 @@ the byte was not seen there, an escape is paid and the context loses its oldest
 byte, down to a uniform code (escape method C).  The trees are fitted once and
 then frozen, so the exact code length of a whole text is a sum of table entries:
 the trees of all languages are laid over one another and each (context, byte)
-pair gets its length for every language.  The shortest code names the language.
+pair that was seen gets its length for every language.  The shortest code names the language.
 """
 
 from collections.abc import Iterator
@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import small_batches
+from tideline.llm.common import keep, small_batches
 
 ORDER = 3
 _LETTER = regex.compile(r"\p{L}")
@@ -30,13 +30,23 @@ WIDE, SPARE = 4.0, 64.0
 
 @dataclass
 class Model:
-    """Frozen code lengths in bits.  ``symbol`` numbers the bytes that were seen
-    (0: any other), ``node`` gives the tree node for three symbols, and
-    ``bits[node, symbol]`` the code length in each language."""
+    """Frozen code lengths in bits, for the pairs of context and byte that were seen only.
+
+    ``symbol`` numbers the bytes that were seen (0: any other) and ``node`` gives the
+    longest known context of three symbols.  A context has a bit for each symbol that was
+    seen after it in any language; ``bits`` has a row, a code length for each language, for
+    each such pair, in the order of contexts and symbols, and ``first`` the row of each
+    context's first symbol of each 64.  A symbol without a bit costs the context's
+    ``escape`` in each language and goes on at its ``lower`` context, one byte shorter.
+    """
 
     langs: list[str]
     symbol: np.ndarray
     node: np.ndarray
+    seen: np.ndarray
+    first: np.ndarray
+    lower: np.ndarray
+    escape: np.ndarray
     bits: np.ndarray
 
     def code_lengths(self, text: bytes) -> np.ndarray:
@@ -45,8 +55,21 @@ class Model:
         padded = np.concatenate([np.full(ORDER, 32, np.uint8), np.frombuffer(text, np.uint8)])
         for at in range(0, len(text), 1 << 20):
             s = self.symbol[padded[at : at + (1 << 20) + ORDER]]
-            nodes = self.node[(s[:-3] * k + s[1:-2]) * k + s[2:-1]]
-            total += self.bits[nodes * k + s[3:]].sum(0, dtype=np.float64)
+            total += self.lengths(self.node[(s[:-3] * k + s[1:-2]) * k + s[2:-1]], s[3:])
+        return total
+
+    def lengths(self, node: np.ndarray, s: np.ndarray) -> np.ndarray:
+        """The sum of the code lengths of symbols after their contexts."""
+        total = np.zeros(len(self.langs))
+        for _ in range(ORDER + 1):
+            word, place = s >> 6, (s & 63).astype(np.uint64)
+            some = self.seen[node, word]
+            there = (some >> place & np.uint64(1)).astype(bool)
+            ahead = np.bitwise_count(some & (np.uint64(1) << place) - np.uint64(1))
+            total += self.bits[(self.first[node, word] + ahead)[there]].sum(0, dtype=np.float64)
+            node, s = node[~there], s[~there]
+            total += self.escape[node].sum(0, dtype=np.float64) + 8.0 * (node == 0).sum()  # below the empty context, which is the first, a byte takes 8 bits
+            s, node = s[node > 0], self.lower[node[node > 0]]
         return total
 
 
@@ -58,8 +81,8 @@ def training_rows(docs: DataFrame, allowed: Column, docs_per_lang: int, text_col
     """(lang, text) of up to ``docs_per_lang`` whole texts a language, by hash order."""
     rows = docs.where(allowed & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string"), F.lit(3)).alias("h"))
     order = Window.partitionBy("lang").orderBy("h")
-    picked = rows.select("lang", "h").withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs_per_lang).select("lang", "h").distinct()
-    texts = rows.join(F.broadcast(picked), ["lang", "h"])  # again limited: repeated ids share a hash
+    picked = keep(rows.select("lang", "h").withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs_per_lang).select("lang", "h").distinct())
+    texts = rows.join(picked, ["lang", "h"])  # broadcast within Catalyst's bound; again limited: repeated ids share a hash
     return texts.withColumn("n", F.row_number().over(order)).where(F.col("n") <= docs_per_lang).select("lang", "text")
 
 
@@ -81,52 +104,61 @@ def fit(docs: DataFrame, allowed: Column, docs_per_lang: int = 200, text_col: st
     each language where ``allowed`` holds.  The counts that reach the driver are
     bounded by the sample.  Without labelled text the model has no language."""
     counts = ngram_counts(training_rows(docs, allowed, docs_per_lang, text_col, lang_col, id_col)).toArrow()
-    lang_names, gram, n = counts["lang"].to_pylist(), counts["gram"].to_numpy(), counts["n"].to_numpy()
-    langs = sorted(set(lang_names))
-    return build(langs, np.array([langs.index(x) for x in lang_names], np.int64), gram, n)
+    of = counts["lang"].combine_chunks().dictionary_encode()
+    names = of.dictionary.to_pylist()
+    langs = sorted(names)
+    number = np.array([langs.index(x) for x in names], np.int64)
+    return build(langs, number[of.indices.to_numpy()], counts["gram"].to_numpy(), counts["n"].to_numpy())
 
 
 def build(langs: list[str], of: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Model:
-    """The frozen table for counts ``n`` of 4-grams ``gram`` in language number ``of``."""
+    """The frozen model for counts ``n`` of 4-grams ``gram`` in language number ``of``: its size
+    is that of the distinct pairs of context and byte, times languages."""
     bytes_ = np.stack([gram >> s & 255 for s in (24, 16, 8, 0)]) if len(gram) else np.zeros((4, 0), np.int64)
-    seen = np.union1d(bytes_.ravel(), [32])
+    known_bytes = np.union1d(bytes_.ravel(), [32])
     symbol = np.zeros(256, np.int32)
-    symbol[seen] = np.arange(1, len(seen) + 1)
-    k, m = len(seen) + 1, len(langs)
-    s = symbol[bytes_]
-    level_bits = []  # for each order: (context codes, array [context, symbol, lang])
-    shorter = np.full((1, k, m), 8.0)  # below all contexts, a byte takes 8 bits
-    codes_before = np.zeros(1, np.int64)
+    symbol[known_bytes] = np.arange(1, len(known_bytes) + 1)
+    k, m = len(known_bytes) + 1, len(langs)
+    words, s = (k + 63) // 64, symbol[bytes_].astype(np.int64)
+    node = np.zeros(k**3, np.int32)
+    every = np.arange(k**3, dtype=np.int64)
+    seen, first, lower, escapes, rows = [], [], [], [], []
+    start = row = below_start = 0
+    pairs_below, bits_below, contexts_below = np.zeros(0, np.int64), np.zeros((0, m), np.float32), np.zeros(1, np.int64)
     for order in range(ORDER + 1):
         ctx = np.zeros(len(gram), np.int64)
         for i in range(3 - order, 3):
             ctx = ctx * k + s[i]
-        contexts = np.unique(ctx) if len(ctx) else np.zeros(0 if order else 1, np.int64)
-        count = np.zeros((len(contexts), k, m))
-        if len(ctx):
-            np.add.at(count, (np.searchsorted(contexts, ctx), s[3], of), n)
-        total, kinds = count.sum(1, keepdims=True), (count > 0).sum(1, keepdims=True)
-        tail = contexts % (k ** max(order - 1, 0)) if order else np.zeros(len(contexts), np.int64)
-        below = shorter[np.searchsorted(codes_before, tail)] if order else np.broadcast_to(shorter, count.shape)
+        pairs, pair = np.unique(ctx * k + s[3], return_inverse=True)
+        count = np.zeros((len(pairs), m), np.float32)
+        np.add.at(count, (pair, of), n)
+        contexts, at = np.unique(pairs // k, return_inverse=True) if len(pairs) or order else (np.zeros(1, np.int64), np.zeros(0, np.int64))
+        total, kinds = np.zeros((len(contexts), m), np.float32), np.zeros((len(contexts), m), np.float32)
+        np.add.at(total, at, count)
+        np.add.at(kinds, at, (count > 0).astype(np.float32))
+        tail = contexts % k ** max(order - 1, 0)
         with np.errstate(divide="ignore", invalid="ignore"):
-            known = -np.log2(count / (total + kinds))
-            escape = -np.log2(kinds / (total + kinds))
-        bits = np.where(total == 0, below, np.where(count > 0, known, escape + below))
-        level_bits.append((contexts, bits))
-        shorter, codes_before = bits, contexts
-    # Lay the levels over one another: the node of three symbols is their longest known context.
-    node = np.zeros(k**3, np.int32)
-    tables, start = [], 0
-    every = np.arange(k**3, dtype=np.int64)
-    for order, (contexts, bits) in enumerate(level_bits):
-        tail = every % (k**order)
-        at = np.searchsorted(contexts, tail).clip(0, max(len(contexts) - 1, 0))
+            escape = np.where(total > 0, -np.log2(kinds / (total + kinds)), 0).astype(np.float32)
+            known = -np.log2(count / (total + kinds)[at])
+        below = bits_below[np.searchsorted(pairs_below, tail[at] * k + pairs % k)] if order else np.float32(8)
+        bits = np.where(count > 0, known, escape[at] + below).astype(np.float32)  # a pair that a longer context holds stands after the shorter one, too
+        after, bitmap = pairs % k, np.zeros((len(contexts), words), np.uint64)
+        np.bitwise_or.at(bitmap, (at, after >> 6), np.uint64(1) << (after & 63).astype(np.uint64))
+        ahead = np.cumsum(np.bitwise_count(bitmap).ravel()) - np.bitwise_count(bitmap).ravel()
+        seen.append(bitmap)
+        first.append((row + ahead.astype(np.int64)).reshape(bitmap.shape))
+        lower.append(below_start + np.searchsorted(contexts_below, tail) if order else np.zeros(len(contexts), np.int64))
+        escapes.append(escape)
+        rows.append(bits)
+        # The node of three symbols is their longest known context.
         if len(contexts):
-            hit = contexts[at] == tail
-            node[hit] = start + at[hit]
-        tables.append(bits)
-        start += len(contexts)
-    return Model(langs, symbol, node, np.concatenate(tables).astype(np.float32).reshape(start * k, m))
+            end = every % k**order
+            found = np.searchsorted(contexts, end).clip(0, len(contexts) - 1)
+            hit = contexts[found] == end
+            node[hit] = start + found[hit]
+        below_start, start, row = start, start + len(contexts), row + len(pairs)
+        pairs_below, bits_below, contexts_below = pairs, bits, contexts
+    return Model(langs, symbol, node, np.concatenate(seen), np.concatenate(first), np.concatenate(lower).astype(np.int32), np.concatenate(escapes), np.concatenate(rows))
 
 
 def words_only(text: str) -> bytes:
