@@ -48,11 +48,16 @@ def inside_laps(records: DataFrame, laps: DataFrame) -> DataFrame:
 
 def telemetry(records: DataFrame, laps: DataFrame) -> DataFrame:
     """Samples in a lap, impossible values masked and counted (AG-01, FLT-05)."""
+    return reduced_telemetry(inside_laps(records, laps))
+
+
+def reduced_telemetry(inside: DataFrame) -> DataFrame:
+    """One row a lap from samples that lie in one."""
     gear, throttle, brake = F.col("n_gear") <= GEAR_MOST, F.col("throttle") <= THROTTLE_MOST, F.col("brake") <= BRAKE_MOST
     wrong = F.coalesce(~gear, F.lit(False)) | F.coalesce(~throttle, F.lit(False)) | F.coalesce(~brake, F.lit(False))
     share = lambda yes: F.avg(yes.cast("double"))
     pressed = reduce.masked(F.col("brake"), brake)
-    return inside_laps(records, laps).groupBy(*GRAIN).agg(
+    return inside.groupBy(*GRAIN).agg(
         *[f(c).alias(f"{c}_{n}") for c in ("speed", "rpm") for f, n in ((F.min, "min"), (F.avg, "mean"), (F.max, "max"))],
         F.avg(reduce.masked(F.col("throttle"), throttle)).alias("throttle_mean"), share(pressed > 0).alias("brake_applied_share"), share(F.col("drs").isin(*DRS_OPEN)).alias("drs_active_share"),
         F.max(reduce.masked(F.col("n_gear"), gear)).alias("n_gear_max"), F.count(F.lit(1)).alias("car_data_samples"), F.count_if(wrong).alias("car_data_invalid_samples"),

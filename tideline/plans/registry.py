@@ -29,7 +29,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from tideline.plans import model_queries, quality_queries, season_queries, source_queries, upkeep_queries  # noqa: F401  (they register theirs)
+    from tideline.plans import evidence_queries, model_queries, quality_queries, season_queries, source_queries, upkeep_queries  # noqa: F401  (they register theirs)
 
     return dict(_QUERIES)
 
