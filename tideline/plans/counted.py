@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.operators.specs import BRAKE_MOST, GEAR_MOST, THROTTLE_MOST
@@ -29,6 +31,18 @@ class Counters:
         return {k: v or 0 for part in self.parts for k, v in part.get.items()}
 
 
+@contextmanager
+def whole_plan(spark: SparkSession) -> Iterator[None]:
+    """Keep branches that turn out empty in the plan, as their metrics would go with them; the session's setting comes back."""
+    key, rule = "spark.sql.adaptive.optimizer.excludedRules", "org.apache.spark.sql.execution.adaptive.AQEPropagateEmptyRelation"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, f"{before},{rule}" if before else rule)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before else spark.conf.unset(key)
+
+
 def telemetry_with_totals(documents: DataFrame, laps: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     """Telemetry by lap, written, and what its pass saw: files, files_unreadable, samples_read,
     samples_in_window, invalid_samples (AG-16, AG-27).
@@ -44,4 +58,5 @@ def telemetry_with_totals(documents: DataFrame, laps: DataFrame) -> tuple[DataFr
     inside = lap_table.inside_laps(samples, laps)
     wrong = F.coalesce((F.col("n_gear") > GEAR_MOST) | (F.col("throttle") > THROTTLE_MOST) | (F.col("brake") > BRAKE_MOST), F.lit(False))
     counted = seen.on(inside, samples_in_window=F.count(F.lit(1)), invalid_samples=F.count_if(wrong))
-    return keep(lap_table.reduced_telemetry(counted)), seen.values
+    with whole_plan(documents.sparkSession):
+        return keep(lap_table.reduced_telemetry(counted)), seen.values

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tideline.sources.scratch import keep
 
-#: Children of a node below a session, and levels of them.
+#: Children of a node below a session, a power of two, and levels of them.
 FANOUT, DEPTH = 16, 2
 #: A node: level from 0 (stage), its path, and its parent's.
 NODES = "level int, parent string, path string, rows long, digest string"
@@ -32,7 +32,7 @@ def row_hash(columns: list[str]) -> Column:
 def bucket_path(year: str, session: str, key: list[str]) -> Column:
     """The path of a row's bucket below its stage: /season/session/digit/digit."""
     h = F.xxhash64(*key)
-    digits = [F.pmod(F.floor(h / FANOUT**d), F.lit(FANOUT)).cast("string") for d in range(DEPTH)]
+    digits = [F.pmod(F.shiftright(h, d * (FANOUT.bit_length() - 1)), F.lit(FANOUT)).cast("string") for d in range(DEPTH)]
     return F.concat_ws("/", F.coalesce(F.col(year).cast("string"), F.lit("none")), F.coalesce(F.col(session).cast("string"), F.lit("none")), *digits)
 
 
