@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import Forest, among, block_pairs, by_key, connected_components, keep, pairs_in_runs, small_batches, whole_groups
+from tideline.sources.scratch import settled
 
 
 def bands_needed(rows: int, similarity: float, recall: float) -> int:
@@ -509,8 +510,8 @@ def every_passage(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nothing of each other; ``row`` is a row's place in ``docs``, which must be a stored
     table.  Null and empty texts and empty tables have no passages; other columns are ignored.
     """
-    lines = keep(repeated_passages(docs, id_col=id_col, text_col=text_col))
-    runs = keep(repeated_runs(docs, id_col=id_col, text_col=text_col))
+    lines = settled(lambda: repeated_passages(docs, id_col=id_col, text_col=text_col))
+    runs = settled(lambda: repeated_runs(docs, id_col=id_col, text_col=text_col))
     at = F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("n_chars")).alias("end"), "kept")))
     known = lines.groupBy("row").agg(at.alias("known"))
     covered = F.exists("known", lambda x: (x["start"] <= F.col("start")) & (x["end"] >= F.col("start") + F.col("n_chars")) & (F.col("kept") | ~x["kept"]))
