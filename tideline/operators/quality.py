@@ -6,11 +6,15 @@ Findings are rows (endpoint, file, rule, field, finding, severity, n).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import instant
 from tideline.operators.specs import Endpoint, Field
+from tideline.sources.scratch import keep
 
 ERROR, WARNING, INFO = "ERROR", "WARNING", "INFO"
 RULES = ["structure", "schema", "types", "values", "cross_field", "missing_values", "duplicates", "temporal", "identifiers", "coverage"]
@@ -26,7 +30,11 @@ def text(name: str) -> Column:
 
 def kind(v: Column) -> Column:
     """int, float, str, bool, list, object or null for a variant; SQL null if the key is absent."""
-    s = F.schema_of_variant(v)
+    return named_kind(F.schema_of_variant(v))
+
+
+def named_kind(s: Column) -> Column:
+    """The kind behind a variant's schema."""
     return (
         F.when(s == "VOID", "null").when(s == "BIGINT", "int").when(s.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "float")
         .when(s == "STRING", "str").when(s == "BOOLEAN", "bool").when(s.startswith("ARRAY"), "list").when(s.startswith("OBJECT"), "object")
@@ -37,17 +45,40 @@ def is_object(rec: Column) -> Column:
     return F.coalesce(kind(rec) == "object", F.lit(False))
 
 
-def _read(records: DataFrame, spec: Endpoint) -> DataFrame:
-    """Each field's kind, number and text, extracted once a record: (file, ok, k_*, n_*, t_*)."""
-    cols = [F.col("file"), is_object(F.col("rec")).alias("ok")]
-    for f in spec.fields:
-        k = kind(value(f.name))
-        cols += [k.alias(f"k_{f.name}"), F.when(k.isin("int", "float"), F.try_variant_get("rec", f"$.{f.name}", "double")).alias(f"n_{f.name}"), F.when(k == "str", text(f.name)).alias(f"t_{f.name}")]
-    return records.select(*cols)
+@contextmanager
+def short_methods(spark: SparkSession) -> Iterator[None]:
+    """Have Spark generate a method for each expression instead of one for a whole stage where that
+    would be longer than the JVM compiles; the session's setting comes back."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def facts(records: DataFrame, spec: Endpoint) -> DataFrame:
+    """What the rules ask of each record of (file, pos, rec), taken out of its VARIANT once.
+
+    (file, pos, ok, keys, k_*, n_*, t_*, i_*, at, g): whether it is an object, its keys, each
+    field's kind, number and text, its natural key as texts, and its place in the document's
+    order and group.  A record that is no object has nulls.
+    """
+    parts = records.select("file", "pos", F.try_variant_get("rec", "$", "map<string,variant>").alias("m"))
+    named = list(dict.fromkeys([*spec.names, *spec.key, *([spec.order] if spec.order else []), *([spec.group] if spec.group else [])]))
+    values = parts.select("file", "pos", F.col("m").isNotNull().alias("ok"), F.sort_array(F.map_keys("m")).alias("keys"), *[F.try_element_at("m", F.lit(c)).alias(f"v_{c}") for c in named])
+    kinds = values.select("*", *[F.schema_of_variant(F.col(f"v_{c}")).alias(f"s_{c}") for c in named])
+    whole = lambda c: F.try_variant_get(f"v_{c}", "$", "string")
+    number = lambda c: F.when((F.col(f"s_{c}") == "BIGINT") | F.col(f"s_{c}").startswith("DECIMAL") | F.col(f"s_{c}").isin("DOUBLE", "FLOAT"), F.try_variant_get(f"v_{c}", "$", "double"))
+    cells = [x for c in spec.names for x in (named_kind(F.col(f"s_{c}")).alias(f"k_{c}"), number(c).alias(f"n_{c}"), F.when(F.col(f"s_{c}") == "STRING", whole(c)).alias(f"t_{c}"))]
+    timed = any(f.name == spec.order and "time" in f.kinds for f in spec.fields)
+    at = F.lit(None).cast("double") if not spec.order else F.unix_micros(instant(whole(spec.order))).cast("double") if timed else number(spec.order)
+    return kinds.select("file", "pos", "ok", "keys", *cells, *[F.to_json(f"v_{c}").alias(f"i_{i}") for i, c in enumerate(spec.key)], at.alias("at"), (F.to_json(f"v_{spec.group}") if spec.group else F.lit("")).alias("g"))
 
 
 def _checks(f: Field) -> dict[tuple[str, str, str], Column]:
-    """(rule, finding, severity) to whether a record of :func:`_read` shows it."""
+    """(rule, finding, severity) to whether a record of :func:`facts` shows it."""
     k, plain_text = F.col(f"k_{f.name}"), F.col(f"t_{f.name}")
     kinds = {"time": "str"}
     right = k.isin([kinds.get(x, x) for x in f.kinds])
@@ -79,56 +110,58 @@ def _checks(f: Field) -> dict[tuple[str, str, str], Column]:
     return found
 
 
-def profile(records: DataFrame, spec: Endpoint, threshold: float = 0.5) -> DataFrame:
-    """File rules but duplicates and order, in one pass over (file, pos, rec) (AG-09, DQ-01 to DQ-06, DQ-08).
+def profile(seen: DataFrame, spec: Endpoint, threshold: float = 0.5) -> DataFrame:
+    """File rules but duplicates and order, in one aggregate over :func:`facts` (AG-09, AG-13, DQ-01 to DQ-06, DQ-08).
 
     Entries that are no objects are counted and, as entries, in the denominator
     of null shares; a null share above ``threshold`` is a warning unless nulls
     are usual.
     """
-    aggregates, meaning = [F.count(F.lit(1)).alias("entries"), F.count_if(~F.col("ok")).alias("c0")], [("structure", "", "non_object", ERROR)]
+    meaning, shown = [("structure", "", "non_object", ERROR)], [~F.col("ok")]
     for f in spec.fields:
-        for (rule, finding, severity), shown in _checks(f).items():
-            aggregates.append(F.count_if(F.col("ok") & F.coalesce(shown, F.lit(False))).alias(f"c{len(meaning)}"))
+        for (rule, finding, severity), found in _checks(f).items():
+            shown.append(F.col("ok") & found)
             meaning.append((rule, f.name, finding, INFO if f.sparse and rule == "missing_values" else severity))
     for low, high in spec.ordered_pairs:
-        aggregates.append(F.count_if(F.col(f"n_{high}") < F.col(f"n_{low}")).alias(f"c{len(meaning)}"))
+        shown.append(F.col(f"n_{high}") < F.col(f"n_{low}"))
         meaning.append(("cross_field", high, f"before_{low}", ERROR))
-    counted = _read(records, spec).groupBy("file").agg(*aggregates)
-    entries = [F.struct(F.lit(rule).alias("rule"), F.lit(name).alias("field"), F.lit(finding).alias("finding"), F.lit(severity).alias("severity"), F.col(f"c{i}").alias("n")) for i, (rule, name, finding, severity) in enumerate(meaning)]
-    shares = [F.struct(F.lit("missing_values").alias("rule"), F.lit(name).alias("field"), F.lit("null_share").alias("finding"), F.lit(WARNING).alias("severity"), F.when(F.col(f"c{i}") > F.col("entries") * threshold, F.col(f"c{i}")).otherwise(F.lit(0).cast("bigint")).alias("n")) for i, (rule, name, finding, severity) in enumerate(meaning) if finding == "null" and severity != INFO or finding == "null" and not next(f for f in spec.fields if f.name == name).sparse]
-    long = counted.select("file", F.explode(F.array(*entries, *shares)).alias("f")).select("file", "f.*").where("n > 0")
+    # The numbers of what a record shows, and -1 for the record itself, are counted by document as one map.
+    numbers = F.array_compact(F.array(F.lit(-1), *[F.when(x, F.lit(i)) for i, x in enumerate(shown)]))
+    counts = seen.select("file", F.explode(numbers).alias("i")).groupBy("file", "i").agg(F.count(F.lit(1)).alias("n"))
+    by_file = counts.groupBy("file").agg(F.map_from_entries(F.collect_list(F.struct("i", "n"))).alias("counts"))
+    times = lambda i: F.coalesce(F.try_element_at("counts", F.lit(i)), F.lit(0).cast("bigint"))
+    told = lambda rule, name, finding, severity, n: F.struct(F.lit(rule).alias("rule"), F.lit(name).alias("field"), F.lit(finding).alias("finding"), F.lit(severity).alias("severity"), n.alias("n"))
+    sparse = {f.name: f.sparse for f in spec.fields}
+    entries = [told(*m, times(i)) for i, m in enumerate(meaning)]
+    shares = [told("missing_values", name, "null_share", WARNING, F.when(times(i) > times(-1) * threshold, times(i)).otherwise(0)) for i, (_, name, finding, _) in enumerate(meaning) if finding == "null" and not sparse[name]]
+    long = by_file.select("file", F.explode(F.array(*entries, *shares)).alias("f")).select("file", "f.*").where("n > 0")
     return long.select(F.lit(spec.name).alias("endpoint"), "file", "rule", "field", "finding", "severity", "n")
 
 
-def key_sets(records: DataFrame, spec: Endpoint) -> DataFrame:
+def key_sets(seen: DataFrame, spec: Endpoint) -> DataFrame:
     """Unknown keys, and documents whose records do not share one set of keys (AG-10, DQ-01, DQ-02)."""
-    keyed = records.where(is_object(F.col("rec"))).select("file", F.sort_array(F.json_object_keys(F.to_json("rec"))).alias("keys"))
-    sets = keyed.groupBy("file").agg(F.count_distinct("keys").alias("n")).where("n > 1").select("file", F.lit("structure").alias("rule"), F.lit("").alias("field"), F.lit("several_key_sets").alias("finding"), "n")
-    unknown = keyed.select("file", F.explode(F.array_except("keys", F.array(*map(F.lit, spec.names)))).alias("field")).groupBy("file", "field").agg(F.count(F.lit(1)).alias("n"))
+    keyed = seen.where("ok").groupBy("file", "keys").agg(F.count(F.lit(1)).alias("times"))  # tasks combine equal sets: few are left
+    sets = keyed.groupBy("file").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("file", F.lit("structure").alias("rule"), F.lit("").alias("field"), F.lit("several_key_sets").alias("finding"), "n")
+    unknown = keyed.select("file", "times", F.explode(F.array_except("keys", F.array(*map(F.lit, spec.names)))).alias("field")).groupBy("file", "field").agg(F.sum("times").alias("n"))
     unknown = unknown.select("file", F.lit("schema").alias("rule"), "field", F.lit("unknown_field").alias("finding"), "n")
     return sets.unionByName(unknown).select(F.lit(spec.name).alias("endpoint"), "file", "rule", "field", "finding", F.lit(INFO).alias("severity"), "n")
 
 
-def duplicates(records: DataFrame, spec: Endpoint) -> DataFrame:
+def duplicates(seen: DataFrame, spec: Endpoint) -> DataFrame:
     """Surplus records of a natural key within a document (AG-11, DQ-07)."""
     if not spec.key:
-        return _rows(records, spec, "duplicates", "", "no_key", INFO).limit(0)
-    keys = [F.to_json(value(k)).alias(f"k{i}") for i, k in enumerate(spec.key)]
-    sizes = records.where(is_object(F.col("rec"))).groupBy("file", *keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        return _rows(seen, spec, "duplicates", "", "no_key", INFO).limit(0)
+    sizes = seen.where("ok").groupBy("file", *[f"i_{i}" for i in range(len(spec.key))]).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return _rows(sizes.groupBy("file").agg(F.sum(F.col("n") - 1).alias("n")), spec, "duplicates", ",".join(spec.key), "surplus", ERROR)
 
 
-def inversions(records: DataFrame, spec: Endpoint) -> DataFrame:
+def inversions(seen: DataFrame, spec: Endpoint) -> DataFrame:
     """Records before their predecessor in file order, by group; the predecessor is the
     last that could be read, not the greatest (WN-09, DQ-08)."""
     if not spec.order:
-        return _rows(records, spec, "temporal", "", "", INFO).limit(0)
-    time = any(f.name == spec.order and "time" in f.kinds for f in spec.fields)
-    at = F.unix_micros(instant(text(spec.order))).cast("double") if time else F.when(kind(value(spec.order)).isin("int", "float"), F.try_variant_get("rec", f"$.{spec.order}", "double"))
-    seen = records.where(is_object(F.col("rec"))).select("file", "pos", at.alias("at"), (F.to_json(value(spec.group)) if spec.group else F.lit("")).alias("g"))
+        return _rows(seen, spec, "temporal", "", "", INFO).limit(0)
     before = F.last("at", ignorenulls=True).over(Window.partitionBy("file", "g").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1))
-    counts = seen.withColumn("before", before).groupBy("file").agg(F.count_if(F.col("at") < F.col("before")).alias("n")).where("n > 0")
+    counts = seen.where("ok").withColumn("before", before).groupBy("file").agg(F.count_if(F.col("at") < F.col("before")).alias("n")).where("n > 0")
     return _rows(counts, spec, "temporal", spec.order, "order_inversion", WARNING)
 
 
@@ -138,9 +171,13 @@ def _rows(counts: DataFrame, spec: Endpoint, rule: str, name: str, finding: str,
 
 
 def document_findings(records: DataFrame, spec: Endpoint, threshold: float = 0.5, most: int | None = None) -> DataFrame:
-    """All file rules of one document kind; ``most`` inspects that many first records a document (FLT-15)."""
-    seen = records if most is None else records.where(F.col("pos") < most)
-    return profile(seen, spec, threshold).unionByName(key_sets(seen, spec)).unionByName(duplicates(seen, spec)).unionByName(inversions(seen, spec))
+    """All file rules of one document kind; ``most`` inspects that many first records a document (FLT-15).
+
+    Records are read and parsed once: their :func:`facts` are written, and the rules read those.
+    """
+    with short_methods(records.sparkSession):
+        seen = keep(facts(records if most is None else records.where(F.col("pos") < most), spec))
+        return keep(profile(seen, spec, threshold).unionByName(key_sets(seen, spec)).unionByName(duplicates(seen, spec)).unionByName(inversions(seen, spec)))
 
 
 def documents_without_records(files: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tideline.operators import quality
 from tideline.operators.specs import ENDPOINTS
-from tideline.plans.registry import query, table
+from tideline.plans.registry import query, registered_sql, table
+from tideline.sources.scratch import keep
 
 
 def telemetry_records(spark, sf_dir) -> DataFrame:
@@ -25,6 +26,10 @@ def telemetry_records(spark, sf_dir) -> DataFrame:
     return e.select(F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("file"), F.col("event_id").alias("pos"), F.try_parse_json(text).alias("rec"))
 
 
+def telemetry_facts(spark, sf_dir) -> DataFrame:
+    return quality.facts(telemetry_records(spark, sf_dir), ENDPOINTS["car_data"])
+
+
 _RECORDS = """r AS (SELECT 'user_' || user_id AS file, event_id AS i, ts, value, user_id % 120 AS driver FROM events WHERE event_id % 37 <> 0),
 f AS (SELECT *, i % 13 = 0 AS speed_null, i % 13 <> 0 AND i % 17 = 0 AS speed_text, i % 13 <> 0 AND i % 17 <> 0 AND i % 19 = 0 AS speed_high, i % 7 = 0 AS gear_float, i % 7 <> 0 AND i % 23 = 0 AS gear_bool, i % 29 = 0 AS bad_time FROM r)"""
 
@@ -41,13 +46,14 @@ WITH {_RECORDS}, c AS (
   SELECT file, 'drs', 'values', 'unexpected', count(*) FILTER (i % 15 NOT IN (0, 1, 2, 3, 8, 10, 12, 14)) FROM f GROUP BY file UNION ALL
   SELECT file, 'driver_number', 'values', 'below_minimum', count(*) FILTER (driver < 1) FROM f GROUP BY file UNION ALL
   SELECT file, 'driver_number', 'values', 'above_maximum', count(*) FILTER (driver > 99) FROM f GROUP BY file UNION ALL
+  SELECT file, 'speed', 'missing_values', 'null_share', CASE WHEN count(*) FILTER (speed_null) > 0.03 * (SELECT count(*) FROM events e WHERE 'user_' || e.user_id = f.file) THEN count(*) FILTER (speed_null) ELSE 0 END FROM f GROUP BY file UNION ALL
   SELECT 'user_' || user_id, '', 'structure', 'non_object', count(*) FILTER (event_id % 37 = 0) FROM events GROUP BY user_id)
 SELECT file, rule, field, finding, n FROM c WHERE n > 0
 """)
 def quality_profile(spark, sf_dir):
     """All field rules over telemetry documents in one aggregate (AG-09, AG-13, FLT-12, FLT-13, DQ-01 to DQ-06, DQ-08)."""
-    found = quality.profile(telemetry_records(spark, sf_dir), ENDPOINTS["car_data"], 0.9)
-    return found.where("finding <> 'null_share'").select("file", "rule", "field", "finding", "n")
+    with quality.short_methods(spark):
+        return keep(quality.profile(telemetry_facts(spark, sf_dir), ENDPOINTS["car_data"], 0.03)).select("file", "rule", "field", "finding", "n")
 
 
 @query("""
@@ -57,7 +63,7 @@ SELECT file, 'structure', '', 'several_key_sets', count(DISTINCT extra) FROM k G
 """)
 def quality_key_sets(spark, sf_dir):
     """Unknown keys and documents with several sets of keys (AG-10, DQ-01, DQ-02)."""
-    return quality.key_sets(telemetry_records(spark, sf_dir), ENDPOINTS["car_data"]).select("file", "rule", "field", "finding", "n")
+    return quality.key_sets(telemetry_facts(spark, sf_dir), ENDPOINTS["car_data"]).select("file", "rule", "field", "finding", "n")
 
 
 @query("""
@@ -67,7 +73,7 @@ SELECT file, CAST(sum(n - 1) AS BIGINT) AS n FROM g GROUP BY file
 """)
 def quality_duplicates(spark, sf_dir):
     """Surplus records of the natural key of a document (AG-11, DQ-07)."""
-    return quality.duplicates(telemetry_records(spark, sf_dir), ENDPOINTS["car_data"]).select("file", "n")
+    return quality.duplicates(telemetry_facts(spark, sf_dir), ENDPOINTS["car_data"]).select("file", "n")
 
 
 @query("""
@@ -77,10 +83,22 @@ SELECT file, count(*) FILTER (t < p) AS n FROM b GROUP BY file HAVING count(*) F
 """)
 def quality_inversions(spark, sf_dir):
     """Records before their last readable predecessor in a document (WN-09, DQ-08)."""
-    return quality.inversions(telemetry_records(spark, sf_dir), ENDPOINTS["car_data"]).select("file", "n")
+    return quality.inversions(telemetry_facts(spark, sf_dir), ENDPOINTS["car_data"]).select("file", "n")
+
+
+def _report_sql() -> str:
+    """The findings of the four queries above, by rule and severity."""
+    found = registered_sql("quality_profile", "quality_key_sets", "quality_duplicates", "quality_inversions")
+    severity = "CASE WHEN finding IN ('wrong_type', 'above_maximum', 'below_minimum', 'unparseable', 'non_object', 'surplus') THEN 'ERROR' WHEN finding = 'order_inversion' THEN 'WARNING' ELSE 'INFO' END"
+    rules = ", ".join(f"('{r}')" for r in quality.RULES[:8])
+    count = lambda s: f"CAST(coalesce(sum(n) FILTER (severity = '{s}'), 0) AS BIGINT)"
+    return f"""WITH p AS ({found[0]}), k AS ({found[1]}), d AS ({found[2]}), v AS ({found[3]}), e(rule) AS (VALUES {rules}),
+a AS (SELECT *, {severity} AS severity FROM (SELECT rule, finding, n FROM p WHERE finding <> 'null_share' UNION ALL SELECT rule, finding, n FROM k UNION ALL SELECT 'duplicates', 'surplus', n FROM d UNION ALL SELECT 'temporal', 'order_inversion', n FROM v))
+SELECT 'car_data' AS endpoint, rule, {count('ERROR')} AS errors, {count('WARNING')} AS warnings, {count('INFO')} AS infos, CASE WHEN {count('ERROR')} > 0 THEN 'FAIL' WHEN {count('WARNING')} > 0 THEN 'WARNING' ELSE 'PASS' END AS status
+FROM e LEFT JOIN a USING (rule) GROUP BY rule"""
 
 
-@query()
+@query(_report_sql())
 def envelope_quality_report(spark, sf_dir):
     """Status of every rule over the telemetry documents (DQ-01 to DQ-08, AG-28)."""
     records = telemetry_records(spark, sf_dir)

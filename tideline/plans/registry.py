@@ -39,6 +39,11 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
+def registered_sql(*names: str) -> list[str]:
+    """The SQL of queries registered so far."""
+    return [_SQL[n] for n in names]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
