@@ -76,3 +76,17 @@ def test_pairs_of_a_busy_first_member_are_dealt_out(spark):
     for limit in (7, 512):
         got = {(r.src, r.dst) for r in substring_dedup.verified_stars(pairs, texts, 2, 0.8, limit).collect()}
         assert got == {(i, 1) for i in range(3, 300, 2)}
+
+
+def test_copies_and_rows_without_an_id_are_spread_over_blocks(spark, monkeypatch):
+    """50,000 rows of one source, size and text without an id: no block holds more than a few times its share."""
+    from tideline.llm import mixing
+
+    held = []
+    real = mixing.by_key
+    monkeypatch.setattr(mixing, "by_key", lambda df: held.append(df.groupBy("key").count().collect()) or real(df))
+    docs = spark.range(50_000).selectExpr("cast(null as long) AS doc_id", "'one two three' AS text", "'hot' AS source").unionByName(spark.range(100).selectExpr("id AS doc_id", "'a b' AS text", "'cold' AS source"))
+    got = mixing.mix(docs).groupBy("source").sum("taken", "size").collect()
+    most = {r.source: r for r in got}
+    assert abs(most["hot"]["sum(taken)"] - 149_600) <= 3 and most["cold"]["sum(taken)"] == 600 and len(held[0]) >= 50_000 // mixing.BLOCK
+    assert max(r["count"] for r in held[0]) < 2 * mixing.BLOCK

@@ -24,7 +24,7 @@ from tideline.llm.common import WORD, by_key, keep, whole_groups
 
 #: Documents whose probabilities are rounded together.
 BLOCK = 4096
-SCHEMA = "row long, source string, size long, r double, p double, h long"
+SCHEMA = "row long, source string, size long, r double, p double, h long, place long"
 
 
 def targets(sizes: DataFrame, weights: list[float], most: float) -> DataFrame:
@@ -86,7 +86,7 @@ def _round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, e in zip(cuts, cuts[1:]):
             at = order[s:e]
             out[at] = settle(size[at].astype(float), p[at], h[at])
-        yield pa.RecordBatch.from_arrays([*(table[c].combine_chunks() for c in ("row", "source", "size", "r")), pa.array(out), table["h"].combine_chunks()], ["row", "source", "size", "r", "p", "h"])
+        yield pa.RecordBatch.from_arrays([*(table[c].combine_chunks() for c in ("row", "source", "size", "r")), pa.array(out), table["h"].combine_chunks(), table["place"].combine_chunks()], ["row", "source", "size", "r", "p", "h", "place"])
 
 
 def mix(
@@ -99,24 +99,25 @@ def mix(
     texts without words have size 0 and are not taken.  ``copies`` is how often
     the mix takes the document, with a fraction for the one last document of a
     source; ``taken`` counts its words, at most ceil of ``most`` times the size.
-    A null source is a source.  Reruns over equal rows agree: chance comes from
-    hashes of id and text size, so repeated rows, which are rounded apart by
-    their place in the table, may only swap roles.  ``row`` is ``row_col``, distinct
+    A null source is a source.  Reruns over equal rows agree: chance and blocks come from
+    hashes of id and text; rows without an id are dealt to blocks by their place in the
+    table as well, so copies of one text do not meet in one block, and may swap roles.  ``row`` is ``row_col``, distinct
     longs, or else numbered here.  An empty table gives no rows.
     """
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = keep(docs.select((F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size")))
+    rows = keep(docs.select((F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size"), F.xxhash64(text_col).alias("text_hash")))
     sources = keep(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, most))
     ratio = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
-    planned = rows.join(F.broadcast(sources) if sources.count() <= 100_000 else sources, rows["source"].eqNullSafe(sources["source"])).select("row", "doc_id", rows["source"], "size", "source_size", "target", ratio.alias("r"))
-    h = F.xxhash64(F.col("doc_id").cast("string"), F.col("size"), F.lit(17))
-    start = planned.select("row", "source", "size", "r", F.when(F.col("size") > 0, F.col("r") - F.floor("r")).otherwise(0.0).alias("p"), h.alias("h"))
-    open_, done = start, []
-    blocks = max(1, -(-(rows.groupBy("source").count().agg(F.max("count")).first()[0] or 0) // BLOCK))
+    planned = rows.join(F.broadcast(sources) if sources.count() <= 100_000 else sources, rows["source"].eqNullSafe(sources["source"])).select("row", "doc_id", rows["source"], "size", "source_size", "target", ratio.alias("r"), "text_hash")
+    h = F.xxhash64(F.col("doc_id").cast("string"), F.col("size"), "text_hash", F.lit(17))
+    start = planned.select("row", "source", "size", "r", F.when(F.col("size") > 0, F.col("r") - F.floor("r")).otherwise(0.0).alias("p"), h.alias("h"), F.when(F.col("doc_id").isNull(), F.col("row")).alias("place"))
     fractional = (F.col("p") > 0) & (F.col("p") < 1)
+    open_, done = start.where(fractional), [start.where(~fractional)]
+    blocks = max(1, -(-(open_.groupBy("source").count().agg(F.max("count")).first()[0] or 0) // BLOCK))
     while True:
         level = len(done)
-        dealt = open_.withColumn("key", F.xxhash64("source", F.col("source").isNull(), F.pmod(F.xxhash64("h", F.lit(level)), F.lit(blocks))))
+        # Copies without an id share a hash: their places deal them out to blocks, the hash alone decides by chance.
+        dealt = open_.withColumn("key", F.xxhash64("source", F.col("source").isNull(), F.pmod(F.xxhash64("h", "place", F.lit(level)), F.lit(blocks))))
         rounded = keep(by_key(dealt).mapInArrow(_round, SCHEMA))
         if blocks == 1:
             done.append(rounded)
@@ -128,5 +129,5 @@ def mix(
     for part in done[1:]:
         decided = decided.unionByName(part)
     copies = F.floor("r") + F.col("p")
-    result = planned.drop("r").join(decided.select("row", copies.alias("copies")), "row")
+    result = planned.drop("r", "text_hash").join(decided.select("row", copies.alias("copies")), "row")
     return result.select("row", "doc_id", "source", "size", "source_size", "target", "copies", F.round(F.col("size") * F.col("copies")).cast("long").alias("taken"))
