@@ -113,3 +113,47 @@ def test_a_crashed_writer_and_two_writers(spark, tmp_path, monkeypatch):
     archive.replace_sessions(rows(spark, [5], "x").limit(0), root)
     assert archive.vacuum(spark, root) == 1 and archive.snapshots(root) == [4]
     assert told(archive.read_sessions(spark, root)) == {(1, "a"): 50, (5, "w"): 50, (6, "w"): 50}
+
+
+def test_copies_keep_their_keys_and_report_each_error(spark, documents, tmp_path):
+    from tideline.sources import sinks
+
+    source, target = f"file://{tmp_path}/raw", f"file://{tmp_path}/lake"
+    archive.envelopes_of(documents).write.format("raw_documents").option("path", source).mode("append").save()
+    blocked = tmp_path / "lake/raw/year=2023/meeting=1/session=3"
+    blocked.parent.mkdir(parents=True)
+    blocked.write_text("a file where a folder must be")
+    found = {r.target: r for r in sinks.copy_documents(spark, source, target, "lake").collect()}
+    failed = [r for r in found.values() if r.status == "failed"]
+    assert len(found) == 14 and len(failed) == 2 and all("session=3" in r.target and r.error for r in failed)
+    blocked.unlink()
+    assert {r.target for r in sinks.copy_documents(spark, source, target, "lake").collect() if r.status == "copied"} == {r.target for r in failed}
+    there = envelopes.discover(spark, target)
+    keys = ["endpoint", "year", "meeting_key", "session_key", "driver_number", "value"]
+    assert sorted(map(str, there.select(keys).collect())) == sorted(map(str, envelopes.discover(spark, source).where("year is not null").select(keys).collect()))
+    (tmp_path / "lake/raw/year=2023/endpoint=meetings/meetings.json").unlink()
+    again = {r.target: r.status for r in sinks.copy_documents(spark, source, target, "lake").collect()}
+    assert [t for t, s in again.items() if s == "copied"] == ["raw/year=2023/endpoint=meetings/meetings.json"]
+    back = sinks.copy_documents(spark, target, f"file://{tmp_path}/same")
+    assert {r.status for r in back.collect()} == {"copied"} and sorted(r.file.split("/lake/")[1] for r in back.collect()) == sorted(r.file.split("/same/")[1] for r in envelopes.discover(spark, f"file://{tmp_path}/same").collect())
+    files = [r.file for r in envelopes.listed(there).collect()]
+    assert files == sorted(files) and len(files) == 14
+
+
+def test_a_session_scope_brings_its_catalogues(spark):
+    rows = [("laps", 2023, 1, 7), ("laps", 2023, 1, 8), ("meetings", 2023, None, None), ("meetings", 2022, None, None), ("sessions", 2023, 1, None), ("sessions", 2023, 2, None)]
+    docs = spark.createDataFrame(rows, "endpoint string, year int, meeting_key long, session_key long")
+    got = sorted(map(tuple, envelopes.in_scope(docs, envelopes.Scope(2023, 1, 7)).collect()))
+    assert got == [("laps", 2023, 1, 7), ("meetings", 2023, None, None), ("sessions", 2023, 1, None)]
+    assert envelopes.in_scope(docs, envelopes.Scope(2023)).count() == 5 and envelopes.in_scope(docs, envelopes.Scope()).count() == 6
+
+
+def test_plans_and_fingerprints(spark, tmp_path):
+    from tideline.plans import incremental
+
+    units = spark.createDataFrame([(2024, 9), (2023, 7)], "year int, session_key int")
+    assert incremental.write_plan(units, f"file://{tmp_path}/plan.json") == 2
+    assert json.loads((tmp_path / "plan.json").read_text()) == {"units": [{"session_key": 7, "year": 2023}, {"session_key": 9, "year": 2024}]}
+    a, ignored = {"scan": {"years": [1], "kinds": ["x"]}, "check": {"most": 5}}, {"scan": {"years", "overwrite"}}
+    same = {"check": {"most": 5}, "scan": {"kinds": ["x"], "overwrite": True, "years": [2]}}
+    assert incremental.config_fingerprint(a, ignored) == incremental.config_fingerprint(same, ignored) != incremental.config_fingerprint({**a, "check": {"most": 6}}, ignored)

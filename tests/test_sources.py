@@ -253,6 +253,9 @@ def test_saved_package_scores_alike_and_refuses_changes(spark, tmp_path):
     scoring.save_package(spark, folder, contract, encoder, model, {"rows": 50})
     again = scoring.load_package(spark, folder)
     assert again == (contract, encoder, model)
+    assert scoring.provenance(spark, folder, {"rows": 50}) == {"rows": 50}
+    with pytest.raises(ValueError, match="elsewhere: rows"):
+        scoring.provenance(spark, folder, {"rows": 51})
     (tmp_path / "pkg" / "model.json").write_text('{"intercept": 0, "coefficients": {}}')
     for crc in tmp_path.glob("pkg/.model.json.crc"):
         crc.unlink()

@@ -130,3 +130,30 @@ def replaced_sessions(spark, sf_dir):
     archive.replace_sessions(e, root)
     archive.replace_sessions(e.where("session_key % 5 = 0 and event_id % 2 = 1").withColumn("value", F.col("value") * 2), root)
     return archive.read_sessions(spark, root).select("session_key", "event_id", rounded(F.col("value")).alias("value"))
+
+
+@query(f"""
+WITH {DOCUMENTS}, d AS (SELECT DISTINCT endpoint, year, meeting_key, session_key FROM ev)
+SELECT endpoint, year, session_key, 'copied' AS first, 'skipped' AS second FROM d
+""")
+def copied_documents(spark, sf_dir):
+    """Raw documents copied to another layout and found there under their keys; a second run copies none (SNK-07, SRC-03)."""
+    from tideline.sources import sinks
+
+    source, target = raw_documents(spark, sf_dir).select("file").first()[0].split("/endpoint=")[0], new_folder(spark)
+    once, again = (sinks.copy_documents(spark, source, target, "lake").select("target", "status") for _ in range(2))
+    runs = once.withColumnRenamed("status", "first").join(again.withColumnRenamed("status", "second"), "target")
+    found = envelopes.discover(spark, target).withColumn("target", F.regexp_extract("file", "(raw/.*)$", 1))
+    return found.join(runs, "target").select("endpoint", "year", "session_key", "first", "second").distinct()
+
+
+@query(f"""
+WITH {DOCUMENTS}, d AS (SELECT DISTINCT CASE endpoint WHEN 'laps' THEN 'meetings' WHEN 'car_data' THEN 'sessions' ELSE endpoint END AS endpoint, year, meeting_key, session_key FROM ev)
+SELECT endpoint, year, meeting_key, session_key FROM d WHERE (year = 2021 AND session_key = 5) OR (year = 2021 AND (endpoint = 'meetings' OR endpoint = 'sessions' AND meeting_key = 0))
+""")
+def scoped_documents(spark, sf_dir):
+    """The documents of a session with the catalogues of its season (DQ-12)."""
+    named = F.when(F.col("endpoint") == "laps", "meetings").when(F.col("endpoint") == "car_data", "sessions").otherwise(F.col("endpoint"))
+    documents = raw_documents(spark, sf_dir).withColumn("endpoint", named)
+    found = envelopes.in_scope(documents, envelopes.Scope(2021, 0, 5))
+    return found.select("endpoint", "year", "meeting_key", "session_key").distinct()

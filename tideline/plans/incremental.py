@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideline.sources import archive, sinks
+
 STAGES = ["raw", "laps", "features"]
 
 
@@ -39,3 +41,19 @@ def completeness(sessions: DataFrame, verified: DataFrame, years: list[int]) ->
 def missing_artifacts(expected: DataFrame, stored: DataFrame, absences: DataFrame, on: list[str]) -> DataFrame:
     """Expected documents that are neither stored nor known to be absent at the source (PV-03, PV-07, JN-18)."""
     return expected.join(stored.select(*on).distinct(), on, "left_anti").join(absences.select(*on).distinct(), on, "left_anti")
+
+
+def config_fingerprint(config: dict, ignored: dict[str, set[str]]) -> str:
+    """A digest of a configuration's sections without what does not change results (PV-05).
+
+    ``ignored`` names those settings by section, such as years and overwrite, which only
+    say what a run covers.  The order of keys does not matter.
+    """
+    return sinks.digest({section: {k: v for k, v in values.items() if k not in ignored.get(section, ())} if isinstance(values, dict) else values for section, values in config.items()})
+
+
+def write_plan(units: DataFrame, uri: str) -> int:
+    """Write a plan's work units, some hundred sessions, as one JSON document that appears whole; the number of units (SNK-11)."""
+    rows = [r.asDict() for r in units.orderBy(*units.columns).collect()]
+    archive.write_json(uri, sinks.canonical_json({"units": rows}), replace=True)
+    return len(rows)

@@ -87,3 +87,13 @@ def load_package(spark: SparkSession, folder: str) -> tuple[Contract, Encoder, t
         raise ValueError("the model weighs other columns than the encoder gives")
     order = {n: parts["model"]["coefficients"][n] for n in encoder.names}
     return contract, encoder, (parts["model"]["intercept"], order)
+
+
+def provenance(spark: SparkSession, folder: str, expected: dict | None = None) -> dict:
+    """Where a published package comes from (SV-09); refused if it was changed since, or if it is not what ``expected`` says."""
+    load_package(spark, folder)
+    found = sinks.read_json(spark, f"{folder}/provenance.json")
+    wrong = sorted(k for k, v in (expected or {}).items() if found.get(k) != v)
+    if wrong:
+        raise ValueError(f"the package comes from elsewhere: {', '.join(wrong)}")
+    return found

@@ -121,6 +121,20 @@ def write_json(uri: str, data: bytes, replace: bool = False) -> bool:
             files.delete_file(staged)
 
 
+def copied(source: str, target: str, replace: bool) -> tuple[str, int, str | None]:
+    """Copy one file, which appears whole: (copied, skipped or failed, bytes, error)."""
+    try:
+        here, path = FileSystem.from_uri(source)
+        there, name = FileSystem.from_uri(target)
+        if not replace and there.get_file_info(name).type != FileType.NotFound:
+            return "skipped", 0, None
+        with here.open_input_stream(path) as f:
+            data = f.read()
+        return ("copied", len(data), None) if write_json(target, data, replace) else ("skipped", 0, None)
+    except (OSError, ValueError) as e:
+        return "failed", 0, str(e)
+
+
 def envelopes_of(records: DataFrame, unique: bool = False) -> DataFrame:
     """(path, value): documents {endpoint, parameters, retrieved_at, data} from rows of endpoint,
     year, meeting_key, session_key, driver_number, parameters and data (JSON texts) and retrieved_at (SNK-01).

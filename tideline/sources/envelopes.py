@@ -52,6 +52,40 @@ def discover(spark: SparkSession, root: str, endpoints: list[str] | None = None,
     return keyed.where(F.col("endpoint").isin(endpoints)) if endpoints else keyed
 
 
+def in_scope(documents: DataFrame, scope: Scope) -> DataFrame:
+    """The documents of a scope; for a session also the catalogues of its season, without which
+    identifiers could not be checked (DQ-12): all meetings, and the sessions of its meeting.
+
+    Catalogues stand a level above sessions, so their paths name no session.
+    """
+    wanted = scope.predicate()
+    if scope.session_key is not None:
+        season = F.col("year") == scope.year if scope.year is not None else F.lit(True)
+        sessions = F.col("endpoint") == "sessions"
+        if scope.meeting_key is not None:
+            sessions &= F.col("meeting_key") == scope.meeting_key
+        wanted = F.coalesce(wanted, F.lit(False)) | F.coalesce(season & ((F.col("endpoint") == "meetings") | sessions), F.lit(False))
+    return documents.where(wanted)
+
+
+def listed(documents: DataFrame) -> DataFrame:
+    """(file, keys) in the order of paths, whatever order the file system lists them in (SO-07)."""
+    return documents.select("file", "endpoint", "year", "meeting_key", "session_key", "driver_number").orderBy("file")
+
+
+#: Where a document of each layout lies below its root.
+LAYOUTS = {"plain": ["{endpoint}", "year={year}", "meeting_key={meeting_key}", "session_key={session_key}"], "lake": ["raw", "year={year}", "meeting={meeting_key}", "session={session_key}", "endpoint={endpoint}"]}
+
+
+def place_in(layout: str) -> Column:
+    """The path of a document in a layout, from its keys and its file's name; keys that are null have no folder."""
+    def folder(part: str) -> Column:
+        fixed, _, key = part.rstrip("}").partition("{")
+        return F.concat(F.lit(fixed), F.col(key).cast("string")) if key else F.lit(fixed)  # null if the key is
+
+    return F.concat_ws("/", *[folder(p) for p in LAYOUTS[layout]], F.regexp_extract("file", "[^/]+$", 0))
+
+
 def parsed(documents: DataFrame) -> DataFrame:
     """Documents with ``doc`` (null if unreadable), ``readable`` and ``entries``, 0 where data is no list (SRC-01)."""
     doc = F.try_parse_json("value")

@@ -5,12 +5,15 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections.abc import Iterator
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.sources import archive
+from tideline.sources import archive, envelopes
+from tideline.sources.scratch import keep
 
 
 def write_sessions(table: DataFrame, path: str) -> None:
@@ -33,9 +36,27 @@ def write_report_csv(findings: DataFrame, path: str) -> None:
     findings.orderBy(*findings.columns).coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
 
 
-def copy_tables(spark: SparkSession, source: str, target: str) -> None:
-    """Copy a table to another place or layout; a second run changes nothing (SNK-07)."""
-    spark.read.option("recursiveFileLookup", "true").parquet(source).write.mode("overwrite").parquet(target)
+def copy_documents(spark: SparkSession, source: str, target: str, layout: str | None = None, overwrite: bool = False) -> DataFrame:
+    """Copy raw documents to another store, and to another layout if one is named: (file, target, status, bytes, error), written (SNK-07).
+
+    Status is copied, skipped (a document of that name is there, unless ``overwrite``) or
+    failed: a file that cannot be read or written, or whose path names no endpoint, is
+    reported and the others go on.  Each copy appears whole, so a second run only
+    makes up for what is missing.  Bytes go from task to task's file and through no driver.
+    """
+    root = source.rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").load(source).select(F.col("path").alias("file"))
+    shown = files.where(~F.col("file").rlike(r"/[._][^/]*$|\.tmp(?:\.|$)|/[.][^/]*/")).withColumns(envelopes.path_keys(F.col("file")))
+    kept = F.regexp_replace("file", f"^.*?{re.escape(root.partition('://')[2] or root)}/", "")
+    placed = shown.select("file", (envelopes.place_in(layout) if layout else kept).alias("at"), F.col("endpoint").isNotNull().alias("known"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [archive.copied(r["file"], f"{target.rstrip('/')}/{r['at']}", overwrite) if r["known"] or not layout else ("failed", 0, "no endpoint in the path") for r in batch.to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["file"], batch["at"], *(pa.array([t[i] for t in told], k) for i, k in enumerate((pa.string(), pa.int64(), pa.string())))], ["file", "target", "status", "bytes", "error"])
+
+    dealt = placed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return keep(dealt.mapInArrow(run, "file string, target string, status string, bytes long, error string"))
 
 
 def _files(spark: SparkSession, path: str):
