@@ -18,20 +18,75 @@ from tideline.operators.specs import BRAKE_MOST, DRS_OPEN, GEAR_MOST, THROTTLE_M
 
 GRAIN = ["session_key", "driver_number", "lap_number"]
 DRIVER = GRAIN[:2]
-WEATHER = "air_temperature track_temperature humidity pressure rainfall wind_speed wind_direction".split()
-#: The table's columns, in order, by type.
-SCHEMA = {
-    "bigint": "year meeting_key session_key driver_number lap_number i1_speed i2_speed st_speed stint_number tyre_age stint_lap position_at_lap_start position_at_lap_end position_changes_in_lap interval_samples rainfall wind_direction speed_min speed_max rpm_min rpm_max n_gear_max car_data_samples car_data_invalid_samples rc_events_in_lap rc_driver_events_in_lap".split(),
-    "boolean": "is_pit_out_lap is_last_lap_for_driver has_complete_window pit_in_lap is_lapped".split(),
-    "string": "team_name driver_acronym compound".split(),
-}
-COLUMNS = (
-    "year meeting_key session_key driver_number lap_number team_name driver_acronym lap_start_time lap_end_time lap_duration duration_sector_1 duration_sector_2 duration_sector_3 "
-    "i1_speed i2_speed st_speed is_pit_out_lap is_last_lap_for_driver has_complete_window stint_number compound tyre_age stint_lap pit_in_lap pit_duration pit_lane_duration "
-    "position_at_lap_start position_at_lap_end position_changes_in_lap gap_to_leader_s interval_s is_lapped interval_samples "
-    f"{' '.join(WEATHER)} weather_age_s speed_min speed_mean speed_max rpm_min rpm_mean rpm_max throttle_mean brake_applied_share drs_active_share n_gear_max "
-    "car_data_samples car_data_invalid_samples rc_events_in_lap rc_driver_events_in_lap"
-).split()
+#: The fields of weather that a lap carries.
+WEATHER = [
+    "air_temperature",
+    "track_temperature",
+    "humidity",
+    "pressure",
+    "rainfall",
+    "wind_speed",
+    "wind_direction",
+]
+#: The table's columns and their types, in the order of the contract.
+TYPED = [
+    ("year", "bigint"),
+    ("meeting_key", "bigint"),
+    ("session_key", "bigint"),
+    ("driver_number", "bigint"),
+    ("lap_number", "bigint"),
+    ("team_name", "string"),
+    ("driver_acronym", "string"),
+    ("lap_start_time", "timestamp"),
+    ("lap_end_time", "timestamp"),
+    ("lap_duration", "double"),
+    ("duration_sector_1", "double"),
+    ("duration_sector_2", "double"),
+    ("duration_sector_3", "double"),
+    ("i1_speed", "bigint"),
+    ("i2_speed", "bigint"),
+    ("st_speed", "bigint"),
+    ("is_pit_out_lap", "boolean"),
+    ("is_last_lap_for_driver", "boolean"),
+    ("has_complete_window", "boolean"),
+    ("stint_number", "bigint"),
+    ("compound", "string"),
+    ("tyre_age", "bigint"),
+    ("stint_lap", "bigint"),
+    ("pit_in_lap", "boolean"),
+    ("pit_duration", "double"),
+    ("pit_lane_duration", "double"),
+    ("position_at_lap_start", "bigint"),
+    ("position_at_lap_end", "bigint"),
+    ("position_changes_in_lap", "bigint"),
+    ("gap_to_leader_s", "double"),
+    ("interval_s", "double"),
+    ("is_lapped", "boolean"),
+    ("interval_samples", "bigint"),
+    ("air_temperature", "double"),
+    ("track_temperature", "double"),
+    ("humidity", "double"),
+    ("pressure", "double"),
+    ("rainfall", "bigint"),
+    ("wind_speed", "double"),
+    ("wind_direction", "bigint"),
+    ("weather_age_s", "double"),
+    ("speed_min", "bigint"),
+    ("speed_mean", "double"),
+    ("speed_max", "bigint"),
+    ("rpm_min", "bigint"),
+    ("rpm_mean", "double"),
+    ("rpm_max", "bigint"),
+    ("throttle_mean", "double"),
+    ("brake_applied_share", "double"),
+    ("drs_active_share", "double"),
+    ("n_gear_max", "bigint"),
+    ("car_data_samples", "bigint"),
+    ("car_data_invalid_samples", "bigint"),
+    ("rc_events_in_lap", "bigint"),
+    ("rc_driver_events_in_lap", "bigint"),
+]
+COLUMNS = [name for name, _ in TYPED]
 
 
 def laps_with_windows(laps: DataFrame) -> DataFrame:
@@ -143,17 +198,13 @@ def finished(table: DataFrame) -> DataFrame:
     """Absent columns as null, forced types and the fixed order (PRJ-03 to PRJ-06)."""
     has = lambda c: F.col(c) if c in table.columns else F.lit(None)
     new: dict[str, Column] = {}
-    for c in COLUMNS:
-        if c in SCHEMA["bigint"]:
+    for c, kind in TYPED:
+        if kind == "bigint":
             new[c] = whole(has(c).cast("double"))
-        elif c in SCHEMA["boolean"]:
-            new[c] = has(c).cast("boolean")
-        elif c in SCHEMA["string"]:
-            new[c] = has(c).cast("string")
-        elif c.endswith("_time"):
-            new[c] = has(c).cast("timestamp")
-        else:
+        elif kind == "double":
             new[c] = real(has(c).cast("double"))
+        else:
+            new[c] = has(c).cast(kind)
     new["pit_in_lap"] = new["pit_duration"].isNotNull() | new["pit_lane_duration"].isNotNull()
     for c in ("rc_events_in_lap", "rc_driver_events_in_lap"):
         new[c] = F.coalesce(new[c], F.lit(0).cast("bigint"))

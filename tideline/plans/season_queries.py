@@ -129,7 +129,12 @@ def _results(spark, results: list[guards.Result]) -> DataFrame:
 
 def stored_features(spark, sf_dir) -> DataFrame:
     """The whole feature table, written once: guards and models read it many times."""
-    return keep(features.feature_table(lap_table.lap_table(season(spark, sf_dir), 7200)))
+    return features.selected(stored_history(spark, sf_dir))
+
+
+def stored_history(spark, sf_dir) -> DataFrame:
+    """All columns of the laps with their history, written once."""
+    return keep(features.with_history(lap_table.lap_table(season(spark, sf_dir), 7200)))
 
 
 def _guards_sql(rows: list[tuple[str, str, bool]]) -> str:
@@ -150,7 +155,7 @@ _CORRELATED = " + ".join(_correlated(c) for c in features.FEATURES if c not in f
 @query(_guards_sql([
     ("grain_unique", "SELECT count(*) - count(DISTINCT (session_key, driver_number, lap_number)) FROM f", True),
     ("target_matches_independent_derivation", "SELECT count(*) FROM f LEFT JOIN f g ON g.session_key = f.session_key AND g.driver_number = f.driver_number AND g.lap_number = f.lap_number + 1 WHERE f.next_lap_time IS DISTINCT FROM g.lap_duration", True),
-    ("last_lap_has_no_target", "NULL", False),
+    ("last_lap_has_no_target", "SELECT count(*) FROM f WHERE next_lap_time IS NOT NULL AND lap_number = (SELECT max(lap_number) FROM f g WHERE g.session_key = f.session_key AND g.driver_number = f.driver_number)", True),
     ("target_does_not_cross_driver_or_session", "SELECT count(*) FROM f WHERE next_lap_time IS NOT NULL AND lap_number = (SELECT max(lap_number) FROM f g WHERE g.session_key = f.session_key AND g.driver_number = f.driver_number)", True),
     ("no_forbidden_columns_among_features", "SELECT count(*) FROM (DESCRIBE SELECT * FROM f) WHERE column_name IN ('lap_end_time', 'is_last_lap_for_driver', 'has_complete_window', 'pit_duration', 'pit_lane_duration')", True),
     ("rolling_features_use_only_the_past", "SELECT count(*) FROM (SELECT f.lap_time_roll_mean_3 AS a, avg(g.lap_duration) AS b FROM f JOIN f g ON g.session_key = f.session_key AND g.driver_number = f.driver_number AND g.lap_number BETWEEN f.lap_number - 2 AND f.lap_number GROUP BY f.session_key, f.driver_number, f.lap_number, 1) WHERE abs(a - b) > 1e-5", True),
@@ -158,7 +163,8 @@ _CORRELATED = " + ".join(_correlated(c) for c in features.FEATURES if c not in f
 ]))
 def season_feature_guards(spark, sf_dir):
     """The guards of the feature table, each recomputed independently (G5-1 to G5-7)."""
-    return _results(spark, features.check(stored_features(spark, sf_dir)))
+    full = stored_history(spark, sf_dir)
+    return _results(spark, features.check(features.selected(full), marked=full))
 
 
 def _model_guards_sql() -> str:

@@ -8,17 +8,76 @@ from pyspark.sql import functions as F
 from tideline.functions.scalars import instant, number
 from tideline.operators.quality import kind
 
-#: Columns of each kind of record as the lap table reads them: number, instant, text, flag or gap.
+#: Columns of each kind of record as the lap table reads them: number, instant, text, flag or gap.
 COLUMNS = {
-    "laps": {"number": "driver_number lap_number lap_duration duration_sector_1 duration_sector_2 duration_sector_3 i1_speed i2_speed st_speed", "instant": "date_start", "flag": "is_pit_out_lap"},
-    "drivers": {"number": "driver_number", "text": "team_name name_acronym"},
-    "stints": {"number": "driver_number stint_number lap_start lap_end tyre_age_at_start", "text": "compound"},
-    "pit": {"number": "driver_number lap_number pit_duration lane_duration"},
-    "position": {"number": "driver_number position", "instant": "date"},
-    "intervals": {"number": "driver_number", "instant": "date", "gap": "gap_to_leader interval"},
-    "weather": {"number": "air_temperature track_temperature humidity pressure rainfall wind_speed wind_direction", "instant": "date"},
-    "race_control": {"number": "driver_number lap_number", "instant": "date"},
-    "car_data": {"number": "driver_number speed rpm n_gear throttle brake drs", "instant": "date"},
+    "laps": [
+        ("driver_number", "number"),
+        ("lap_number", "number"),
+        ("lap_duration", "number"),
+        ("duration_sector_1", "number"),
+        ("duration_sector_2", "number"),
+        ("duration_sector_3", "number"),
+        ("i1_speed", "number"),
+        ("i2_speed", "number"),
+        ("st_speed", "number"),
+        ("date_start", "instant"),
+        ("is_pit_out_lap", "flag"),
+    ],
+    "drivers": [
+        ("driver_number", "number"),
+        ("team_name", "text"),
+        ("name_acronym", "text"),
+    ],
+    "stints": [
+        ("driver_number", "number"),
+        ("stint_number", "number"),
+        ("lap_start", "number"),
+        ("lap_end", "number"),
+        ("tyre_age_at_start", "number"),
+        ("compound", "text"),
+    ],
+    "pit": [
+        ("driver_number", "number"),
+        ("lap_number", "number"),
+        ("pit_duration", "number"),
+        ("lane_duration", "number"),
+    ],
+    "position": [
+        ("driver_number", "number"),
+        ("position", "number"),
+        ("date", "instant"),
+    ],
+    "intervals": [
+        ("driver_number", "number"),
+        ("date", "instant"),
+        ("gap_to_leader", "gap"),
+        ("interval", "gap"),
+    ],
+    "weather": [
+        ("air_temperature", "number"),
+        ("track_temperature", "number"),
+        ("humidity", "number"),
+        ("pressure", "number"),
+        ("rainfall", "number"),
+        ("wind_speed", "number"),
+        ("wind_direction", "number"),
+        ("date", "instant"),
+    ],
+    "race_control": [
+        ("driver_number", "number"),
+        ("lap_number", "number"),
+        ("date", "instant"),
+    ],
+    "car_data": [
+        ("driver_number", "number"),
+        ("speed", "number"),
+        ("rpm", "number"),
+        ("n_gear", "number"),
+        ("throttle", "number"),
+        ("brake", "number"),
+        ("drs", "number"),
+        ("date", "instant"),
+    ],
 }
 
 
@@ -39,11 +98,10 @@ def typed(records: DataFrame, endpoint: str) -> DataFrame:
     cols = {"session_key": F.coalesce(F.try_variant_get("rec", "$.session_key", "long"), F.col("session_key"))}
     if endpoint == "laps":
         cols |= {"meeting_key": F.coalesce(F.try_variant_get("rec", "$.meeting_key", "long"), F.col("meeting_key")), "year": F.col("year").cast("long")}
-    for what, names in COLUMNS[endpoint].items():
-        for n in names.split():
-            cols[n] = field(n, what)
-            if what == "gap":
-                cols[f"{n}_is_text"] = F.coalesce(kind(F.try_variant_get("rec", f"$.{n}", "variant")) == "str", F.lit(False))
+    for n, what in COLUMNS[endpoint]:
+        cols[n] = field(n, what)
+        if what == "gap":
+            cols[f"{n}_is_text"] = F.coalesce(kind(F.try_variant_get("rec", f"$.{n}", "variant")) == "str", F.lit(False))
     pos = F.struct("file", "pos").alias("pos")
     return records.where((F.col("endpoint") == endpoint) & F.schema_of_variant("rec").startswith("OBJECT")).select(*[c.alias(n) for n, c in cols.items()], pos)
 
