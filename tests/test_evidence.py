@@ -80,3 +80,14 @@ def test_totals_come_from_the_pass_that_writes(spark, tmp_path, drivers):
     n = len(drivers)
     assert totals == {"files": n, "files_unreadable": 1, "samples_read": 4 * n, "samples_in_window": 3 * n, "invalid_samples": n}
     assert table.count() == 2 * n and (table.agg(F.sum("car_data_samples")).first()[0] or 0) == 3 * n
+
+
+def test_the_index_carries_no_report_and_judges_reports_in_rows(spark):
+    """A report of many sessions would stand once for each of them; its rows of one name are one report."""
+    s = lambda k: {"year": 2023, "meeting_key": 1, "session_key": k}
+    m2 = lambda entries, done: json.dumps({"pipeline_name": "historical_extraction", "entries": [s(k) for k in entries], "sessions_processed": done, "started_at": "a", "finished_at": "b"})
+    reports = spark.createDataFrame([("m2/1", m2(range(0, 500), list(range(0, 500, 2)))), ("m2/1", m2(range(500, 1000), [None, *range(500, 1000, 2), 3])), ("m2/0", m2([7], [7])), (None, m2([8], []))], "name string, value string")
+    indexed = report_index.index(reports)
+    assert "report" not in indexed.columns and indexed.count() == 1002
+    got = {r.session_key: (r.name, r.reason) for r in report_index.judged(report_index.newest(indexed)).collect()}
+    assert got == {k: ("m2/1", "session not processed" if k % 2 else None) for k in range(1000)}
