@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm import ann_forest, embedding_dedup, url_filter
 from tideline.llm.common import among, connected_components
-from tideline.llm.queries import oracle_sql
+from tideline.llm.queries import op9_url_filter, oracle_sql
 
 SCHEMA = "vec_id long, embedding array<float>, label int, id string, v int, dims int, q int, n int, key string"
 
@@ -108,6 +108,17 @@ def test_urls(spark):
     assert url_filter.url_verdicts(pages).count() == len(PAGES) and url_filter.url_verdicts(pages.limit(0)).count() == 0
 
 
+def test_urls_by_the_rules_of_the_contract(spark, tmp_path):
+    """Each rule's word as in the contract's list; the longest rule wins on subdomains too."""
+    rows = [
+        (1, "http://a.com/en/x", "com/en/", "block"), (2, "http://example.com/en/71", "example.com/en/7", "allow"), (3, "http://a.net/de/1", "net/de/", "allow"),
+        (4, "http://sub.example.net/de/8", "example.net/de/8", "block"), (5, "http://example.net/de/7", "net/de/", "allow"), (6, "http://x.org/es/", "org/es/", "block"), (7, "http://x.org/fr/", None, "allow"),
+    ]
+    spark.createDataFrame([(i, u, "") for i, u, _, _ in rows], "page_id long, url string, html string").write.parquet(f"file://{tmp_path}/pages.parquet")
+    got = sorted((r.page_id, r.rule, r.verdict) for r in op9_url_filter(spark, f"file://{tmp_path}").collect())
+    assert got == [(i, rule, verdict) for i, _, rule, verdict in rows]
+
+
 def test_urls_by_one_name(spark):
     """Host case, default ports, dot segments, an empty path and fragments make no other page."""
     link = '<link rel="canonical" href="{}">'.format
