@@ -223,6 +223,29 @@ def test_sparse_least_squares_is_that_of_least_norm(spark):
         regress.fit_linear(e.compact(rows.limit(0), "y"), e.dense, e.levels, "y")
 
 
+def test_level_effects_of_any_number_of_levels(spark, monkeypatch):
+    """The solution of least norm, as the dense solver's, with levels that stay a table beyond the driver's bound."""
+    monkeypatch.setattr(statistics, "MOST_LEVELS", 3)
+    rng = np.random.default_rng(9)
+    x, at = rng.standard_normal((400, 4)) * [1, 50, 1, 1] + [0, 1000, 0, 0], rng.integers(0, 60, 400)
+    x[:, 2], x[:, 3] = x[:, 0], at % 7  # two equal columns, and one that does not vary within a level
+    y = x[:, 0] * 3 - x[:, 1] / 7 + rng.standard_normal(60)[at] + rng.standard_normal(400) / 10
+    names = ["x0", "x1", "x2", "x3"]
+    rows = spark.createDataFrame([(*map(float, x[i]), float(y[i]), f"k{at[i]:02d}") for i in range(400)], "x0 double, x1 double, x2 double, x3 double, y double, k string").repartition(5)
+    odd = rows.limit(9).unionByName(rows.limit(3).withColumn("k", F.lit("never")))
+    for dense in (names, ["x1"], []):
+        levels = {"k": sorted({f"k{i:02d}" for i in at})}
+        intercept, w = regress.fit_linear(rows, dense, levels, "y")
+        model = regress.fit_level_effects(rows.unionByName(rows.limit(2).withColumn("k", F.lit(None).cast("string"))), dense, "k", "y")
+        assert np.allclose([model.dense[c] for c in dense], [w[c] for c in dense], atol=1e-7) and abs(model.intercept - intercept) < 1e-5
+        got = {r.level: r.weight for r in model.levels.collect()}
+        assert len(got) == len(levels["k"]) and all(abs(got[v] - w[f"k_{v}"]) < 1e-6 for v in got)
+        a, b = (sorted(r.p for r in df.collect()) for df in (regress.predicted(odd, dense, levels, (intercept, w), "p"), regress.predicted_by_level(odd, "k", model, "p")))
+        assert len(b) == 12 and np.allclose(a, b, atol=1e-6)
+    with pytest.raises(ValueError, match="no training rows"):
+        regress.fit_level_effects(rows.limit(0), ["x0"], "k", "y")
+
+
 def test_sums_by_level_are_sparse(spark):
     """A task hands on what it met: no square of all levels."""
     rows = spark.range(3000).select(F.col("id").cast("double").alias("x"), F.col("id").cast("string").alias("k"), (F.col("id") * 2).cast("double").alias("y"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.scalars import finite
+from tideline.sources.scratch import keep
 
 
 def least_squares(rows: DataFrame, features: list[str], target: str) -> tuple[float, dict[str, float]]:
@@ -184,6 +185,75 @@ def fit_linear(rows: DataFrame, dense: list[str], categories: dict[str, list[str
     return intercept, weights
 
 
+@dataclass
+class LevelEffects:
+    """Intercept, coefficients of dense columns, and ``levels``, a stored table (level, weight, m0, m1, ...)
+    with the means of the dense columns and the target in each level."""
+
+    intercept: float
+    dense: dict[str, float]
+    levels: DataFrame
+
+
+def fit_level_effects(rows: DataFrame, dense: list[str], category: str, target: str, rcond: float = 1e-10) -> LevelEffects:
+    """Least squares over dense columns and one category of any number of levels: the solution
+    of least norm, as :func:`fit_linear` gives it (ML-04, ML-06).
+
+    Means and covariances within each level are one aggregate by level.  The system of the dense
+    columns is the sum of the levels' covariances; a level's weight follows from its own means,
+    so levels stay rows of a table.  Only sums of the size of the dense columns reach the driver.
+    Rows with a null level, dense value or target teach nothing.
+    """
+    d, kept = len(dense), [category, *dense, target]
+    x, y = [F.col(f"`{c}`").cast("double") for c in dense], F.col(f"`{target}`").cast("double")
+    taught = rows.select(*[F.col(f"`{c}`") for c in kept]).dropna()
+    centre = list(taught.agg(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in [*x, y]]).first())
+    inner = [F.covar_pop(x[i], [*x, y][j]).alias(f"c{i}_{j}") for i in range(d) for j in range(i, d + 1)]
+    by_level = keep(taught.groupBy(F.col(f"`{category}`").alias("level")).agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate([*x, y])], *inner))
+    within = [F.sum(F.col("n") * F.col(f"c{i}_{j}")) for i in range(d) for j in range(i, d + 1)]
+    means = [F.lit(1.0), *[F.col(f"m{i}") - F.lit(c) for i, c in enumerate(centre)]]  # of level: the shift of all levels, dense columns, target
+    between = [F.sum(means[i] * means[j]) for i in range(d + 2) for j in range(i, d + 2)]
+    told = list(by_level.agg(*within, *between).first())
+    if told[-1] is None:
+        raise ValueError("no training rows")
+
+    def symmetric(values: list[float], width: int, high: int) -> np.ndarray:
+        full, at = np.zeros((high, high)), iter(values)
+        for i in range(width):
+            for j in range(i, high):
+                full[i, j] = full[j, i] = next(at)
+        return full
+
+    s, m = symmetric(told[: len(within)], d, d + 1), symmetric(told[len(within) :], d + 2, d + 2)
+    b, silent = np.zeros(d), np.zeros((d, 0))
+    if d:
+        scale = np.sqrt(np.maximum(np.diag(s)[:d], 0))
+        scale[scale == 0] = 1.0
+        value, vector = np.linalg.eigh(s[:d, :d] / np.outer(scale, scale))
+        open_, basis = value > rcond * max(value.max(), 1e-300), vector / scale[:, None]
+        b, silent = basis[:, open_] @ ((basis[:, open_].T @ s[:d, d]) / value[open_]), basis[:, ~open_]
+    # Along these the rows say nothing: a shift of all levels, and dense columns that do not vary within any level.
+    free = np.zeros((d + 2, 1 + silent.shape[1]))  # a direction's level part is means @ free, its dense part silent
+    free[0, 0], free[1 : 1 + d, 1:] = 1.0, -silent
+    weight = np.r_[0.0, -b, 1.0]  # a level's weight is means @ weight
+    flat = np.column_stack([np.zeros(d), silent])
+    weight_off = np.linalg.pinv(free.T @ m @ free + flat.T @ flat, rcond=1e-12, hermitian=True) @ (free.T @ m @ weight + flat.T @ b)
+    b, weight = b - flat @ weight_off, weight - free @ weight_off
+    levels = by_level.select("level", sum((F.lit(float(w)) * c for w, c in zip(weight, means)), F.lit(0.0)).alias("weight"), *[f"m{i}" for i in range(d + 1)])
+    return LevelEffects(float(centre[d] - b @ np.array(centre[:d]) - weight[0]), dict(zip(dense, map(float, b))), levels)
+
+
+def predicted_by_level(rows: DataFrame, category: str, model: LevelEffects, name: str) -> DataFrame:
+    """``rows`` with a prediction; a level that the model does not know weighs nothing.
+
+    In a known level it is taken from that level's means, where intercept and weight cancel.
+    """
+    joined = rows.join(model.levels.select([F.col(c).alias(f"_{c}") for c in model.levels.columns]), F.col(f"`{category}`") == F.col("_level"), "left")
+    away = sum((F.lit(b) * (F.col(f"`{c}`").cast("double") - F.col(f"_m{i}")) for i, (c, b) in enumerate(model.dense.items())), F.lit(0.0))
+    unknown = sum((F.lit(b) * F.col(f"`{c}`").cast("double") for c, b in model.dense.items()), F.lit(model.intercept))
+    return joined.withColumn(name, F.when(F.col("_level").isNotNull(), F.col(f"_m{len(model.dense)}") + away).otherwise(unknown)).drop(*[f"_{c}" for c in model.levels.columns])
+
+
 def predicted(rows: DataFrame, dense: list[str], categories: dict[str, list[str]], model: tuple[float, dict[str, float]], name: str) -> DataFrame:
     """``rows`` of dense columns and columns of levels with a prediction; levels that the
     model does not know weigh nothing.  A category's weights are its parameters: they are broadcast."""

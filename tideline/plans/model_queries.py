@@ -35,9 +35,8 @@ b AS (SELECT sum((l_quantity - q) * (l_extendedprice - y)) / sum((l_quantity - q
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(y + b * (l_quantity - q), 3) AS predicted FROM lineitem JOIN m USING (l_partkey), b
 """)
 def level_effects_predict(spark, sf_dir):
-    """Least squares with a level for each part, from sums by level alone (ML-04, ML-06)."""
-    rows = table(spark, sf_dir, "lineitem").withColumn("part", F.col("l_partkey").cast("string"))
-    levels = {"part": statistics.summaries(statistics.value_counts(rows, [], ["part"]), [["all"]])[0].levels["part"]}
-    model = regress.fit_linear(rows, ["l_quantity"], levels, "l_extendedprice")
-    scored = regress.predicted(rows, ["l_quantity"], levels, model, "guess")
+    """Least squares with a level for each part, from means and covariances by level alone (ML-04, ML-06)."""
+    rows = table(spark, sf_dir, "lineitem").where("l_partkey is not null")
+    model = regress.fit_level_effects(rows, ["l_quantity"], "l_partkey", "l_extendedprice")
+    scored = regress.predicted_by_level(rows, "l_partkey", model, "guess")
     return scored.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.round("guess", 3).alias("predicted"))
