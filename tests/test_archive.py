@@ -115,6 +115,24 @@ def test_a_crashed_writer_and_two_writers(spark, tmp_path, monkeypatch):
     assert told(archive.read_sessions(spark, root)) == {(1, "a"): 50, (5, "w"): 50, (6, "w"): 50}
 
 
+def test_files_do_not_grow_with_the_number_of_sessions(spark, tmp_path):
+    """Sessions share folders; of a folder some of whose sessions were replaced only the others' rows are read."""
+    root = f"file://{tmp_path}/table"
+    table = lambda n, v: spark.range(n).select(F.when(F.col("id") > 0, F.col("id")).alias("session_key"), F.lit(v).alias("v"))
+    archive.replace_sessions(table(1500, "a"), root)
+    assert len(list(tmp_path.rglob("*.parquet"))) < 2 * archive.PARTS
+    archive.replace_sessions(table(1500, "b").where("session_key % 5 = 0 or session_key is null"), root)
+    want = {(None if i == 0 else i, "b" if i % 5 == 0 else "a"): 1 for i in range(1500)}
+    assert told(archive.read_sessions(spark, root)) == want
+    archive.vacuum(spark, root)
+    assert told(archive.read_sessions(spark, root)) == want
+    archive.replace_sessions(archive.read_sessions(spark, root), root)
+    before = len(list(tmp_path.rglob("p_part=*")))
+    gone = archive.vacuum(spark, root)  # what was replaced goes once all is written anew
+    assert gone == before - len(list(tmp_path.rglob("p_part=*"))) and len(list(tmp_path.rglob("p_version=*/p_part=*"))) <= archive.PARTS
+    assert told(archive.read_sessions(spark, root)) == want
+
+
 def test_copies_keep_their_keys_and_report_each_error(spark, documents, tmp_path):
     from tideline.sources import sinks
 

@@ -152,6 +152,14 @@ def envelopes_of(records: DataFrame, unique: bool = False) -> DataFrame:
 
 # --- versioned session tables ------------------------------------------------------------------
 
+#: Folders of one version: sessions are dealt to them by hash, so files grow with a table and not in number.
+PARTS = 256
+
+
+def part_of(session: str) -> Column:
+    """The folder of a session within a version."""
+    return F.pmod(F.xxhash64(session), F.lit(PARTS)).cast("string")
+
 
 def snapshots(root: str) -> list[int]:
     """The numbers of a table's snapshots, in order."""
@@ -172,11 +180,13 @@ def replace_sessions(table: DataFrame, root: str, session: str = "session_key")
 
     Readers see the old snapshot until the new one's file appears.  Two writers at once
     cannot both take a number: the later one builds upon the other's and tries again.
-    An empty table makes a snapshot equal to the last one.
+    An empty table makes a snapshot equal to the last one.  A version's files lie in at most
+    ``PARTS`` folders, each sorted by session.
     """
     spark, version = table.sparkSession, uuid.uuid4().hex
     named = table.withColumn("p_session", F.coalesce(F.col(session).cast("string"), F.lit("none")))
-    named.repartition("p_session").write.partitionBy("p_session").parquet(f"{root}/data/p_version={version}")  # a folder of its own, as writers share a folder's unfinished files
+    dealt = named.withColumn("p_part", part_of("p_session")).repartition("p_part").sortWithinPartitions("p_part", "p_session")
+    dealt.write.partitionBy("p_part").parquet(f"{root}/data/p_version={version}")  # a folder of its own, as writers share a folder's unfinished files
     new = keep(named.select("p_session", F.lit(version).alias("p_version")).distinct())
     while True:
         last = (snapshots(root) or [0])[-1]
@@ -191,25 +201,27 @@ def read_sessions(spark: SparkSession, root: str, number: int | None = None) ->
     """The sessions of the newest snapshot, or of snapshot ``number``.
 
     Files are chosen by a join on their folders, so versions that are being written or were
-    replaced are pruned and never read.
+    replaced whole are pruned and never read; of a folder that holds some current sessions the
+    rows of the others go by the same join.
     """
     known = snapshots(root)
     if not known:
         raise FileNotFoundError(f"{root} has no snapshot")
-    stored = spark.read.option("partitionColumnTypeInference", "false").parquet(f"{root}/data").withColumns({c: F.col(c).cast("string") for c in ("p_session", "p_version")})
-    members = _members(spark, root, number or known[-1]).where("p_version > ''")  # Catalyst prunes folders by a side that has a filter
-    return stored.join(members, ["p_session", "p_version"], "left_semi").drop("p_session", "p_version")
+    stored = spark.read.option("partitionColumnTypeInference", "false").parquet(f"{root}/data").withColumns({c: F.col(c).cast("string") for c in ("p_part", "p_version")})
+    members = _members(spark, root, number or known[-1]).where("p_version > ''").withColumn("p_part", part_of("p_session"))  # Catalyst prunes folders by a side that has a filter
+    return stored.join(members, ["p_session", "p_version", "p_part"], "left_semi").drop("p_session", "p_version", "p_part")
 
 
 def vacuum(spark: SparkSession, root: str, retain: int = 1) -> int:
-    """Delete versions that none of the last ``retain`` snapshots holds, and older snapshots; returns how many folders went.
+    """Delete folders of which none of the last ``retain`` snapshots holds a session, and older snapshots; returns how many folders went.
 
-    Readers of older snapshots and writers must have ended.
+    Readers of older snapshots and writers must have ended.  A folder of many sessions stays while
+    one of them is held; writing what :func:`read_sessions` gives as new versions first frees all of it.
     """
     files, top = FileSystem.from_uri(root)
     known = snapshots(root)
-    held = {(r.p_session, r.p_version) for n in known[-retain:] for r in _members(spark, root, n).collect()}  # one entry a session
-    gone = [f.path for f in files.get_file_info(FileSelector(f"{top}/data", recursive=True)) if f.type == FileType.Directory and (m := re.search(r"/p_version=([^/]*)/p_session=([^/]*)\Z", f.path)) and m.groups()[::-1] not in held]
+    held = {(r.p_part, r.p_version) for n in known[-retain:] for r in _members(spark, root, n).select(part_of("p_session").alias("p_part"), "p_version").distinct().collect()}  # one entry a folder
+    gone = [f.path for f in files.get_file_info(FileSelector(f"{top}/data", recursive=True)) if f.type == FileType.Directory and (m := re.search(r"/p_version=([^/]*)/p_part=([^/]*)\Z", f.path)) and m.groups()[::-1] not in held]
     for n in known[:-retain]:
         files.delete_file(f"{top}/current/{n}.json")
     for path in gone:
