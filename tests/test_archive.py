@@ -54,6 +54,30 @@ def test_a_task_that_dies_leaves_nothing_to_see(spark, documents, tmp_path):
     assert envelopes.discover(spark, root).count() == 14 and envelopes.damaged(envelopes.discover(spark, root)).count() == 0
 
 
+def test_free_folders_are_moved_whole_and_others_merged(tmp_path, monkeypatch):
+    """Moves grow with folders whose names are taken, not with documents; append keeps what is there."""
+    from pyarrow.fs import LocalFileSystem
+
+    def tree(top, docs):
+        for name, text in docs.items():
+            (top / name).parent.mkdir(parents=True, exist_ok=True)
+            (top / name).write_text(text)
+
+    moved, publish = [], archive.publish
+    monkeypatch.setattr(archive, "publish", lambda files, *a: moved.append(a) or publish(files, *a))
+    tree(tmp_path / "s1", {f"e=1/k={k}/a.json": "one" for k in range(40)})
+    tree(tmp_path / "s2", {f"e=1/k={k}/a.json": "two" for k in range(38, 60)} | {"e=1/k=38/b.json": "two", "f.json": "two"})
+    (tmp_path / "to/e=1/k=5").mkdir(parents=True)
+    for s in ("s1", "s2"):
+        archive.publish_tree(LocalFileSystem(), str(tmp_path / s), str(tmp_path / "to"), False)
+    found = {str(p.relative_to(tmp_path / "to")): p.read_text() for p in (tmp_path / "to").rglob("*.json")}
+    assert found == {f"e=1/k={k}/a.json": "one" if k < 40 else "two" for k in range(60)} | {"e=1/k=38/b.json": "two", "f.json": "two"}
+    assert len(moved) == 4  # two that were there, one beside them, and one at the top
+    tree(tmp_path / "s3", {"e=1/k=0/a.json": "three"})
+    archive.publish_tree(LocalFileSystem(), str(tmp_path / "s3"), str(tmp_path / "to"), True)
+    assert (tmp_path / "to/e=1/k=0/a.json").read_text() == "three"
+
+
 def test_a_small_document_is_whole_and_once(tmp_path):
     won = []
     threads = [threading.Thread(target=lambda i=i: won.append(archive.write_json(f"file://{tmp_path}/x/one.json", b"%d" % i * 1000))) for i in range(8)]

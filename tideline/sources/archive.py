@@ -9,11 +9,13 @@ made current last by one small file.
 
 from __future__ import annotations
 
+import errno
 import json
 import os
 import re
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
@@ -27,6 +29,8 @@ from tideline.sources.scratch import keep
 #: Within a document's path: plain names, none of them hidden.
 _PLAIN = re.compile(r"[A-Za-z0-9][A-Za-z0-9._=-]*(/[A-Za-z0-9][A-Za-z0-9._=-]*)*\Z")
 _STAGED = ".staged"
+#: Tasks' folders that the driver moves at once.
+MOVERS = 16
 
 
 @dataclass
@@ -74,15 +78,12 @@ class DocumentWriter(DataSourceWriter):
         return Staged(folder, n)
 
     def commit(self, messages: list[Staged | None]) -> None:
-        """Move the documents of the tasks that ended well to their names, each in one step."""
+        """Move the documents of the tasks that ended well to their names, each in one step; tasks' folders are moved side by side."""
         files, top = FileSystem.from_uri(self.root)
-        for m in messages:
-            if m is None or not m.documents:
-                continue
-            staged = f"{top}/{m.folder}"
-            for f in files.get_file_info(FileSelector(staged, recursive=True)):
-                if f.type == FileType.File:
-                    publish(files, f.path, f"{top}/{f.path.removeprefix(staged).lstrip('/')}", self.overwrite)
+        staged = [f"{top}/{m.folder}" for m in messages if m is not None and m.documents]
+        with ThreadPoolExecutor(MOVERS) as pool:
+            for _ in pool.map(lambda folder: publish_tree(files, folder, top, self.overwrite), staged):
+                pass
         self.abort(messages)
 
     def abort(self, messages: list[Staged | None]) -> None:
@@ -91,6 +92,31 @@ class DocumentWriter(DataSourceWriter):
             files.delete_dir(f"{top}/{_STAGED}/{self.job}")
 
 
+def publish_tree(files: FileSystem, staged: str, target: str, replace: bool) -> None:
+    """Give all whole files below a folder their names below ``target``.
+
+    Where a file system renames folders, one whose name is free is moved with all it holds.
+    """
+    if not isinstance(files, LocalFileSystem):
+        for f in files.get_file_info(FileSelector(staged, recursive=True)):
+            if f.type == FileType.File:
+                publish(files, f.path, f"{target}/{f.path.removeprefix(staged).lstrip('/')}", replace)
+        return
+    with os.scandir(staged) as found:
+        entries = sorted((e.name, e.is_dir()) for e in found)
+    for name, folder in entries:
+        here, there = f"{staged}/{name}", f"{target}/{name}"
+        if not folder:
+            publish(files, here, there, replace)
+            continue
+        try:
+            os.rename(here, there)  # takes the place of nothing but an empty folder
+        except OSError as e:
+            if e.errno not in (errno.ENOTEMPTY, errno.EEXIST):
+                raise
+            publish_tree(files, here, there, replace)
+
+
 def publish(files: FileSystem, staged: str, name: str, replace: bool) -> bool:
     """Give a whole file its name in one step; without ``replace`` only if the name is free (SNK-03)."""
     files.create_dir(name.rpartition("/")[0], recursive=True)

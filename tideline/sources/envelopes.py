@@ -7,6 +7,7 @@ instead of being dropped.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,9 +45,20 @@ def path_keys(path: Column) -> dict[str, Column]:
     }
 
 
+def _listing(spark: SparkSession, load: Callable[[], DataFrame]) -> DataFrame:
+    """What ``load`` reads; folders are listed by a few tasks of many folders each instead of a task a folder."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        return load()
+    finally:
+        spark.conf.set(key, before)
+
+
 def discover(spark: SparkSession, root: str, endpoints: list[str] | None = None, scope: Scope = Scope()) -> DataFrame:
     """The documents below ``root`` with their keys and text; hidden and unfinished files are left out (SRC-02)."""
-    files = spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").option("pathGlobFilter", "*.json").text(root).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
+    files = _listing(spark, lambda: spark.read.option("recursiveFileLookup", "true").option("wholetext", "true").option("pathGlobFilter", "*.json").text(root)).select(F.col("_metadata.file_path").alias("file"), F.col("value"))
     shown = files.where(~F.col("file").rlike(r"/[._][^/]*$|\.tmp(?:\.|$)"))
     keyed = shown.withColumns(path_keys(F.col("file"))).where(scope.predicate())
     return keyed.where(F.col("endpoint").isin(endpoints)) if endpoints else keyed
