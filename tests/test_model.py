@@ -68,6 +68,14 @@ def test_encoder_learns_from_train_only(rows):
     assert guards.no_statistics_from("test", e, alone, alone).status == guards.INCONCLUSIVE
 
 
+def test_an_unknown_category_among_many_levels_makes_no_expression_of_them(rows, monkeypatch):
+    e = encode.Encoder(["gap"], ["compound"], levels={"compound": [str(i) for i in range(50_000)]})
+    monkeypatch.setattr(type(F.col("x")), "isin", None)
+    assert guards.unknown_category(e, rows).status == guards.PASS and guards.unknown_category(e, rows.limit(0)).status == guards.PASS
+    e.levels["compound"].append(f"{encode.MISSING}?unseen")
+    assert guards.unknown_category(e, rows).blocks
+
+
 @pytest.mark.parametrize("imputation", ["median", "mean"])
 def test_merged_statistics_equal_those_of_each_union(spark, imputation):
     """Ten columns with ties, nulls, NaN, one value, none, and large offsets, over three splits."""
@@ -262,3 +270,17 @@ def test_metrics_by_group_equal_those_of_each(spark):
     for (m, g), r in told.items():
         assert tuple(r)[2:] == tuple(regress.metrics(rows.where(F.col("g") == g), "y", m).first())
     assert len(told) == 6
+
+
+def test_weather_of_one_session_is_aligned_in_stretches(spark):
+    """All laps may lie in one session; readings reach over the hour."""
+    from tideline.plans import lap_table
+
+    laps = spark.range(300).selectExpr("1L AS session_key", "id % 3 AS driver_number", "id AS lap_number", "timestamp '2024-01-01 00:10:00' + make_dt_interval(0, 0, 7 * int(id)) AS lap_start_time")
+    record = spark.range(40).selectExpr("1L AS session_key", "id AS pos", "timestamp '2024-01-01 00:00:00' + make_dt_interval(0, 0, 55 * int(id)) AS date", *[f"double(id) AS {c}" for c in lap_table.WEATHER])
+    found = lap_table.weather(laps, record, 1800.0)
+    want = {i: ((10 + 7 * i) // 55, (10 + 7 * i) % 55 * 60) for i in range(300)}
+    want = {i: (float(min(r, 39)), 60.0 * (10 + 7 * i - 55 * min(r, 39))) for i, (r, _) in want.items()}
+    got = {r.lap_number: (r[lap_table.WEATHER[0]], r.weather_age_s) for r in found.collect()}
+    assert got == {i: (r, age) if age <= 1800 else (None, None) for i, (r, age) in want.items()}
+    assert "_cut" in found._jdf.queryExecution().executedPlan().toString()

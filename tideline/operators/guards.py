@@ -182,9 +182,9 @@ def unknown_category(encoder: Encoder, rows: DataFrame) -> Result:
     if not encoder.categorical:
         return Result("categorical_unknown_handling", SKIPPED, False, "no categories")
     probe = rows.limit(1).withColumns({c: F.lit(f"{MISSING}?unseen") for c in encoder.categorical})
-    known = [F.coalesce(category(c).isin(encoder.levels[c]), F.lit(False)) for c in encoder.categorical]
-    row = probe.select(*known).first()
-    return judged("categorical_unknown_handling", sum(bool(x) for x in row or []), "categories light a column")
+    row = probe.select(*[category(c) for c in encoder.categorical]).first()
+    lit = [x in set(encoder.levels[c]) for c, x in zip(encoder.categorical, row or [])]
+    return judged("categorical_unknown_handling", sum(lit), "categories light a column")
 
 
 def target_alignment(encoded: DataFrame, source: DataFrame, grain: list[str], target: str, tolerance: float = 1e-9) -> Result:

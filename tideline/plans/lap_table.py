@@ -156,9 +156,9 @@ def pit_stops(records: DataFrame) -> DataFrame:
 def weather(laps: DataFrame, records: DataFrame, tolerance_seconds: float) -> DataFrame:
     """Conditions last measured before a lap began, if recent enough (JN-03).
 
-    A session has few readings and laps, so a session is one stretch of time.
+    A few sessions may hold all laps, so each is aligned by the hour.
     """
-    found = align.asof_within(laps.select(*GRAIN, "lap_start_time"), records, "lap_start_time", "date", tolerance_seconds, ["session_key"], ["pos"], "w", "weather_age_s")
+    found = align.asof_within(laps.select(*GRAIN, "lap_start_time"), records, "lap_start_time", "date", tolerance_seconds, ["session_key"], ["pos"], "w", "weather_age_s", bucket="hour")
     return found.select(*GRAIN, *[F.col(f"w.{c}").alias(c) for c in WEATHER], "weather_age_s")
 
 
