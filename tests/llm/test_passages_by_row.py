@@ -1,7 +1,11 @@
 """Passages of rows that share an id or have none, and texts without them."""
 
+from time import process_time
+
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 
 from tideline.llm import substring_dedup
 
@@ -90,3 +94,49 @@ def test_copies_and_rows_without_an_id_are_spread_over_blocks(spark, monkeypatch
     most = {r.source: r for r in got}
     assert abs(most["hot"]["sum(taken)"] - 149_600) <= 3 and most["cold"]["sum(taken)"] == 600 and len(held[0]) >= 50_000 // mixing.BLOCK
     assert max(r["count"] for r in held[0]) < 2 * mixing.BLOCK
+
+
+def banding(monkeypatch):
+    """What a task of ``paragraph_bands`` runs on its batches of texts."""
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    monkeypatch.setattr(substring_dedup, "small_batches", lambda docs: docs)
+    return substring_dedup.paragraph_bands(Docs(), 40, 5, 17, 4, 3, "text")
+
+
+def test_bands_meet_as_often_as_their_similarity_says(spark, monkeypatch):
+    """Of pairs at a known Jaccard similarity s, a share of s**4 of the bands is equal; case and white space are none of it."""
+    run, share, want = banding(monkeypatch), [], []
+    for g in range(150):
+        words = prose(7000 + g, 90).split()
+        other = [*words[: 60 + g % 20], *prose(9000 + g, 30 - g % 20).split()]
+        texts = [" ".join(words), "  ".join(other).upper()]
+        a, b = (set(substring_dedup.shingles(t.lower().encode().split(), 5)) for t in texts)
+        got = pa.Table.from_batches(run(iter([pa.RecordBatch.from_pydict({"text": texts})])))
+        first, second = got["band"].to_numpy().reshape(2, 17)
+        share.append((first == second).mean())
+        want.append((len(a & b) / len(a | b)) ** 4)
+    assert abs(np.mean(share) - np.mean(want)) < 0.04
+
+
+def test_banding_hashes_no_shingle_by_itself(spark, monkeypatch):
+    """All of a task's banding takes less CPU time than making the shingles' texts and hashing each would."""
+    run, texts = banding(monkeypatch), [prose(i, 100) for i in range(6000, 9000)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+
+    def seconds(f):
+        took = []
+        for _ in range(3):
+            begun = process_time()
+            f()
+            took.append(process_time() - begun)
+        return min(took)
+
+    each = seconds(lambda: [xxhash.xxh64_intdigest(s) for t in texts for s in substring_dedup.shingles(t.encode().split(b" "), 5)])
+    assert seconds(lambda: sum(b.num_rows for b in run(iter([batch])))) < 0.9 * each

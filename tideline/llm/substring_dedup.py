@@ -19,7 +19,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -51,6 +50,18 @@ def sliding_least(h: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(h[: len(h) - (n - size)], h[n - size :]) if n > size else h
 
 
+def sliding_places(h: np.ndarray, n: int) -> np.ndarray:
+    """The place of the least of each ``n`` values in a row, of equal ones the first; places never fall."""
+
+    at, size = np.arange(len(h)), 1
+    while size < n:
+        step = min(size, n - size)
+        at = np.where(h[step:] < h[:-step], at[step:], at[:-step])
+        h = np.minimum(h[:-step], h[step:])
+        size += step
+    return at
+
+
 def paragraph_cuts(texts: list[bytes], least: int) -> tuple[np.ndarray, ...]:
     """(text, first word's number, first byte, byte past the end, words, whole line) of the paragraphs.
 
@@ -60,10 +71,19 @@ def paragraph_cuts(texts: list[bytes], least: int) -> tuple[np.ndarray, ...]:
     stretches are cut alike wherever they stand.  Pieces under ``least`` words,
     which only ends of a stretch can be, are no paragraphs.
     """
-    b, begin, first, past, of, word = lexed(texts)
+    lex = lexed(texts)
+    _, begin, first, past, of, _ = lex
+    s, e, whole = cut_words(lex, least)
+    base = np.searchsorted(first, begin)
+    return of[s], s - base[of[s]], first[s] - begin[of[s]], past[e - 1] - begin[of[s]], e - s, whole
+
+
+def cut_words(lex: tuple[np.ndarray, ...], least: int) -> tuple[np.ndarray, ...]:
+    """(first word, word past the end, whole line) of the paragraphs of texts that are :func:`lexed`."""
+    b, _, first, _, of, word = lex
     if not len(first):
-        return tuple(np.zeros(0, np.int64) for _ in range(6))
-    line = np.searchsorted(np.flatnonzero(b == 10), first)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    line = np.cumsum(np.bincount(np.searchsorted(first, np.flatnonzero(b == 10)), minlength=len(first)))[: len(first)]
     opens = np.r_[True, (line[1:] != line[:-1]) | (of[1:] != of[:-1])]
     at = np.flatnonzero(opens)
     size = np.diff(np.r_[at, len(first)])
@@ -81,30 +101,38 @@ def paragraph_cuts(texts: list[bytes], least: int) -> tuple[np.ndarray, ...]:
         starts[mid[(stretch[mid - SIDE] == stretch[mid + SIDE + PICK - 1]) & ~is_whole[mid]]] = True
     s = np.flatnonzero(starts)
     e = np.r_[s[1:], len(first)]
-    s, e = s[e - s >= least], e[e - s >= least]
-    base = np.searchsorted(first, begin)
-    return of[s], s - base[of[s]], first[s] - begin[of[s]], past[e - 1] - begin[of[s]], e - s, is_whole[s]
+    long = e - s >= least
+    s, e = s[long], e[long]
+    return s, e, is_whole[s]
 
 
-def in_characters(text: bytes, *places: np.ndarray) -> list[np.ndarray]:
+def in_characters(b: np.ndarray, *places: np.ndarray) -> list[np.ndarray]:
     """Places in bytes as places in characters."""
-    if text.isascii():
+    if b.max(initial=0) < 128:
         return list(places)
-    chars = np.r_[0, np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)]
+    chars = np.r_[0, np.cumsum((b & 0xC0) != 0x80)]
     return [chars[p] for p in places]
 
 
-def plain_form(text: bytes) -> tuple[int, bytes]:
-    """A 64-bit digest of a paragraph and its text, lower-cased (A-Z) with single spaces."""
-    plain = b" ".join(text.lower().split())
-    return int.from_bytes(hashlib.blake2b(plain, digest_size=8).digest(), "little", signed=True), plain
+def plain_forms(lex: tuple[np.ndarray, ...], s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """64-bit digests of the paragraphs of words ``s`` to ``e`` and their texts, lower-cased (A-Z) with single spaces."""
+    b, _, first, past, _, _ = lex
+    low, odd = b.tobytes(), np.zeros(len(first), np.int64)
+    np.cumsum((first[1:] != past[:-1] + 1) | (b[past[:-1]] != 32), out=odd[1:])
+    is_plain = odd[e - 1] == odd[s]
+    plains = [low[x:y] if p else b" ".join(low[x:y].split()) for x, y, p in zip(first[s].tolist(), past[e - 1].tolist(), is_plain.tolist())]
+    return np.frombuffer(b"".join([hashlib.blake2b(x, digest_size=8).digest() for x in plains]), "<i8"), plains
 
 
-def line_edges(text: bytes, first: np.ndarray, past: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The line in which each paragraph starts, and its first byte and the one past it, which for whole lines are those of the line."""
-    ends = np.flatnonzero(np.frombuffer(text, np.uint8) == 10)
-    line, edges = np.searchsorted(ends, first), np.r_[-1, ends, len(text)]
-    return line, np.where(whole, edges[line] + 1, first), np.where(whole, edges[line + 1], past)
+def line_edges(lex: tuple[np.ndarray, ...], s: np.ndarray, e: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The line in which each paragraph starts, counted in its text, and in the joined bytes its
+    first one and the one past it, which for whole lines are those of the line."""
+    b, begin, first, past, of, _ = lex
+    ends, mine = np.flatnonzero(b == 10), begin[of[s]]
+    line, edges = np.searchsorted(ends, first[s]), np.r_[-1, ends, len(b)]
+    close = np.r_[begin[1:] - 1, len(b)][of[s]]
+    lo, hi = np.maximum(edges[line] + 1, mine), np.minimum(edges[line + 1], close)
+    return line - np.searchsorted(ends, mine), np.where(whole, lo, first[s]), np.where(whole, hi, past[e - 1])
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -119,34 +147,32 @@ def paragraphs(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in text_groups(batches):
-            of, _, first, past, n_words, whole = paragraph_cuts(texts, min_words)
-            cuts, rows = np.searchsorted(of, np.arange(len(texts) + 1)), []
-            for j in np.unique(of).tolist():
-                mine = slice(cuts[j], cuts[j + 1])
-                line, lo, hi = line_edges(texts[j], first[mine], past[mine], whole[mine])
-                start, end = in_characters(texts[j], lo, hi)
-                pids = [plain_form(texts[j][x:y])[0] for x, y in zip(lo, hi)]
-                rows += zip(*([key] * len(line) for key in keys[j]), line.tolist(), start.tolist(), (end - start).tolist(), n_words[mine].tolist(), pids)
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
+            lex = lexed(texts)
+            s, e, whole = cut_words(lex, min_words)
+            if len(s):
+                of = lex[4][s]
+                line, lo, hi = line_edges(lex, s, e, whole)
+                begin, start, end = in_characters(lex[0], lex[1][of], lo, hi)
+                key = [pa.array([k[i] for k in keys], pa.int64()).take(pa.array(of)) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*key, *map(pa.array, (line, start - begin, end - start, e - s, plain_forms(lex, s, e)[0]))], names)
 
     return numbered(docs, id_col, text_col).mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
-def plain_paragraphs(texts: list[bytes], least: int, seen: set[int], held: int = 250_000) -> Iterator[tuple[int, bytes]]:
-    """(digest, plain form) of the paragraphs of ``texts`` that are not in ``seen``, which
-    holds some of those that this task has met, so that copies rarely come twice."""
-    of, _, first, past, _, whole = paragraph_cuts(texts, least)
-    cuts = np.searchsorted(of, np.arange(len(texts) + 1))
-    for j in np.unique(of).tolist():
-        mine = slice(cuts[j], cuts[j + 1])
-        for x, y in zip(*line_edges(texts[j], first[mine], past[mine], whole[mine])[1:]):
-            pid, plain = plain_form(texts[j][x:y])
-            if pid not in seen:
-                if len(seen) >= held:
-                    seen.clear()
-                seen.add(pid)
-                yield pid, plain
+def plain_paragraphs(lex: tuple[np.ndarray, ...], least: int, seen: set[int], held: int = 250_000) -> tuple[np.ndarray, ...]:
+    """(digests, first words, words past the end, plain forms) of the paragraphs that are not in ``seen``,
+    which holds some of those that this task has met, so that copies rarely come twice."""
+    s, e, _ = cut_words(lex, least)
+    pids, plains = plain_forms(lex, s, e)
+    new = []
+    for i, pid in enumerate(pids.tolist()):
+        if pid not in seen:
+            if len(seen) >= held:
+                seen.clear()
+            seen.add(pid)
+            new.append(i)
+    at = np.array(new, np.int64)
+    return pids[at], s[at], e[at], [plains[i] for i in new]
 
 
 def some_at_once(found: Iterator[tuple[int, bytes]], most: int = 2_000_000, rows: int = 500) -> Iterator[tuple[list[int], list[bytes]]]:
@@ -169,7 +195,8 @@ def paragraph_texts(docs: DataFrame, min_words: int, text_col: str, wanted: Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for _, texts in text_groups(batches):
-            for pids, plains in some_at_once(plain_paragraphs(texts, min_words, seen)):
+            found, _, _, plain = plain_paragraphs(lexed(texts), min_words, seen)
+            for pids, plains in some_at_once(zip(found.tolist(), plain)):
                 yield pa.RecordBatch.from_arrays([pa.array(pids, pa.int64()), pa.array(plains, pa.binary())], ["pid", "text"])
 
     every = small_batches(docs).select(F.col(text_col).alias("text")).mapInArrow(run, "pid long, text binary")
@@ -181,9 +208,9 @@ def text_groups(batches: Iterator[pa.RecordBatch], most: int = 500_000) -> Itera
     for batch in batches:
         keys, texts, held = [], [], 0
         leading = list(zip(*(c.to_pylist() for c in batch.columns[:-1]))) or [()] * batch.num_rows
-        for key, text in zip(leading, batch.columns[-1]):
+        for key, text in zip(leading, batch.columns[-1].cast(pa.binary())):
             keys.append(key)
-            texts.append((text.as_py() or "").encode("utf-8", "surrogatepass"))
+            texts.append(text.as_py() or b"")
             held += len(texts[-1])
             if held > most:
                 yield keys, texts
@@ -208,19 +235,35 @@ def band_hashes(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key ^ np.arange(bands, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def least_hashes(h: np.ndarray, starts: np.ndarray, odd: np.ndarray, add: np.ndarray) -> np.ndarray:
+    """(stretches, functions) the least value that each hash function takes on each stretch of ``h``."""
+    found, value = np.empty((len(odd), len(starts)), np.uint64), np.empty_like(h)
+    for row, a, b in zip(found, odd, add):
+        np.multiply(h, a, out=value)
+        value += b
+        np.minimum.reduceat(value, starts, out=row)
+    return found.T
+
+
 def paragraph_bands(docs: DataFrame, min_words: int, k: int, bands: int, rows: int, seed: int, text_col: str) -> DataFrame:
-    """(pid, band): a hash for each band of each paragraph; of copies some come more than once."""
+    """(pid, band): a hash for each band of each paragraph; of copies some come more than once.
+
+    The hash of a shingle is made from those of its words, for all paragraphs of a batch at once.
+    """
     odd, add = linear_hashes(bands * rows, seed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for _, texts in text_groups(batches):
-            for pids, plains in some_at_once(plain_paragraphs(texts, min_words, seen)):
-                each = [shingles(t.split(b" "), k) for t in plains]
-                h = np.array([xxhash.xxh64_intdigest(s) for one in each for s in one], np.uint64)
-                starts = np.cumsum([0, *map(len, each)])[:-1]
-                key = band_hashes(np.stack([np.minimum.reduceat(h * a + b, starts) for a, b in zip(odd, add)], axis=1), bands, rows)
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(pids, np.int64), bands)), pa.array(key.ravel().view(np.int64))], ["pid", "band"])
+            lex = lexed(texts)
+            pids, s, e, _ = plain_paragraphs(lex, min_words, seen)
+            if len(pids):
+                n = np.maximum(e - s - k + 1, 1)
+                starts = np.cumsum(n) - n
+                at = np.arange(n.sum()) + np.repeat(s - starts, n)
+                h = range_hashes(lex[5], at, np.minimum(at + k, np.repeat(e, n)), _BASES[1])
+                key = band_hashes(least_hashes(h, starts, odd, add), bands, rows)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(pids, bands)), pa.array(key.ravel().view(np.int64))], ["pid", "band"])
 
     return small_batches(docs).select(F.col(text_col).alias("text")).mapInArrow(run, "pid long, band long")
 
@@ -363,7 +406,6 @@ WINDOW, PICK = 16, 5
 _DRAW = np.random.default_rng(11)
 _BYTE = _DRAW.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASES = [int(x) * 8 + 5 for x in _DRAW.integers(0, 1 << 60, 3)]
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -382,7 +424,8 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
     """A hash of ``values[start:end]`` for each range, wherever it stands."""
-    sums = np.r_[np.uint64(0), np.cumsum(values * powers(base, len(values)), dtype=np.uint64)]
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(base, len(values)), out=sums[1:])
     return mixed((sums[end] - sums[start]) * powers(pow(base, -1, 1 << 64), len(values) + 1)[start])
 
 
@@ -391,9 +434,12 @@ def lexed(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     begin and end, the text of each word and its hash."""
     b = np.frombuffer(b" ".join(texts).lower(), np.uint8)
     begin = np.cumsum([0, *(len(t) + 1 for t in texts)])[:-1]
-    edge = np.diff(np.r_[True, _SPACE[b], True].astype(np.int8))
-    first, past = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    return b, begin, first, past, np.searchsorted(begin, first, "right") - 1, range_hashes(_BYTE[b], first, past, _BASES[0])
+    space = np.ones(len(b) + 2, bool)
+    space[1:-1] = (b - np.uint8(9) < 5) | (b == 32)
+    edge = np.flatnonzero(space[1:] != space[:-1])
+    first, past = edge[::2], edge[1::2]
+    of = np.repeat(np.arange(len(texts)), np.diff(np.r_[np.searchsorted(first, begin), len(first)]))
+    return b, begin, first, past, of, range_hashes(_BYTE.take(b), first, past, _BASES[0])
 
 
 def units(texts: list[bytes], size: int) -> tuple[np.ndarray, ...]:
@@ -406,9 +452,9 @@ def units(texts: list[bytes], size: int) -> tuple[np.ndarray, ...]:
     if len(first) < max(size, WINDOW + PICK - 1):
         return tuple(np.zeros(0, np.int64) for _ in range(5))
     i = np.arange(len(first) - PICK + 1)
-    view = np.lib.stride_tricks.sliding_window_view(range_hashes(word, i, i + PICK, _BASES[1]), WINDOW)
-    within = np.flatnonzero(of[: len(view)] == of[WINDOW + PICK - 2 :])
-    at = np.unique((view.argmin(1) + np.arange(len(view)))[within])
+    least = sliding_places(range_hashes(word, i, i + PICK, _BASES[1]), WINDOW)
+    at = least[of[: len(least)] == of[WINDOW + PICK - 2 :]]
+    at = at[np.r_[True, at[1:] != at[:-1]]] if len(at) else at
     at = at[at + size <= len(first)]
     at = at[of[at] == of[at + size - 1]]
     h = range_hashes(word, at, at + size, _BASES[2])
@@ -443,13 +489,11 @@ def unit_rows(docs: DataFrame, size: int, id_col: str, text_col: str) -> DataFra
 
     def some(keys: list[tuple], texts: list[bytes]) -> pa.RecordBatch:
         of, word, start, past, h = units(texts, size)
-        line = np.zeros(len(of), np.int64)
-        cuts = np.searchsorted(of, np.arange(len(texts) + 1))
-        for j, t in enumerate(texts):
-            mine = slice(cuts[j], cuts[j + 1])
-            if cuts[j] < cuts[j + 1]:
-                line[mine] = np.searchsorted(np.flatnonzero(np.frombuffer(t, np.uint8) == 10), start[mine]) if b"\n" in t else 0
-                start[mine], past[mine] = in_characters(t, start[mine], past[mine])
+        b = np.frombuffer(b" ".join(texts), np.uint8)
+        ends, begin = np.flatnonzero(b == 10), np.cumsum([0, *(len(t) + 1 for t in texts)])[of]
+        line = np.searchsorted(ends, begin + start) - np.searchsorted(ends, begin)
+        zero, start, past = in_characters(b, begin, begin + start, begin + past)
+        start, past = start - zero, past - zero
         key = lambda i: pa.array([k[i] for k in keys], pa.int64()).take(pa.array(of, pa.int64()))
         int_ = lambda x: pa.array(x.astype(np.int32))
         return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), key(0), key(1), int_(word), int_(start), int_(past - start), int_(line)], ["h", "row", "doc_id", "word", "start", "n_chars", "paragraph"])
